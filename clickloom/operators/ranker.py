@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.scoring import NUMERIC_FEATURES
+from clickloom.session import cut_lineage
 
 
 def fit_ranker(
@@ -20,7 +21,13 @@ def fit_ranker(
     max_iter: int = 10,
     reg: float = 1e-3,
 ) -> PipelineModel:
-    """Fit on sampled candidates (label 0/1); its loss is the logistic one of the metrics."""
+    """Fit on sampled candidates (label 0/1); its loss is the logistic one of the metrics.
+
+    The features are checkpointed first: fitting passes over them many times, and must
+    not rebuild their joins on each pass, nor after an executor is lost.
+    """
+    columns = [F.col(c).cast("double").alias(c) for c in (*numeric, "label")]
+    rows = cut_lineage(features.select(*columns, "cat_encoded"))
     pipeline = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(numeric), outputCol="_raw"),
@@ -30,7 +37,7 @@ def fit_ranker(
             LogisticRegression(maxIter=max_iter, regParam=reg, labelCol="label", featuresCol="features"),
         ]
     )
-    return pipeline.fit(features.withColumn("label", F.col("label").cast("double")))
+    return pipeline.fit(rows)
 
 
 def score_ranker(model: PipelineModel, features: DataFrame) -> DataFrame:
