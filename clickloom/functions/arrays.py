@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.scalar import epoch_seconds
+from clickloom.functions.scalar import epoch_seconds, recency
+
+
+def map_with(a: Column, value: Column, fn: Callable[[Column, Column], Column]) -> Column:
+    """fn(element, value) for each element, with `value` computed once per row.
+
+    A column used inside a lambda can be replaced by the expression it stands for when
+    projections are merged, and would then be computed again for every element.
+    """
+    return F.zip_with(a, F.array_repeat(value, F.size(a)), fn)
 
 
 def empty_list(element: str) -> Column:
@@ -66,10 +78,23 @@ def not_clicked(inview: Column, clicked: Column) -> Column:
 
 def click_flags(inview: Column, clicked: Column) -> Column:
     """1 for each in-view id that was clicked, else 0."""
-    return F.transform(inview, lambda x: F.array_contains(clicked, x).cast("int"))
+    return map_with(inview, clicked, lambda x, c: F.array_contains(c, x).cast("int"))
 
 
 def flagged(ids: Column, flags: Column) -> Column:
     """Ids whose parallel flag equals 1, in order."""
     pairs = F.zip_with(ids, flags, lambda i, f: F.struct(i.alias("id"), f.alias("flag")))
     return F.transform(F.filter(pairs, lambda p: p["flag"] == F.lit(1)), lambda p: p["id"])
+
+
+def recency_list(read_ts: Column, imp_ts: Column) -> Column:
+    """log(1 + hours) between each read and the impression."""
+    return map_with(read_ts, imp_ts, lambda read, imp: recency(imp, read))
+
+
+def sinusoidal(x: Column, dim: int = 16, base: float = 10000.0) -> Column:
+    """Sine block, then cosine block, over dim/2 geometric frequencies."""
+    half = dim // 2
+    freqs = F.array(*[F.lit(math.exp(-j * math.log(base) / half)) for j in range(half)])
+    angles = map_with(freqs, x, lambda f, v: v * f)
+    return F.concat(F.transform(angles, F.sin), F.transform(angles, F.cos))

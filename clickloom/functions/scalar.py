@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,13 +80,3 @@ def bucketize(v: Column, buckets: int) -> Column:
 
 def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-c))
-
-
-def sinusoidal(x: Column, dim: int = 16, base: float = 10000.0) -> Column:
-    """Sine block, then cosine block, over dim/2 geometric frequencies."""
-    half = dim // 2
-    freqs = F.array(*[F.lit(math.exp(-j * math.log(base) / half)) for j in range(half)])
-    return F.concat(
-        F.transform(freqs, lambda f: F.sin(x * f)),
-        F.transform(freqs, lambda f: F.cos(x * f)),
-    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clickloom.functions.arrays import map_with
+
 
 def as_doubles(v: Column) -> Column:
     return v.cast("array<double>")
@@ -21,19 +23,20 @@ def l2_norm(v: Column) -> Column:
 
 
 def scaled(v: Column, by: Column) -> Column:
-    return F.transform(v, lambda x: x * by)
+    return map_with(v, by, lambda x, b: x * b)
 
 
-def l2_normalize(v: Column, norm: Column, eps: float | None = None) -> Column:
-    """Divide by the given norm, or by norm + eps.
+def l2_normalize(v: Column, eps: float | None = None) -> Column:
+    """Divide by the length, or by length + eps.
 
-    Without eps a zero vector stays zero, and NaN components become 0. The norm
-    comes in as a column so that it is computed once per row, not per component.
+    Without eps a zero vector stays zero, and NaN components become 0.
     """
+    norm = l2_norm(v)
     if eps is not None:
-        return F.transform(v, lambda x: x / (norm + F.lit(eps)))
-    safe = F.when(norm == 0, F.lit(1.0)).otherwise(norm)
-    return F.transform(v, lambda x: F.nanvl(x / safe, F.lit(0.0)))
+        return map_with(v, norm + F.lit(eps), lambda x, n: x / n)
+    return map_with(
+        v, norm, lambda x, n: F.nanvl(x / F.when(n == 0, F.lit(1.0)).otherwise(n), F.lit(0.0))
+    )
 
 
 def combine_views(overall: Column, high: Column, low: Column, weight: Column) -> Column:

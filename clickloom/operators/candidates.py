@@ -18,12 +18,17 @@ def full_candidates(
     shown = arrays.or_empty(F.col(inview), element)
     hits = arrays.or_empty(F.col(clicked), element) if clicked in behaviors.columns else arrays.empty_list(element)
     out = behaviors.withColumn("_shown", shown).withColumn("_hits", hits)
-    built = F.transform(
+    labelled = arrays.map_with(
         F.col("_shown"),
+        F.col("_hits"),
+        lambda x, h: F.struct(x.alias("id"), F.array_contains(h, x).cast("int").alias("hit")),
+    )
+    built = F.transform(
+        labelled,
         lambda x, i: F.struct(
             i.alias("pos"),
-            x.alias("article_id"),
-            F.array_contains(F.col("_hits"), x).cast("int").alias("label"),
+            x["id"].alias("article_id"),
+            x["hit"].alias("label"),
             F.lit(True).alias("valid"),
         ),
     )
@@ -31,8 +36,12 @@ def full_candidates(
 
 
 def explode_candidates(df: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per candidate, with the named columns of its impression."""
-    return df.select(*keep, F.inline("candidates"))
+    """One row per candidate, with the named columns of its impression.
+
+    The outer form plus a filter: the plain one makes Spark add a size check that would
+    build every list a second time.
+    """
+    return df.select(*keep, F.inline_outer("candidates")).where(F.col("pos").isNotNull())
 
 
 def negative_pool(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions import arrays
 from clickloom.operators.ordering import dense_index
 
 UNKNOWN_CATEGORY = "UNK"
@@ -45,21 +46,48 @@ def encode_column(
     return out if unknown is None else out.withColumn(to, F.coalesce(to, F.lit(unknown)))
 
 
-def encode_items(df: DataFrame, lists: str, keys: list[str], index: DataFrame) -> DataFrame:
-    """Long form of an encoded list: keys, pos, raw id, idx (0 when unknown)."""
-    key = index.columns[0]
-    items = df.select(*keys, F.posexplode(lists).alias("pos", key))
-    return encode_column(items, key, index, "idx")
+def encode_lists(df: DataFrame, columns: dict[str, str], key: str, index: DataFrame) -> DataFrame:
+    """Replace id lists by encoded ones: order and duplicates kept, null as empty, unknown 0.
 
+    All lists are exploded together, meet the map in one join, and are regrouped by
+    `key`, which must identify the row: a rebuilt list is as long as it came in. The
+    row's other columns ride on its first item, so the table is read once and they are
+    shuffled once. A hot article splits at run time: the map side is one row per id.
+    """
+    id_name = index.columns[0]
+    rest = [c for c in df.columns if c != key and c not in columns]
+    id_type = df.schema[next(iter(columns))].dataType.elementType.simpleString()
+
+    def item(kind, article):
+        return F.struct(F.lit(kind).alias("kind"), article.cast(id_type).alias(id_name))
+
+    def tagged_list(kind, column):
+        return F.transform(arrays.or_empty(F.col(column), id_type), lambda x: item(kind, x))
+
+    tagged = F.concat(*[tagged_list(kind, c) for kind, c in enumerate(columns)])
+    listed = df.withColumn("_tagged", tagged).select(
+        key,
+        F.struct(*rest).alias("_row") if rest else F.lit(None).cast("struct<_none:int>").alias("_row"),
+        F.when(F.size("_tagged") > 0, F.col("_tagged")).otherwise(
+            F.array(item(-1, F.lit(None)))
+        ).alias("_tagged"),
+    )
+    items = listed.select(key, "_row", F.posexplode_outer("_tagged").alias("pos", "_item")).select(
+        key, "pos", "_item.kind", f"_item.{id_name}",
+        F.when(F.col("pos") == 0, F.col("_row")).alias("_row"),
+    )
+    encoded = encode_column(items, id_name, index, "_idx")
+    rebuilt = encoded.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "kind", "_idx"))).alias("_items"),
+        F.first("_row", ignorenulls=True).alias("_row"),
+    )
 
-def encode_list(df: DataFrame, column: str, key: str, index: DataFrame, to: str) -> DataFrame:
-    """Encode a list column in place, order and duplicates kept, null as empty.
+    def of_kind(kind):
+        picked = F.filter("_items", lambda x: x["kind"] == F.lit(kind))
+        return F.transform(picked, lambda x: x["_idx"].cast("int"))
 
-    `key` identifies the row, so a regrouped list is never longer than it came in.
-    """
-    items = encode_items(df, column, [key], index)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "idx")))
-    lists = items.groupBy(key).agg(F.transform(ordered, lambda x: x["idx"].cast("int")).alias(to))
-    return df.join(lists, key, "left").withColumn(
-        to, F.coalesce(to, F.array().cast("array<int>"))
+    return rebuilt.select(
+        key,
+        *[F.col("_row")[c].alias(c) for c in rest],
+        *[of_kind(kind).alias(to) for kind, to in enumerate(columns.values())],
     )

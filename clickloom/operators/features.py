@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import arrays, scalar
-from clickloom.operators.encode import UNKNOWN_CATEGORY, encode_column, encode_list
+from clickloom.operators.encode import UNKNOWN_CATEGORY, encode_column, encode_lists
 from clickloom.sources.readers import optional_column
 
 
-def article_features(articles: DataFrame, index: DataFrame, codes: DataFrame) -> DataFrame:
-    """Encoded id, category code, three log counts, sentiment, publication second."""
+def article_features(
+    articles: DataFrame, codes: DataFrame, index: DataFrame | None = None
+) -> DataFrame:
+    """Encoded id, category code, three log counts, sentiment, publication second.
+
+    Without an `index` the raw id is the only key.
+    """
     published = scalar.epoch_seconds(
         F.col("published_time"), articles.schema["published_time"].dataType
     )
@@ -25,18 +30,12 @@ def article_features(articles: DataFrame, index: DataFrame, codes: DataFrame) ->
         scalar.log_count(F.col("total_read_time")).cast("float").alias("norm_read_time"),
         published.alias("published_time"),
     )
-    coded = encode_column(base, category, codes, "cat_encoded", idx="code")
-    encoded = encode_column(coded, "article_id", index, "id_encoded")
-    return encoded.select(
-        "article_id",
-        F.col("id_encoded").cast("int").alias("id_encoded"),
-        F.col("cat_encoded").cast("int").alias("cat_encoded"),
-        "norm_views",
-        "norm_inviews",
-        "sentiment_score",
-        "norm_read_time",
-        "published_time",
-    )
+    out = encode_column(base, category, codes, "cat_encoded", idx="code").drop(category)
+    out = out.withColumn("cat_encoded", F.col("cat_encoded").cast("int"))
+    if index is None:
+        return out
+    encoded = encode_column(out, "article_id", index, "id_encoded")
+    return encoded.withColumn("id_encoded", F.col("id_encoded").cast("int"))
 
 
 def history_features(history: DataFrame, articles: DataFrame, users: DataFrame) -> DataFrame:
@@ -45,7 +44,7 @@ def history_features(history: DataFrame, articles: DataFrame, users: DataFrame)
     Users the map lacks are dropped: index 0 belongs to a real user.
     """
     times = history.schema["impression_time_fixed"].dataType
-    encoded = encode_list(history, "article_id_fixed", "user_id", articles, "hist_ids")
+    encoded = encode_lists(history, {"article_id_fixed": "hist_ids"}, "user_id", articles)
     known = encoded.join(users.withColumnRenamed("idx", "_user"), "user_id")
     return known.select(
         F.col("_user").cast("int").alias("user_id"),
@@ -98,42 +97,20 @@ def behavior_features(
 ) -> DataFrame:
     """One row per impression with encoded in-view and clicked lists.
 
-    Both lists travel through one join: they are tagged, exploded together and
-    regrouped by impression. A test split without clicks gets an empty list.
+    A test split without clicks gets an empty list. `unknown_user` is the index of a
+    user the map lacks; None keeps it null, as 0 belongs to a real user.
     """
-    clicked = optional_column(
-        behaviors, "article_ids_clicked", behaviors.schema["article_ids_inview"].dataType.simpleString()
-    )
-    tagged = F.concat(
-        F.transform(F.coalesce("article_ids_inview", F.array()), lambda x: F.struct(F.lit(0).alias("kind"), x.alias("article_id"))),
-        F.transform(F.coalesce(clicked, F.array()), lambda x: F.struct(F.lit(1).alias("kind"), x.alias("article_id"))),
-    )
-    items = behaviors.select("impression_id", F.posexplode(tagged).alias("pos", "item")).select(
-        "impression_id", "pos", "item.kind", "item.article_id"
-    )
-    encoded = encode_column(items, "article_id", articles, "idx")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "kind", "idx")))
-
-    def of_kind(kind: int):
-        picked = F.filter(F.col("_items"), lambda x: x["kind"] == F.lit(kind))
-        ids = F.transform(picked, lambda x: x["idx"].cast("int"))
-        return F.coalesce(ids, F.array().cast("array<int>"))
-
-    lists = encoded.groupBy("impression_id").agg(ordered.alias("_items"))
-    keyed = encode_column(behaviors, "user_id", users, "_user", unknown_user)
-    attributes = behavior_attributes(behaviors)
-    return (
-        keyed.join(lists, "impression_id", "left")
-        .select(
-            attributes[0],
-            F.col("_user").cast("int").alias("user_id"),
-            attributes[1],
-            of_kind(0).alias("inv_ids"),
-            *attributes[2:7],
-            of_kind(1).alias("clk_ids"),
-            *attributes[7:],
-        )
+    lists = {"article_ids_inview": "inv_ids", "article_ids_clicked": "clk_ids"}
+    element = behaviors.schema["article_ids_inview"].dataType.simpleString()
+    clicked = optional_column(behaviors, "article_ids_clicked", element)
+    rows = behaviors.select(
+        *behavior_attributes(behaviors), "user_id", "article_ids_inview",
+        clicked.alias("article_ids_clicked"),
     )
+    encoded = encode_lists(rows, lists, "impression_id", articles)
+    out = encode_column(encoded, "user_id", users, "_user", unknown_user)
+    names = [c for c in encoded.columns if c not in ("impression_id", "user_id")]
+    return out.select("impression_id", F.col("_user").cast("int").alias("user_id"), *names)
 
 
 def article_text(articles: DataFrame, max_body_chars: int | None = 1000) -> DataFrame:

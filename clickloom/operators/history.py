@@ -50,7 +50,7 @@ def clean_items(items: DataFrame) -> DataFrame:
 
 
 def cut_history(
-    items: DataFrame, policy: str, n: int, stored: Sequence[str], time: str = "ts"
+    items: DataFrame, policy: str, n: int, stored: Sequence[str], time: str = "impression_time"
 ) -> DataFrame:
     """At most `n` items per user.
 
@@ -60,10 +60,8 @@ def cut_history(
     """
     if policy == "head":
         order = [F.asc(c) for c in stored]
-    elif policy == "tail":
-        order = [F.desc(c) for c in stored]
-    elif policy == "recent":
-        order = [F.desc(time), *[F.desc(c) for c in stored if c != time]]
+    elif policy in ("tail", "recent"):
+        order = [F.desc(c) for c in _oldest_first(policy, stored, time)]
     else:
         raise ValueError(f"unknown history policy {policy!r}")
     w = W.partitionBy("user_id").orderBy(*order)
@@ -75,24 +73,35 @@ def cut_history(
     )
 
 
+def _oldest_first(policy: str, stored: Sequence[str], time: str) -> list[str]:
+    return [time, *[c for c in stored if c != time]] if policy == "recent" else list(stored)
+
+
+CLEAN_FIELDS = ("article_id", "scroll", "read_time", "log_time", "ts")
+
+
 def history_lists(
     items: DataFrame,
     policy: str,
     n: int,
     stored: Sequence[str],
-    fields: Sequence[str] = ("article_id", "scroll", "read_time", "log_time", "ts"),
-    time: str = "ts",
+    fields: Sequence[str] = CLEAN_FIELDS,
+    time: str = "impression_time",
 ) -> DataFrame:
-    """One row per user: `hist`, an array of at most `n` item structs, oldest first."""
-    order = [time, *[c for c in stored if c != time]] if policy == "recent" else list(stored)
-    item = F.struct(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in fields]
-    )
+    """One row per user: `hist`, an array of at most `n` item structs, oldest first.
+
+    Raw items are cut first and cleaned after, so only the kept ones are computed on;
+    the lists ride on the cut's exchange.
+    """
     cut = cut_history(items, policy, n, stored, time)
+    order = _oldest_first(policy, stored, time)
+    cut = cut.withColumns({f"_o{i}": F.col(c) for i, c in enumerate(order)})
+    rows = clean_items(cut) if set(fields) - set(items.columns) else cut
+    item = F.struct(*[f"_o{i}" for i in range(len(order))], *fields)
     kept = F.transform(
         F.array_sort(F.collect_list(item)), lambda x: F.struct(*[x[f].alias(f) for f in fields])
     )
-    return cut.groupBy("user_id").agg(kept.alias("hist"))
+    return rows.groupBy("user_id").agg(kept.alias("hist"))
 
 
 def field(hist: str, name: str) -> Column:

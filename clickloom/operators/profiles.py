@@ -27,10 +27,7 @@ def article_vectors(embeddings: DataFrame, key: str, vector: str, eps: float | N
     )
     if not normalize:
         return base
-    normed = base.withColumn("_norm", vectors.l2_norm(F.col("vector")))
-    return normed.select(
-        "article_id", vectors.l2_normalize(F.col("vector"), F.col("_norm"), eps).alias("vector")
-    )
+    return base.select("article_id", vectors.l2_normalize(F.col("vector"), eps).alias("vector"))
 
 
 def _with_item_count(cut: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions import scalar, vectors
+from clickloom.functions import arrays, scalar, vectors
 from clickloom.operators.candidates import explode_candidates
 from clickloom.operators.history import with_history
 
@@ -57,11 +57,6 @@ def impression_features(behaviors: DataFrame, lists: DataFrame) -> DataFrame:
     )
 
 
-def recency_list(hist: str = "hist", imp_ts: str = "imp_ts") -> Column:
-    """log(1 + hours) between each history item and the impression."""
-    return F.transform(hist, lambda x: scalar.recency(F.col(imp_ts), x["ts"]))
-
-
 def _pooled(values: Column, name: str) -> list[Column]:
     """Mean and maximum of a list, 0 for an empty one."""
     total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -92,7 +87,9 @@ def candidate_features(
     (or, under 'epoch', the age of an article published in 1970, for comparison).
     """
     base = impression_features(impressions, lists)
-    pooled = base.join(profiles, "user_id", "left").withColumn("_rec", recency_list())
+    pooled = base.join(profiles, "user_id", "left").withColumn(
+        "_rec", arrays.recency_list(F.col("hist")["ts"], F.col("imp_ts"))
+    )
     pooled = pooled.select(
         *keep,
         *[c for c in ("imp_ts", "candidates", "profile", "log_hist_len", "day_time", "norm_age") if c not in keep],

@@ -14,10 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.functions.scalar import epoch_seconds
-
-START = 1704067200.0
-BUCKET = 259200.0
+FIRST_DAY = "2024-01-01"
+BUCKET_DAYS = 3
 
 
 @dataclass(frozen=True)
@@ -35,20 +33,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    t = epoch_seconds(F.col("ts"), events.schema["ts"].dataType)
-    return events.select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         "event_type",
         "value",
         "ts",
         F.get_json_object("props", "$.k").cast("bigint").alias("article_id"),
-        t.alias("t"),
-        F.floor((t - F.lit(START)) / F.lit(BUCKET)).cast("int").alias("bucket"),
     )
 
 
+def _bucket_start(bucket: int):
+    """First moment of a bucket, as a literal: a filter on `ts` that reaches the scan."""
+    return F.expr(f"timestamp_ntz'{FIRST_DAY} 00:00:00' + make_dt_interval({BUCKET_DAYS * bucket})")
+
+
+def in_buckets(events: DataFrame, first: int, last: int) -> DataFrame:
+    return events.where((F.col("ts") >= _bucket_start(first)) & (F.col("ts") < _bucket_start(last + 1)))
+
+
+def split_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User ids of all splits' impressions."""
+    last = max(s.last for s in SPLITS.values())
+    first = min(s.first for s in SPLITS.values())
+    return in_buckets(click_events(spark, sf_dir), first, last).select("user_id")
+
+
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = click_events(spark, sf_dir)
     shown = events.groupBy("article_id").agg(
@@ -94,7 +104,7 @@ def history_items(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     value = F.col("value")
     return (
         click_events(spark, sf_dir)
-        .where(F.col("bucket") < SPLITS[split].history_before)
+        .where(F.col("ts") < _bucket_start(SPLITS[split].history_before))
         .where(F.col("user_id") % 13 != 0)
         .select(
             "user_id",
@@ -107,7 +117,8 @@ def history_items(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     )
 
 
-STORED = ("ts", "event_id")
+# Stored order of a history: by time, equal times by event.
+STORED = ("impression_time", "event_id")
 
 
 def behaviors(spark: SparkSession, sf_dir: str, split: str, clicks: bool = True) -> DataFrame:
@@ -117,9 +128,10 @@ def behaviors(spark: SparkSession, sf_dir: str, split: str, clicks: bool = True)
     an impression's list holds each shown article once, however many events it had.
     """
     cut = SPLITS[split]
+    day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date"))
     shown = (
-        click_events(spark, sf_dir)
-        .where(F.col("bucket").between(cut.first, cut.last))
+        in_buckets(click_events(spark, sf_dir), cut.first, cut.last)
+        .withColumn("bucket", F.floor(day / F.lit(BUCKET_DAYS)).cast("int"))
         .groupBy("user_id", "bucket", "article_id")
         .agg(
             F.min("event_id").alias("first_event"),

@@ -8,19 +8,18 @@ from clickloom.functions import arrays
 from clickloom.operators import candidates, history, sampling
 from clickloom.operators.ordering import position_in_group, running_total
 from clickloom.operators.scoring import impression_features as impression_feature_rows
-from clickloom.operators.scoring import recency_list
 from clickloom.plans import clicklog
 from clickloom.plans.registry import big, query, r6
 
 LEN = 30
 
 
-def items(spark, d, split):
-    return history.clean_items(clicklog.history_items(spark, d, split))
+def cut(spark, d, split, policy="tail", n=LEN):
+    return history.cut_history(clicklog.history_items(spark, d, split), policy, n, clicklog.STORED)
 
 
 def lists(spark, d, split, policy="tail", n=LEN):
-    return history.history_lists(items(spark, d, split), policy, n, clicklog.STORED)
+    return history.history_lists(clicklog.history_items(spark, d, split), policy, n, clicklog.STORED)
 
 
 def exploded(df, *fields):
@@ -91,19 +90,13 @@ def history_offsets(spark, d):
 def history_explode(spark, d):
     """Long histories with their stored position, over all reads."""
     numbered = position_in_group(
-        clicklog.history_items(spark, d, "test"), ["user_id"], ["impression_time", "event_id"]
+        clicklog.history_items(spark, d, "test"), ["user_id"], clicklog.STORED
     )
     return numbered.select(
         "user_id", "pos", "article_id", r6("scroll_percentage", "scroll_percentage"), r6("read_time", "read_time")
     )
 
 
-_PADDED = """select user_id, i pos, coalesce(article_id,0) article_id, round(coalesce(scroll,0),6) scroll,
-  round(coalesce(log_time,0),6)+0.0 log_time
-from (select user_id, count(*) n from recent30_train group by user_id) u, range(30) r(i)
-left join recent30_train h on h.user_id=u.user_id and h.pos = {shift}"""
-
-
 def _pad(spark, d, side):
     fields = ["article_id", "scroll", "log_time"]
     wide = history.padded(lists(spark, d, "train", "recent"), LEN, side, fields)
@@ -187,7 +180,7 @@ def impression_features(spark, d):
 def history_recency(spark, d):
     rows = clicklog.behaviors(spark, d, "validation")
     timed = impression_feature_rows(rows, lists(spark, d, "validation"))
-    zipped = F.arrays_zip(F.col("hist")["article_id"].alias("article_id"), recency_list().alias("recency"))
+    zipped = F.arrays_zip(F.col("hist")["article_id"].alias("article_id"), arrays.recency_list(F.col("hist")["ts"], F.col("imp_ts")).alias("recency"))
     return timed.select("impression_id", F.posexplode(zipped).alias("pos", "x")).select(
         "impression_id", big("pos", "pos"), F.col("x.article_id").alias("article_id"), r6("x.recency", "recency")
     )

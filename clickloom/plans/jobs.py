@@ -60,7 +60,7 @@ def stream_behaviors(spark, d):
     arriving = clicklog.behaviors(spark, d, "train")
     sinks.write_table(arriving, f"{folder}/in")
     articles = encode.article_index(clicklog.article_ids(spark, d))
-    users = encode.user_index(clicklog.click_events(spark, d).where("bucket between 5 and 9"))
+    users = encode.user_index(clicklog.split_users(spark, d))
     source = stream.read_behavior_stream(spark, f"{folder}/in", arriving.schema, files_per_trigger=4)
     stream.run_to_completion(
         stream.encode_behaviors_long(source, articles, users), f"{folder}/out", f"{folder}/progress"

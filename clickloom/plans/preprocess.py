@@ -74,8 +74,8 @@ def shard_assign(spark, d):
 )
 def articles_features(spark, d):
     raw = clicklog.raw_articles(spark, d)
-    ids = clicklog.article_ids(spark, d)
-    out = features.article_features(raw, encode.article_index(ids), encode.category_codes(raw))
+    index = encode.article_index(clicklog.article_ids(spark, d))
+    out = features.article_features(raw, encode.category_codes(raw), index)
 
     def stored(name, digits=5):
         return F.round(F.col(name).cast("double"), digits).alias(name)
@@ -95,9 +95,9 @@ def articles_features(spark, d):
 )
 def history_features(spark, d):
     items = position_in_group(
-        clicklog.history_items(spark, d, "train"), ["user_id"], ["impression_time", "event_id"]
+        clicklog.history_items(spark, d, "train"), ["user_id"], clicklog.STORED
     )
-    users = encode.user_index(*[clicklog.click_events(spark, d).where("bucket between 5 and 9")])
+    users = encode.user_index(clicklog.split_users(spark, d))
     articles = encode.article_index(clicklog.article_ids(spark, d))
     out = features.history_item_features(items, articles, users)
     return out.select(
@@ -118,14 +118,12 @@ def history_features_lists(spark, d):
     """The list form, on histories already cut to 50 items."""
     raw = clicklog.history_items(spark, d, "train")
     fields = ["article_id", "scroll_percentage", "read_time", "impression_time"]
-    lists = history.history_lists(
-        raw, "head", 50, ["impression_time", "event_id"], fields, time="impression_time"
-    )
+    lists = history.history_lists(raw, "head", 50, clicklog.STORED, fields)
     wide = lists.select("user_id", *[
         F.col("hist")[f].alias(to) for f, to in zip(
             fields, ["article_id_fixed", "scroll_percentage_fixed", "read_time_fixed", "impression_time_fixed"])
     ])
-    users = encode.user_index(clicklog.click_events(spark, d).where("bucket between 5 and 9"))
+    users = encode.user_index(clicklog.split_users(spark, d))
     articles = encode.article_index(clicklog.article_ids(spark, d))
     out = features.history_features(wide, articles, users)
     item = F.posexplode(F.arrays_zip("hist_ids", "hist_scroll", "hist_time", "hist_ts"))
@@ -150,7 +148,7 @@ def history_features_lists(spark, d):
 )
 def behaviors_features(spark, d):
     rows = clicklog.behaviors(spark, d, "train")
-    users = encode.user_index(clicklog.click_events(spark, d).where("bucket between 5 and 9"))
+    users = encode.user_index(clicklog.split_users(spark, d))
     articles = encode.article_index(clicklog.article_ids(spark, d))
     out = features.behavior_features(rows, articles, users)
     return out.select(
@@ -210,7 +208,9 @@ def valid_rows(spark, d):
 
 @query("epoch_seconds", "select event_id, round(epoch_us(ts)/1000000.0,6) epoch_s from events")
 def epoch_seconds(spark, d):
-    return clicklog.click_events(spark, d).select("event_id", r6("t", "epoch_s"))
+    events = clicklog.click_events(spark, d)
+    t = scalar.epoch_seconds(F.col("ts"), events.schema["ts"].dataType)
+    return events.select("event_id", r6(t, "epoch_s"))
 
 
 @query("category_codes", "select category_str, code from cat_code")
@@ -241,7 +241,7 @@ def user_index(spark, d):
 )
 def encode_users(spark, d):
     events = clicklog.click_events(spark, d)
-    index = encode.user_index(events.where("bucket = 8"))
+    index = encode.user_index(clicklog.in_buckets(events, 8, 8))
     return encode.encode_column(events.select("event_id", "user_id"), "user_id", index, "idx").select(
         "event_id", "user_id", "idx"
     )
@@ -255,7 +255,7 @@ def encode_users(spark, d):
 def encode_inview(spark, d):
     rows = clicklog.behaviors(spark, d, "train").select("impression_id", "article_ids_inview")
     index = encode.article_index(clicklog.article_ids(spark, d))
-    out = encode.encode_list(rows, "article_ids_inview", "impression_id", index, "inv_ids")
+    out = encode.encode_lists(rows, {"article_ids_inview": "inv_ids"}, "impression_id", index)
     return out.select(
         "impression_id", F.array_join(F.col("inv_ids").cast("array<string>"), ",").alias("inv_ids")
     )
@@ -305,7 +305,7 @@ def sinusoidal(spark, d):
     rows = clicklog.behaviors(spark, d, "train")
     t = scalar.epoch_seconds(F.col("impression_time"), rows.schema["impression_time"].dataType)
     return rows.select(
-        "impression_id", F.posexplode(scalar.sinusoidal(scalar.time_of_day(t))).alias("pos", "enc")
+        "impression_id", F.posexplode(arrays.sinusoidal(scalar.time_of_day(t))).alias("pos", "enc")
     ).select("impression_id", big("pos", "pos"), r6("enc", "enc"))
 
 

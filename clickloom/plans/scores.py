@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import vectors
 from clickloom.operators import candidates, encode, features, history, profiles, ranker, scoring
 from clickloom.plans import clicklog
-from clickloom.plans.histories import items, lists
+from clickloom.plans.histories import cut, lists
 from clickloom.plans.registry import big, query, r6
 from clickloom.sources import readers, sinks
 
@@ -33,22 +33,21 @@ KEEP = ("impression_id", "user_id")
 
 def similarity(spark, d, split, rows=None, keep=KEEP):
     vecs = unit_vectors(spark, d)
-    cut = history.cut_history(items(spark, d, split), "tail", 30, clicklog.STORED)
+    mean = profiles.mean_profiles(cut(spark, d, split), vecs)
     rows = impressions(spark, d, split) if rows is None else rows
-    return scoring.score_candidates(rows, profiles.mean_profiles(cut, vecs), vecs, keep)
+    return scoring.score_candidates(rows, mean, vecs, keep)
 
 
 def uniform(spark, d, split):
     vecs = plain_vectors(spark, d)
-    cut = history.cut_history(items(spark, d, split), "head", 50, clicklog.STORED)
-    mean = profiles.mean_profiles(cut, vecs, mask_unknown=False)
+    mean = profiles.mean_profiles(cut(spark, d, split, "head", 50), vecs, mask_unknown=False)
     return scoring.score_candidates(impressions(spark, d, split), mean, vecs, KEEP)
 
 
 def quality_scores(spark, d, split):
     vecs = plain_vectors(spark, d)
-    cut = history.cut_history(items(spark, d, split), "recent", 30, clicklog.STORED)
-    profile = profiles.quality_profiles(cut, vecs)
+    reads = history.clean_items(cut(spark, d, split, "recent"))
+    profile = profiles.quality_profiles(reads, vecs)
     return scoring.score_candidates(impressions(spark, d, split), profile, vecs, KEEP, scale_by_width=True)
 
 
@@ -113,8 +112,7 @@ def vector_width(spark, d):
     "select user_id, (unnest(generate_series(1,len(p)))-1)::bigint pos, round(unnest(p),6)+0.0 x from sim_user_train",
 )
 def user_mean_vector(spark, d):
-    cut = history.cut_history(items(spark, d, "train"), "tail", 30, clicklog.STORED)
-    out = profiles.mean_profiles(cut, unit_vectors(spark, d))
+    out = profiles.mean_profiles(cut(spark, d, "train"), unit_vectors(spark, d))
     return out.select("user_id", F.posexplode("profile").alias("pos", "x")).select(
         "user_id", big("pos", "pos"), r6("x", "x")
     )
@@ -181,13 +179,10 @@ def embedding_table(spark, d):
 
 def feature_rows(spark, d, split, rows, keep):
     raw = clicklog.raw_articles(spark, d)
-    ids = encode.article_index(clicklog.article_ids(spark, d))
-    feats = features.article_features(raw, ids, encode.category_codes(raw))
+    feats = features.article_features(raw, encode.category_codes(raw))
     vecs = unit_vectors(spark, d)
-    cut = history.cut_history(items(spark, d, split), "tail", 30, clicklog.STORED)
-    return scoring.candidate_features(
-        rows, lists(spark, d, split), profiles.mean_profiles(cut, vecs), feats, vecs, keep
-    )
+    mean = profiles.mean_profiles(cut(spark, d, split), vecs)
+    return scoring.candidate_features(rows, lists(spark, d, split), mean, feats, vecs, keep)
 
 
 _FEATURES = """select b.impression_id, b.pos, b.article_id, b.clicked::bigint as label,
