@@ -48,7 +48,7 @@ def clicked_ranks(ranked: DataFrame, keys: Sequence[str] = ("impression_id",)) -
 
 
 def stack_models(scored: dict[str, DataFrame]) -> DataFrame:
-    """Union of score tables with a `model` column."""
+    """Union of separately made score tables, with a `model` column."""
     out = None
     for model, df in scored.items():
         part = df.withColumn("model", F.lit(model))
@@ -56,10 +56,10 @@ def stack_models(scored: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def compare_models(scored: dict[str, DataFrame], top: int = 3) -> DataFrame:
-    """Per impression and model: the top list, best clicked rank and hit count."""
+def compare_models(scored: DataFrame, top: int = 3) -> DataFrame:
+    """Per model and impression: the top list, best clicked rank and hit count."""
     keys = ["model", "impression_id"]
-    ranked = rank_candidates(stack_models(scored), keys)
+    ranked = rank_candidates(scored, keys)
     best = F.filter(F.array_sort(F.collect_list(F.struct("rank", "article_id"))), lambda x: x["rank"] <= top)
     clicked = F.col("label") > 0
     return ranked.groupBy(*keys).agg(

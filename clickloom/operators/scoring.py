@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,45 @@ from clickloom.operators.history import with_history
 PAD_SCORE = -1e4  # fixed value given to padded candidates before ranking
 
 
+class Scorer(NamedTuple):
+    """A model that scores by the dot product of user profile and candidate vector."""
+
+    profiles: DataFrame
+    vector: str = "vector"
+    scale_by_width: bool = False
+
+
+def score_models(
+    impressions: DataFrame,
+    scorers: dict[str, Scorer],
+    article_vecs: DataFrame,
+    keep: Sequence[str] = ("impression_id",),
+) -> DataFrame:
+    """Score all candidates by all models in one pass: one row per candidate and model.
+
+    Profiles are joined per impression, before the candidates are exploded: one narrow
+    row per impression is shuffled instead of one per candidate, and the further models
+    reuse that partitioning. Scores are 0 when a profile or a vector is missing.
+    """
+    rows = impressions.select("user_id", *[k for k in keep if k != "user_id"], "candidates")
+    for i, scorer in enumerate(scorers.values()):
+        rows = rows.join(scorer.profiles.withColumnRenamed("profile", f"_p{i}"), "user_id", "left")
+    mine = [f"_p{i}" for i in range(len(scorers))]
+    pairs = explode_candidates(rows, [*keep, *mine]).join(article_vecs, "article_id", "left")
+
+    def score(i: int, scorer: Scorer) -> Column:
+        raw = F.coalesce(vectors.dot(F.col(f"_p{i}"), F.col(scorer.vector)), F.lit(0.0))
+        if not scorer.scale_by_width:
+            return raw
+        return raw / F.sqrt(F.coalesce(F.size(scorer.vector), F.lit(1)).cast("double"))
+
+    scores = F.array(*[
+        F.struct(F.lit(name).alias("model"), score(i, scorer).alias("score"))
+        for i, (name, scorer) in enumerate(scorers.items())
+    ])
+    return pairs.select(*keep, "pos", "article_id", "label", "valid", F.inline(scores))
+
+
 def score_candidates(
     impressions: DataFrame,
     profiles: DataFrame,
@@ -23,19 +63,9 @@ def score_candidates(
     keep: Sequence[str] = ("impression_id",),
     scale_by_width: bool = False,
 ) -> DataFrame:
-    """Dot product of user profile and candidate vector; 0 when either is missing.
-
-    The profile is joined per impression, before the candidates are exploded: one
-    narrow row per impression is shuffled instead of one per candidate.
-    """
-    profiled = impressions.select("user_id", *[k for k in keep if k != "user_id"], "candidates").join(
-        profiles, "user_id", "left"
-    )
-    rows = explode_candidates(profiled, [*keep, "profile"]).join(article_vecs, "article_id", "left")
-    score = F.coalesce(vectors.dot(F.col("profile"), F.col("vector")), F.lit(0.0))
-    if scale_by_width:
-        score = score / F.sqrt(F.coalesce(F.size("vector"), F.lit(1)).cast("double"))
-    return rows.select(*keep, "pos", "article_id", "label", "valid", score.alias("score"))
+    """Score all candidates by one model."""
+    scorer = Scorer(profiles, scale_by_width=scale_by_width)
+    return score_models(impressions, {"_": scorer}, article_vecs, keep).drop("model")
 
 
 def mask_padding(scored: DataFrame) -> DataFrame:

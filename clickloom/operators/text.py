@@ -4,59 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.scalar import with_prefix
 from clickloom.operators.encode import UNKNOWN_CATEGORY
+from clickloom.session import cut_lineage
 
 # Fixed value: the description of the category that stands for "none given".
 UNKNOWN_DESCRIPTION = "General news content with no specific category."
 PASSAGE = "passage: "
+NOT_A_WORD = "[^\\p{L}\\p{N}]+"
 
 
-def embed_text(
+def embed_texts(
     df: DataFrame,
-    column: str,
-    to: str,
+    columns: dict[str, str],
     dim: int = 256,
     prefix: str = PASSAGE,
     make_encoder: Callable[[], Callable] | None = None,
     batch_size: int = 32,
 ) -> DataFrame:
-    """Add a unit-length vector of each text, whole texts on the executors.
+    """Replace text columns by unit-length vectors of the whole texts.
 
-    Default: hashed term counts weighted by inverse document frequency. With
-    `make_encoder`, an external encoder gets the prefixed texts in batches (a string
+    Default: hashed term counts weighted by inverse document frequency. Texts are read
+    and tokenised once; only the sparse counts are checkpointed, because the document
+    frequencies need a pass over them before they can be weighted.
+
+    With `make_encoder`, an external encoder gets the prefixed texts in batches (a string
     array in, a (batch, dim) float array out) and is loaded once per Python process;
     its vectors are normalised here.
     """
-    text = df.withColumn("_text", F.coalesce(F.col(column), F.lit("")))
-    normalizer = Normalizer(p=2.0, inputCol="_weighted", outputCol="_unit")
-    if make_encoder is None:
-        stages = [
-            RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+"),
-            HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim),
-            IDF(inputCol="_tf", outputCol="_weighted"),
-            normalizer,
-        ]
-        vectors = Pipeline(stages=stages).fit(text).transform(text)
-    else:
+    keep = [c for c in df.columns if c not in columns]
+    if make_encoder is not None:
         encode = predict_batch_udf(
             make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
         )
-        from pyspark.ml.functions import array_to_vector
-
-        encoded = encode(with_prefix(F.col("_text"), prefix))
-        vectors = normalizer.transform(
-            text.withColumn("_weighted", array_to_vector(encoded.cast("array<double>")))
-        )
-    unit = vector_to_array("_unit", "float32")
-    return vectors.select(*df.columns, unit.alias(to))
+        weighted = df.select(*keep, *[
+            array_to_vector(
+                encode(with_prefix(F.coalesce(c, F.lit("")), prefix)).cast("array<double>")
+            ).alias(f"_w{i}")
+            for i, c in enumerate(columns)
+        ])
+    else:
+        counts = df.select(*keep, *[
+            F.coalesce(c, F.lit("")).alias(f"_text{i}") for i, c in enumerate(columns)
+        ])
+        for i in range(len(columns)):
+            words = RegexTokenizer(inputCol=f"_text{i}", outputCol=f"_words{i}", pattern=NOT_A_WORD)
+            tf = HashingTF(inputCol=f"_words{i}", outputCol=f"_tf{i}", numFeatures=dim)
+            counts = tf.transform(words.transform(counts))
+        weighted = cut_lineage(counts.select(*keep, *[f"_tf{i}" for i in range(len(columns))]))
+        for i in range(len(columns)):
+            idf = IDF(inputCol=f"_tf{i}", outputCol=f"_w{i}").fit(weighted)
+            weighted = idf.transform(weighted)
+    for i in range(len(columns)):
+        weighted = Normalizer(p=2.0, inputCol=f"_w{i}", outputCol=f"_unit{i}").transform(weighted)
+    return weighted.select(*keep, *[
+        vector_to_array(f"_unit{i}", "float32").alias(to) for i, to in enumerate(columns.values())
+    ])
 
 
 def category_descriptions(categories: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
@@ -81,8 +90,8 @@ def category_vectors(
 ) -> DataFrame:
     """Category artefact (category_str, cat_id, category_vector), one row per category."""
     described = category_descriptions(categories, descriptions)
-    embedded = embed_text(described, "description", "category_vector", dim, PASSAGE, make_encoder)
-    return embedded.select("category_str", "cat_id", "category_vector")
+    columns = {"description": "category_vector"}
+    return embed_texts(described, columns, dim, make_encoder=make_encoder)
 
 
 def embed_articles(
@@ -96,8 +105,9 @@ def embed_articles(
     `text` comes from `article_text`, `categories` from `category_vectors`. A category
     the artefact lacks keeps its article with a null vector.
     """
-    titled = embed_text(text, "full_title", "title_vector", dim, PASSAGE, make_encoder)
-    full = embed_text(titled, "body", "body_vector", dim, PASSAGE, make_encoder)
-    return full.join(categories.select("category_str", "category_vector"), "category_str", "left").select(
+    columns = {"full_title": "title_vector", "body": "body_vector"}
+    both = embed_texts(text, columns, dim, make_encoder=make_encoder)
+    named = categories.select("category_str", "category_vector")
+    return both.join(named, "category_str", "left").select(
         "article_id", "published_time", "category_str", "title_vector", "body_vector", "category_vector"
     )

@@ -10,6 +10,7 @@ whole tables; the long history is never gathered per user before its cut.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,21 +29,6 @@ class Split:
 SPLITS = {"train": Split(5, 5, 7), "validation": Split(8, 8, 8), "test": Split(9, 9, 9)}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        "user_id",
-        "event_type",
-        "value",
-        "ts",
-        F.get_json_object("props", "$.k").cast("bigint").alias("article_id"),
-    )
-
-
 def _bucket_start(bucket: int):
     """First moment of a bucket, as a literal: a filter on `ts` that reaches the scan."""
     return F.expr(f"timestamp_ntz'{FIRST_DAY} 00:00:00' + make_dt_interval({BUCKET_DAYS * bucket})")
@@ -52,122 +38,137 @@ def in_buckets(events: DataFrame, first: int, last: int) -> DataFrame:
     return events.where((F.col("ts") >= _bucket_start(first)) & (F.col("ts") < _bucket_start(last + 1)))
 
 
-def split_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User ids of all splits' impressions."""
-    last = max(s.last for s in SPLITS.values())
-    first = min(s.first for s in SPLITS.values())
-    return in_buckets(click_events(spark, sf_dir), first, last).select("user_id")
-
-
-def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = click_events(spark, sf_dir)
-    shown = events.groupBy("article_id").agg(
-        F.count_if(F.col("event_type") == "view").alias("views"),
-        F.count(F.lit(1)).alias("inviews"),
-        F.sum("value").alias("read_time"),
-    )
-    labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("article_id"), F.col("quality").cast("double").alias("sentiment_score")
-    )
-    doc_id = F.col("doc_id")
-    day = F.expr("timestamp_ntz'2024-01-01 00:00:00' - make_dt_interval(cast(doc_id % 20 as int))")
-    documents = table(spark, sf_dir, "documents").where((doc_id < 95) | (doc_id >= 100)).select(
-        doc_id.alias("article_id"),
-        F.when(F.col("lang") != "es", F.col("lang")).alias("category_str"),
-        F.substring("text", 1, 60).alias("title"),
-        F.when(doc_id % 7 != 0, F.col("source")).alias("subtitle"),
-        F.col("text").alias("body"),
-        day.alias("published_time"),
-    )
-    return (
-        documents.join(shown, "article_id", "left")
-        .join(labels, "article_id", "left")
-        .select(
-            "article_id", "category_str", "title", "subtitle", "body", "published_time",
-            F.nullif(F.col("views"), F.lit(0)).alias("total_pageviews"),
-            F.col("inviews").alias("total_inviews"),
-            F.col("read_time").alias("total_read_time"),
-            "sentiment_score",
-        )
-    )
+# Stored order of a history: by time, equal times by event.
+STORED = ("impression_time", "event_id")
 
 
-def article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known article ids only: reads one column."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id")).where(
-        (F.col("article_id") < 95) | (F.col("article_id") >= 100)
-    )
+class ClickLog:
+    """The tables below one folder; each file set is listed and opened once."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
 
-def history_items(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
-    """Long raw history: one row per read; users with an id divisible by 13 have none."""
-    value = F.col("value")
-    return (
-        click_events(spark, sf_dir)
-        .where(F.col("ts") < _bucket_start(SPLITS[split].history_before))
-        .where(F.col("user_id") % 13 != 0)
-        .select(
-            "user_id",
+    def table(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
+
+    def click_events(self) -> DataFrame:
+        return self.table("events").select(
             "event_id",
-            "article_id",
-            F.least(value, F.lit(100.0)).alias("scroll_percentage"),
-            F.when(F.col("event_type") != "error", value * 4.0 - 10.0).alias("read_time"),
-            F.col("ts").alias("impression_time"),
+            "user_id",
+            "event_type",
+            "value",
+            "ts",
+            F.get_json_object("props", "$.k").cast("bigint").alias("article_id"),
         )
-    )
 
+    def split_users(self) -> DataFrame:
+        """User ids of all splits' impressions."""
+        last = max(s.last for s in SPLITS.values())
+        first = min(s.first for s in SPLITS.values())
+        return in_buckets(self.click_events(), first, last).select("user_id")
+
+    @cached_property
+    def article_documents(self) -> DataFrame:
+        """Ids, category, texts and publication time: the document table alone."""
+        doc_id = F.col("doc_id")
+        day = F.expr(f"timestamp_ntz'{FIRST_DAY} 00:00:00' - make_dt_interval(cast(doc_id % 20 as int))")
+        known = self.table("documents").where((doc_id < 95) | (doc_id >= 100))
+        return known.select(
+            doc_id.alias("article_id"),
+            F.when(F.col("lang") != "es", F.col("lang")).alias("category_str"),
+            F.substring("text", 1, 60).alias("title"),
+            F.when(doc_id % 7 != 0, F.col("source")).alias("subtitle"),
+            F.col("text").alias("body"),
+            day.alias("published_time"),
+        )
 
-# Stored order of a history: by time, equal times by event.
-STORED = ("impression_time", "event_id")
+    @cached_property
+    def raw_articles(self) -> DataFrame:
+        """Article documents with their exposure totals and sentiment."""
+        shown = self.click_events().groupBy("article_id").agg(
+            F.nullif(F.count_if(F.col("event_type") == "view"), F.lit(0)).alias("total_pageviews"),
+            F.count(F.lit(1)).alias("total_inviews"),
+            F.sum("value").alias("total_read_time"),
+        )
+        labels = self.table("labels").select(
+            F.col("doc_id").alias("article_id"),
+            F.col("quality").cast("double").alias("sentiment_score"),
+        )
+        return self.article_documents.join(shown, "article_id", "left").join(labels, "article_id", "left")
 
+    def article_ids(self) -> DataFrame:
+        """Known article ids only: reads one column."""
+        return self.table("documents").select(F.col("doc_id").alias("article_id")).where(
+            (F.col("article_id") < 95) | (F.col("article_id") >= 100)
+        )
+
+    def history_items(self, split: str) -> DataFrame:
+        """Long raw history: one row per read; users with an id divisible by 13 have none."""
+        value = F.col("value")
+        return (
+            self.click_events()
+            .where(F.col("ts") < _bucket_start(SPLITS[split].history_before))
+            .where(F.col("user_id") % 13 != 0)
+            .select(
+                "user_id",
+                "event_id",
+                "article_id",
+                F.least(value, F.lit(100.0)).alias("scroll_percentage"),
+                F.when(F.col("event_type") != "error", value * 4.0 - 10.0).alias("read_time"),
+                F.col("ts").alias("impression_time"),
+            )
+        )
+
+    def behaviors(self, split: str, clicks: bool = True) -> DataFrame:
+        """Raw behaviors: one row per impression.
+
+        The first aggregate folds repeated exposures before the impression is gathered, so
+        an impression's list holds each shown article once, however many events it had.
+        """
+        cut = SPLITS[split]
+        day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date"))
+        shown = (
+            in_buckets(self.click_events(), cut.first, cut.last)
+            .withColumn("bucket", F.floor(day / F.lit(BUCKET_DAYS)).cast("int"))
+            .groupBy("user_id", "bucket", "article_id")
+            .agg(
+                F.min("event_id").alias("first_event"),
+                F.min("ts").alias("first_ts"),
+                F.max((F.col("event_type") == "click").cast("int")).alias("clicked"),
+            )
+        )
+        lists = shown.groupBy("user_id", "bucket").agg(
+            F.min("first_event").alias("impression_id"),
+            F.min("first_ts").alias("impression_time"),
+            F.array_sort(F.collect_list(F.struct("first_event", "article_id", "clicked"))).alias("_s"),
+        )
+        user = F.col("user_id")
+        columns = [
+            "impression_id",
+            "user_id",
+            "impression_time",
+            F.col("_s")["article_id"].alias("article_ids_inview"),
+        ]
+        if clicks:
+            hits = F.filter("_s", lambda x: x["clicked"] == 1)
+            columns.append(F.transform(hits, lambda x: x["article_id"]).alias("article_ids_clicked"))
+        return lists.select(
+            *columns,
+            F.when(user % 11 != 0, user % 3).cast("int").alias("device_type"),
+            F.when(user % 5 == 0, F.lit(20) + user % 60).cast("int").alias("age"),
+            F.when(user % 7 == 0, user % 2).cast("int").alias("gender"),
+            (user % 10 == 0).alias("is_subscriber"),
+            F.when(user % 9 != 0, user % 4 == 0).alias("is_sso_user"),
+            F.col("impression_id").alias("session_id"),
+        )
 
-def behaviors(spark: SparkSession, sf_dir: str, split: str, clicks: bool = True) -> DataFrame:
-    """Raw behaviors: one row per impression.
-
-    The first aggregate folds repeated exposures before the impression is gathered, so
-    an impression's list holds each shown article once, however many events it had.
-    """
-    cut = SPLITS[split]
-    day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date"))
-    shown = (
-        in_buckets(click_events(spark, sf_dir), cut.first, cut.last)
-        .withColumn("bucket", F.floor(day / F.lit(BUCKET_DAYS)).cast("int"))
-        .groupBy("user_id", "bucket", "article_id")
-        .agg(
-            F.min("event_id").alias("first_event"),
-            F.min("ts").alias("first_ts"),
-            F.max((F.col("event_type") == "click").cast("int")).alias("clicked"),
+    def embeddings(self) -> DataFrame:
+        """Vectors of known articles; the others stand for unknown ids."""
+        vectors = self.table("embeddings").select(
+            F.col("vec_id").alias("article_id"), F.col("embedding").alias("vector")
         )
-    )
-    lists = shown.groupBy("user_id", "bucket").agg(
-        F.min("first_event").alias("impression_id"),
-        F.min("first_ts").alias("impression_time"),
-        F.array_sort(F.collect_list(F.struct("first_event", "article_id", "clicked"))).alias("_s"),
-    )
-    user = F.col("user_id")
-    columns = [
-        "impression_id",
-        "user_id",
-        "impression_time",
-        F.col("_s")["article_id"].alias("article_ids_inview"),
-    ]
-    if clicks:
-        hits = F.filter("_s", lambda x: x["clicked"] == 1)
-        columns.append(F.transform(hits, lambda x: x["article_id"]).alias("article_ids_clicked"))
-    return lists.select(
-        *columns,
-        F.when(user % 11 != 0, user % 3).cast("int").alias("device_type"),
-        F.when(user % 5 == 0, F.lit(20) + user % 60).cast("int").alias("age"),
-        F.when(user % 7 == 0, user % 2).cast("int").alias("gender"),
-        (user % 10 == 0).alias("is_subscriber"),
-        F.when(user % 9 != 0, user % 4 == 0).alias("is_sso_user"),
-        F.col("impression_id").alias("session_id"),
-    )
-
-
-def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of known articles; the others stand for unknown ids."""
-    vectors = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("article_id"), F.col("embedding").alias("vector")
-    )
-    return vectors.join(article_ids(spark, sf_dir), "article_id", "left_semi")
+        return vectors.join(self.article_ids(), "article_id", "left_semi")

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from clickloom.operators import candidates, metrics, ranking
 from clickloom.plans import clicklog
 from clickloom.plans.registry import big, query, r6
-from clickloom.plans.scores import quality_scores, similarity, uniform
+from clickloom.plans.scores import all_models, similarity
 from clickloom.sources import sinks
 
 
-def fixed_scores(spark, d, split="validation"):
+def fixed_scores(log, split="validation"):
     """A fixed score with many ties: ((37 * article + 11 * impression) mod 100) / 25 - 2."""
-    rows = candidates.full_candidates(clicklog.behaviors(spark, d, split))
+    rows = candidates.full_candidates(log.behaviors(split))
     flat = candidates.explode_candidates(rows, ["impression_id", "user_id"])
     score = ((F.col("article_id") * 37 + F.col("impression_id") * 11) % 100) / F.lit(25.0) - F.lit(2.0)
     return flat.withColumn("score", score)
@@ -24,8 +24,8 @@ def fixed_scores(spark, d, split="validation"):
     """select impression_id, pos, article_id, row_number() over (partition by impression_id order by score desc,pos) as "rank"
     from fixed_test""",
 )
-def candidate_ranks(spark, d):
-    return ranking.rank_candidates(fixed_scores(spark, d, "test")).select(
+def candidate_ranks(log):
+    return ranking.rank_candidates(fixed_scores(log, "test")).select(
         "impression_id", big("pos", "pos"), "article_id", big("rank", "rank")
     )
 
@@ -36,8 +36,8 @@ def candidate_ranks(spark, d):
       select *, row_number() over (partition by impression_id order by score desc,pos) rk from fixed_test)
     group by impression_id""",
 )
-def submission_lines(spark, d):
-    return sinks.submission_lines(ranking.rank_candidates(fixed_scores(spark, d, "test")))
+def submission_lines(log):
+    return sinks.submission_lines(ranking.rank_candidates(fixed_scores(log, "test")))
 
 
 @query(
@@ -46,8 +46,8 @@ def submission_lines(spark, d):
       select *, row_number() over (partition by impression_id order by score desc,pos) rk from sim_validation)
     where rk<=3""",
 )
-def top3(spark, d):
-    return ranking.top_candidates(similarity(spark, d, "validation"), 3).select(
+def top3(log):
+    return ranking.top_candidates(similarity(log, "validation"), 3).select(
         "impression_id", "article_id", big("rank", "rank")
     )
 
@@ -59,22 +59,14 @@ def top3(spark, d):
         row_number() over (partition by impression_id order by score desc,pos) rk from fixed_validation)
     where label=1""",
 )
-def clicked_ranks(spark, d):
-    out = ranking.clicked_ranks(ranking.rank_candidates(fixed_scores(spark, d)))
+def clicked_ranks(log):
+    out = ranking.clicked_ranks(ranking.rank_candidates(fixed_scores(log)))
     return out.select(
         "impression_id", "article_id", big("pos", "pos"), big("rank", "rank"),
         big("n_candidates", "n_candidates"), r6("rank_share", "rank_share"), big("hit", "hit"),
     )
 
 
-def _models(spark, d):
-    return {
-        "similarity": similarity(spark, d, "validation"),
-        "uniform": uniform(spark, d, "validation"),
-        "quality": quality_scores(spark, d, "validation"),
-    }
-
-
 _MODEL_VIEWS = {"similarity": "sim_validation", "uniform": "uni_validation", "quality": "qual_validation"}
 _STACKED = " union all ".join(
     f"select '{m}' model, impression_id, pos, article_id, label, score from {v}" for m, v in _MODEL_VIEWS.items()
@@ -88,16 +80,16 @@ _STACKED = " union all ".join(
     from (select *, row_number() over (partition by model, impression_id order by score desc,pos) rk from ({_STACKED}))
     group by model, impression_id""",
 )
-def model_comparison(spark, d):
-    return ranking.compare_models(_models(spark, d)).select(
+def model_comparison(log):
+    return ranking.compare_models(all_models(log, "validation")).select(
         "model", "impression_id", "top_articles", big("best_clicked_rank", "best_clicked_rank"),
         "hits", "n_candidates",
     )
 
 
 @query("mrr", "select round(avg(rr),6) mrr, count(*) n_impressions from fixed_validation_per")
-def mrr(spark, d):
-    return metrics.impression_metrics(fixed_scores(spark, d)).agg(
+def mrr(log):
+    return metrics.impression_metrics(fixed_scores(log)).agg(
         r6(F.avg("rr"), "mrr"), F.count(F.lit(1)).alias("n_impressions")
     )
 
@@ -106,8 +98,8 @@ def mrr(spark, d):
     "ndcg",
     "select impression_id, round(ndcg5,6)+0.0 ndcg_5, round(ndcg10,6)+0.0 ndcg_10 from fixed_validation_per",
 )
-def ndcg(spark, d):
-    return metrics.impression_metrics(fixed_scores(spark, d)).select(
+def ndcg(log):
+    return metrics.impression_metrics(fixed_scores(log)).select(
         "impression_id", r6("ndcg5", "ndcg_5"), r6("ndcg10", "ndcg_10")
     )
 
@@ -116,8 +108,8 @@ def ndcg(spark, d):
     "auc_impression",
     "select impression_id, n n_candidates, n_pos::bigint n_pos, round(auc,6) auc from fixed_validation_per",
 )
-def auc_impression(spark, d):
-    return metrics.impression_metrics(fixed_scores(spark, d)).select(
+def auc_impression(log):
+    return metrics.impression_metrics(fixed_scores(log)).select(
         "impression_id", F.col("n").alias("n_candidates"), "n_pos", r6("auc", "auc")
     )
 
@@ -132,9 +124,9 @@ def auc_impression(spark, d):
         from (select f.*, (dense_rank() over (order by impression_id)-1)//32 batch_id from fixed_validation f))
       group by batch_id) where auc is not null""",
 )
-def auc_batched(spark, d):
+def auc_batched(log):
     """Batches of 32 impressions."""
-    return metrics.auc_batched(metrics.assign_batches(fixed_scores(spark, d), 32)).select(
+    return metrics.auc_batched(metrics.assign_batches(fixed_scores(log), 32)).select(
         "n_batches", r6("auc", "auc")
     )
 
@@ -145,19 +137,19 @@ def auc_batched(spark, d):
       round((sum(ar) filter (label=1)-sum(label)*(sum(label)+1)/2.0)/(sum(label)*sum(1-label)),6) auc
     from (select *, rank() over (order by score)+(count(*) over (partition by score)-1)/2.0 ar from fixed_validation)""",
 )
-def auc_global(spark, d):
-    return metrics.auc_global(fixed_scores(spark, d)).select("n_pos", "n_neg", r6("auc", "auc"))
+def auc_global(log):
+    return metrics.auc_global(fixed_scores(log)).select("n_pos", "n_neg", r6("auc", "auc"))
 
 
 @query("bce_loss", "select round(sum(bce_sum)/(sum(n)+1e-4),6) bce_loss from fixed_train_per")
-def bce_loss(spark, d):
-    per = metrics.impression_metrics(fixed_scores(spark, d, "train"))
+def bce_loss(log):
+    per = metrics.impression_metrics(fixed_scores(log, "train"))
     return per.agg(r6(F.sum("bce_sum") / (F.sum("n") + F.lit(metrics.EPS)), "bce_loss"))
 
 
 @query("listnet_loss", "select round(avg(listnet),6) listnet_loss from fixed_train_per")
-def listnet_loss(spark, d):
-    return metrics.impression_metrics(fixed_scores(spark, d, "train")).agg(
+def listnet_loss(log):
+    return metrics.impression_metrics(fixed_scores(log, "train")).agg(
         r6(F.avg("listnet"), "listnet_loss")
     )
 
@@ -173,24 +165,24 @@ _BY_MODEL = " union all ".join(
 )
 
 
-def report(spark, d):
+def report(log):
     """One row per model; the candidate policy is part of the row, as it moves the numbers."""
-    rows = ranking.stack_models(_models(spark, d)).withColumn("candidates", F.lit("full"))
+    rows = all_models(log, "validation").withColumn("candidates", F.lit("full"))
     return metrics.evaluate(rows, ["model", "candidates"])
 
 
 @query("evaluate", _REPORT.format(head="'similarity' model, 'full' candidates,", view="sim_validation_per"))
-def evaluate(spark, d):
-    rows = ranking.stack_models({"similarity": similarity(spark, d, "validation")})
+def evaluate(log):
+    rows = ranking.stack_models({"similarity": similarity(log, "validation")})
     out = metrics.evaluate(rows.withColumn("candidates", F.lit("full")), ["model", "candidates"])
     return out.select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
 
 
 @query("evaluate_models", _BY_MODEL)
-def evaluate_models(spark, d):
-    return report(spark, d).select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
+def evaluate_models(log):
+    return report(log).select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
 
 
 @query("best_model", f"select model, auc from ({_BY_MODEL}) order by auc desc, model desc limit 1")
-def best_model(spark, d):
-    return metrics.best_model(report(spark, d)).select("model", r6("auc", "auc"))
+def best_model(log):
+    return metrics.best_model(report(log)).select("model", r6("auc", "auc"))

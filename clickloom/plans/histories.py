@@ -14,12 +14,12 @@ from clickloom.plans.registry import big, query, r6
 LEN = 30
 
 
-def cut(spark, d, split, policy="tail", n=LEN):
-    return history.cut_history(clicklog.history_items(spark, d, split), policy, n, clicklog.STORED)
+def cut(log, split, policy="tail", n=LEN):
+    return history.cut_history(log.history_items(split), policy, n, clicklog.STORED)
 
 
-def lists(spark, d, split, policy="tail", n=LEN):
-    return history.history_lists(clicklog.history_items(spark, d, split), policy, n, clicklog.STORED)
+def lists(log, split, policy="tail", n=LEN):
+    return history.history_lists(log.history_items(split), policy, n, clicklog.STORED)
 
 
 def exploded(df, *fields):
@@ -29,8 +29,8 @@ def exploded(df, *fields):
 
 
 @query("history_head", "select user_id, pos, article_id from first50_test")
-def history_head(spark, d):
-    return exploded(lists(spark, d, "test", "head", 50), "x.article_id")
+def history_head(log):
+    return exploded(lists(log, "test", "head", 50), "x.article_id")
 
 
 @query(
@@ -38,10 +38,10 @@ def history_head(spark, d):
     "select user_id, pos, article_id, round(scroll,6) scroll, round(clean_time,6)+0.0 read_time, "
     "round(t,6) ts from recent30_validation",
 )
-def history_tail(spark, d):
+def history_tail(log):
     """Last 30 in stored order, all fields from the same items."""
     return exploded(
-        lists(spark, d, "validation", "tail"),
+        lists(log, "validation", "tail"),
         "x.article_id", r6("x.scroll", "scroll"), r6("x.read_time", "read_time"), r6("x.ts", "ts"),
     )
 
@@ -50,9 +50,9 @@ def history_tail(spark, d):
     "history_last30",
     "select user_id, pos, article_id, round(scroll,6) scroll, round(log_time,6)+0.0 log_time from recent30_train",
 )
-def history_last30(spark, d):
+def history_last30(log):
     return exploded(
-        lists(spark, d, "train", "recent"),
+        lists(log, "train", "recent"),
         "x.article_id", r6("x.scroll", "scroll"), r6("x.log_time", "log_time"),
     )
 
@@ -62,8 +62,8 @@ def history_last30(spark, d):
     """select count(*) n_users, sum(n)::bigint n_items, max(n) longest, max(m) max_article_id
     from (select user_id, count(*) n, max(article_id) m from hist_test group by user_id)""",
 )
-def history_stats(spark, d):
-    per_user = clicklog.history_items(spark, d, "test").groupBy("user_id").agg(
+def history_stats(log):
+    per_user = log.history_items("test").groupBy("user_id").agg(
         F.count("article_id").alias("n"), F.max("article_id").alias("m")
     )
     return per_user.agg(
@@ -77,8 +77,8 @@ def history_stats(spark, d):
     """select user_id, n n_items, (sum(n) over (order by user_id)-n)::bigint start_offset
     from (select user_id, count(*) n from hist_train group by user_id)""",
 )
-def history_offsets(spark, d):
-    sizes = history.history_sizes(clicklog.history_items(spark, d, "train"))
+def history_offsets(log):
+    sizes = history.history_sizes(log.history_items("train"))
     return running_total(sizes, ["user_id"], "n_items", "start_offset", inclusive=False)
 
 
@@ -87,19 +87,19 @@ def history_offsets(spark, d):
     """select user_id, row_number() over (partition by user_id order by t,event_id)-1 pos, article_id,
       round(scroll_percentage,6) scroll_percentage, round(read_time,6) read_time from hist_test""",
 )
-def history_explode(spark, d):
+def history_explode(log):
     """Long histories with their stored position, over all reads."""
     numbered = position_in_group(
-        clicklog.history_items(spark, d, "test"), ["user_id"], clicklog.STORED
+        log.history_items("test"), ["user_id"], clicklog.STORED
     )
     return numbered.select(
         "user_id", "pos", "article_id", r6("scroll_percentage", "scroll_percentage"), r6("read_time", "read_time")
     )
 
 
-def _pad(spark, d, side):
+def _pad(log, side):
     fields = ["article_id", "scroll", "log_time"]
-    wide = history.padded(lists(spark, d, "train", "recent"), LEN, side, fields)
+    wide = history.padded(lists(log, "train", "recent"), LEN, side, fields)
     return wide.select("user_id", F.posexplode(F.arrays_zip(*fields)).alias("pos", "x")).select(
         "user_id", big("pos", "pos"), "x.article_id", r6("x.scroll", "scroll"), r6("x.log_time", "log_time")
     )
@@ -113,13 +113,13 @@ def _padded_sql(shift):
 
 
 @query("history_pad_left", _padded_sql("u.i-(30-u.n)"))
-def history_pad_left(spark, d):
-    return _pad(spark, d, "left")
+def history_pad_left(log):
+    return _pad(log, "left")
 
 
 @query("history_pad_right", _padded_sql("u.i"))
-def history_pad_right(spark, d):
-    return _pad(spark, d, "right")
+def history_pad_right(log):
+    return _pad(log, "right")
 
 
 @query(
@@ -129,11 +129,11 @@ def history_pad_right(spark, d):
       (select user_id, count(*) filter (article_id<>0) n, sum(scroll) s from recent30_validation group by user_id) h
       using (user_id)""",
 )
-def cold_start(spark, d):
+def cold_start(log):
     """Fixed-length lists per impression, all zeros for a user without history."""
-    rows = clicklog.behaviors(spark, d, "validation").select("impression_id", "user_id")
+    rows = log.behaviors("validation").select("impression_id", "user_id")
     out = history.with_padded_history(
-        rows, lists(spark, d, "validation", "tail"), LEN, "right", ["article_id", "scroll"]
+        rows, lists(log, "validation", "tail"), LEN, "right", ["article_id", "scroll"]
     )
     total = F.aggregate("scroll", F.lit(0.0), lambda acc, x: acc + x)
     return out.select(
@@ -149,9 +149,9 @@ def cold_start(spark, d):
     from imp_test i left join (select user_id, count(*) n, string_agg(article_id::varchar,',' order by pos) ids
       from first50_test group by user_id) h using (user_id)""",
 )
-def impression_history(spark, d):
-    rows = clicklog.behaviors(spark, d, "test", clicks=False).select("impression_id", "user_id")
-    out = history.with_history(rows, lists(spark, d, "test", "head", 50))
+def impression_history(log):
+    rows = log.behaviors("test", clicks=False).select("impression_id", "user_id")
+    out = history.with_history(rows, lists(log, "test", "head", 50))
     ids = F.col("hist")["article_id"].cast("array<string>")
     return out.select(
         "impression_id", "user_id", big(F.size("hist"), "n_items"), F.array_join(ids, ",").alias("hist_ids")
@@ -164,9 +164,9 @@ def impression_history(spark, d):
       round(coalesce(age,0)/100.0,6) norm_age from imp_validation i left join
       (select user_id, count(*) n from recent30_validation group by user_id) h using (user_id)""",
 )
-def impression_features(spark, d):
-    rows = clicklog.behaviors(spark, d, "validation")
-    out = impression_feature_rows(rows, lists(spark, d, "validation"))
+def impression_features(log):
+    rows = log.behaviors("validation")
+    out = impression_feature_rows(rows, lists(log, "validation"))
     return out.select(
         "impression_id", r6("log_hist_len", "log_hist_len"), r6("day_time", "day_time"), r6("norm_age", "norm_age")
     )
@@ -177,9 +177,9 @@ def impression_features(spark, d):
     """select i.impression_id, h.pos, h.article_id, round(ln(1+greatest((i.imp_t-h.t)/3600.0,0)),6)+0.0 recency
     from imp_validation i join recent30_validation h using (user_id)""",
 )
-def history_recency(spark, d):
-    rows = clicklog.behaviors(spark, d, "validation")
-    timed = impression_feature_rows(rows, lists(spark, d, "validation"))
+def history_recency(log):
+    rows = log.behaviors("validation")
+    timed = impression_feature_rows(rows, lists(log, "validation"))
     zipped = F.arrays_zip(F.col("hist")["article_id"].alias("article_id"), arrays.recency_list(F.col("hist")["ts"], F.col("imp_ts")).alias("recency"))
     return timed.select("impression_id", F.posexplode(zipped).alias("pos", "x")).select(
         "impression_id", big("pos", "pos"), F.col("x.article_id").alias("article_id"), r6("x.recency", "recency")
@@ -187,8 +187,8 @@ def history_recency(spark, d):
 
 
 @query("labelled_candidates", "select impression_id, user_id, pos, article_id, clicked::bigint as label from bl_validation")
-def labelled_candidates(spark, d):
-    rows = candidates.full_candidates(clicklog.behaviors(spark, d, "validation"))
+def labelled_candidates(log):
+    rows = candidates.full_candidates(log.behaviors("validation"))
     return candidates.explode_candidates(rows, ["impression_id", "user_id"]).select(
         "impression_id", "user_id", big("pos", "pos"), "article_id", big("label", "label")
     )
@@ -199,8 +199,8 @@ def labelled_candidates(spark, d):
     """select impression_id, row_number() over (partition by impression_id order by pos)-1 pos, article_id
     from bl_train where clicked=0""",
 )
-def negative_pool(spark, d):
-    return candidates.negative_pool(clicklog.behaviors(spark, d, "train")).select(
+def negative_pool(log):
+    return candidates.negative_pool(log.behaviors("train")).select(
         "impression_id", big("pos", "pos"), "article_id"
     )
 
@@ -247,8 +247,8 @@ def _oracle(samples: str, short: str, empty: str, order: str = _HASHED) -> str:
     return sql
 
 
-def _samples(spark, d, policy, mode="random"):
-    rows = sampling.sample_candidates(clicklog.behaviors(spark, d, "train"), policy, mode=mode)
+def _samples(log, policy, mode="random"):
+    rows = sampling.sample_candidates(log.behaviors("train"), policy, mode=mode)
     return candidates.explode_candidates(rows, ["impression_id", "positive"]).select(
         "impression_id", "positive", big("pos", "pos"), big("article_id", "article_id"),
         big("label", "label"), big("valid", "valid"),
@@ -256,23 +256,23 @@ def _samples(spark, d, policy, mode="random"):
 
 
 @query("neg_sample_per_click", _oracle(_ALL_CLICKS, "draw", "s.positive"))
-def neg_sample_per_click(spark, d):
-    return _samples(spark, d, "per_click")
+def neg_sample_per_click(log):
+    return _samples(log, "per_click")
 
 
 @query("neg_sample_padded", _oracle(_ONE_CLICK, "pad", "0"))
-def neg_sample_padded(spark, d):
-    return _samples(spark, d, "padded")
+def neg_sample_padded(log):
+    return _samples(log, "padded")
 
 
 @query("neg_sample_padded_validation", _oracle(_FIRST_CLICK, "pad", "0", "b.pos"))
-def neg_sample_padded_validation(spark, d):
-    return _samples(spark, d, "padded", "first")
+def neg_sample_padded_validation(log):
+    return _samples(log, "padded", "first")
 
 
 @query("neg_sample_cycled", _oracle(_ONE_CLICK, "cycle", "s.positive"))
-def neg_sample_cycled(spark, d):
-    return _samples(spark, d, "cycled")
+def neg_sample_cycled(log):
+    return _samples(log, "cycled")
 
 
 @query(
@@ -281,11 +281,11 @@ def neg_sample_cycled(spark, d):
       row_number() over (order by md5('42|'||impression_id||'|'||positive))-1 place
     from (select impression_id, article_id positive from bl_train where clicked=1)""",
 )
-def shuffled_samples(spark, d):
+def shuffled_samples(log):
     """The shuffled order made visible: each sample's place, numbered over ranges of keys."""
     from clickloom.operators.ordering import dense_index
 
-    rows = sampling.sample_candidates(clicklog.behaviors(spark, d, "train"), "per_click")
+    rows = sampling.sample_candidates(log.behaviors("train"), "per_click")
     shuffled = sampling.shuffle_samples(rows.select("impression_id", "positive"), ["impression_id", "positive"])
     return shuffled.join(dense_index(shuffled, "shuffle_key", 0, "place"), "shuffle_key").select(
         "impression_id", "positive", "shuffle_key", "place"

@@ -19,29 +19,29 @@ def _norm(column):
 
 
 @query("text_embedding")
-def text_embedding(spark, d):
+def text_embedding(log):
     """Whole bodies of all articles."""
-    rows = features.article_text(clicklog.raw_articles(spark, d), None).select("article_id", "body")
-    return text.embed_text(rows, "body", "vector", DIM).select(
+    rows = features.article_text(log.article_documents, None).select("article_id", "body")
+    return text.embed_texts(rows, {"body": "vector"}, DIM).select(
         "article_id", big(F.size("vector"), "width"), r6(_norm("vector"), "norm")
     )
 
 
-def _categories(spark, d):
-    return encode.category_dictionary(clicklog.raw_articles(spark, d))
+def _categories(log):
+    return encode.category_dictionary(log.article_documents)
 
 
 @query("category_embedding")
-def category_embedding(spark, d):
-    return text.category_vectors(_categories(spark, d), DIM).select(
+def category_embedding(log):
+    return text.category_vectors(_categories(log), DIM).select(
         "category_str", "cat_id", big(F.size("category_vector"), "width"), r6(_norm("category_vector"), "norm")
     )
 
 
 @query("article_embedding_table")
-def article_embedding_table(spark, d):
-    rows = features.article_text(clicklog.raw_articles(spark, d), None)
-    out = text.embed_articles(rows, text.category_vectors(_categories(spark, d), DIM), DIM)
+def article_embedding_table(log):
+    rows = features.article_text(log.article_documents, None)
+    out = text.embed_articles(rows, text.category_vectors(_categories(log), DIM), DIM)
     return out.select(
         "article_id", "category_str",
         *[r6(_norm(v), v + "_norm") for v in ("title_vector", "body_vector", "category_vector")],
@@ -54,18 +54,18 @@ def article_embedding_table(spark, d):
       coalesce(a.idx,0) id_encoded, b.clicked::bigint as label
     from bl_train b left join user_idx u using (user_id) left join art_idx a on a.article_id=b.article_id""",
 )
-def stream_behaviors(spark, d):
+def stream_behaviors(log):
     """Impressions arrive as files, are encoded by a streaming job, and land as Parquet."""
-    folder = working_path(spark, "stream")
-    arriving = clicklog.behaviors(spark, d, "train")
+    folder = working_path(log.spark, "stream")
+    arriving = log.behaviors("train")
     sinks.write_table(arriving, f"{folder}/in")
-    articles = encode.article_index(clicklog.article_ids(spark, d))
-    users = encode.user_index(clicklog.split_users(spark, d))
-    source = stream.read_behavior_stream(spark, f"{folder}/in", arriving.schema, files_per_trigger=4)
+    articles = encode.article_index(log.article_ids())
+    users = encode.user_index(log.split_users())
+    source = stream.read_behavior_stream(log.spark, f"{folder}/in", arriving.schema, files_per_trigger=4)
     stream.run_to_completion(
         stream.encode_behaviors_long(source, articles, users), f"{folder}/out", f"{folder}/progress"
     )
-    return spark.read.parquet(f"{folder}/out").select(
+    return log.spark.read.parquet(f"{folder}/out").select(
         "impression_id", big("pos", "pos"), r6("imp_ts", "imp_ts"), big("user_idx", "user_idx"),
         "article_id", big("id_encoded", "id_encoded"), big("label", "label"),
     )

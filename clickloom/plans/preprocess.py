@@ -13,13 +13,13 @@ from clickloom.sources import readers
 
 
 @query("scan_project", "select doc_id, lang, source, n_chars from documents")
-def scan_project(spark, d):
-    return readers.scan(spark, f"{d}/documents.parquet", ["doc_id", "lang", "source", "n_chars"])
+def scan_project(log):
+    return readers.scan(log.spark, f"{log.folder}/documents.parquet", ["doc_id", "lang", "source", "n_chars"])
 
 
 @query("distinct_users", "select distinct user_id from events")
-def distinct_users(spark, d):
-    return readers.scan(spark, f"{d}/events.parquet", ["user_id"]).distinct()
+def distinct_users(log):
+    return readers.scan(log.spark, f"{log.folder}/events.parquet", ["user_id"]).distinct()
 
 
 @query(
@@ -27,8 +27,8 @@ def distinct_users(spark, d):
     """select impression_id, count(*) n_inview, cast(0 as bigint) n_clicked, impression_id session_id
     from bl_test group by impression_id""",
 )
-def behaviors_without_clicks(spark, d):
-    rows = clicklog.behaviors(spark, d, "test", clicks=False)
+def behaviors_without_clicks(log):
+    rows = log.behaviors("test", clicks=False)
     return readers.with_clicks(rows).select(
         "impression_id",
         big(F.size("article_ids_inview"), "n_inview"),
@@ -42,8 +42,8 @@ def behaviors_without_clicks(spark, d):
     """select impression_id, row_number() over (partition by impression_id order by pos)-1 pos, article_id
     from bl_train where clicked=1""",
 )
-def clicks_from_labels(spark, d):
-    rows = clicklog.behaviors(spark, d, "train")
+def clicks_from_labels(log):
+    rows = log.behaviors("train")
     flags = arrays.click_flags(F.col("article_ids_inview"), F.col("article_ids_clicked"))
     labelled = rows.withColumn("labels", flags).drop("article_ids_clicked")
     renamed = labelled.withColumnRenamed("article_ids_inview", "inv_ids")
@@ -59,8 +59,8 @@ def clicks_from_labels(spark, d):
     """select impression_id, ('0x'||substr(md5('0|'||impression_id),1,8))::bigint % 8 shard
     from (select distinct impression_id from bl_train)""",
 )
-def shard_assign(spark, d):
-    return clicklog.behaviors(spark, d, "train").select(
+def shard_assign(log):
+    return log.behaviors("train").select(
         "impression_id", hashing.shard_of(F.col("impression_id"), 8).alias("shard")
     )
 
@@ -72,10 +72,10 @@ def shard_assign(spark, d):
       round(sentiment_score,5) sentiment_score, round(norm_read_time::float,4)::double norm_read_time,
       published_time from feats""".replace("::float", ""),
 )
-def articles_features(spark, d):
-    raw = clicklog.raw_articles(spark, d)
-    index = encode.article_index(clicklog.article_ids(spark, d))
-    out = features.article_features(raw, encode.category_codes(raw), index)
+def articles_features(log):
+    raw = log.raw_articles
+    index = encode.article_index(log.article_ids())
+    out = features.article_features(raw, encode.category_codes(log.article_documents), index)
 
     def stored(name, digits=5):
         return F.round(F.col(name).cast("double"), digits).alias(name)
@@ -93,12 +93,12 @@ def articles_features(spark, d):
       coalesce(a.idx,0) id_encoded, round(scroll,4) scroll, round(read_time,3) read_time, round(t,6) ts
     from hist_train h join user_idx u using (user_id) left join art_idx a using (article_id)""",
 )
-def history_features(spark, d):
+def history_features(log):
     items = position_in_group(
-        clicklog.history_items(spark, d, "train"), ["user_id"], clicklog.STORED
+        log.history_items("train"), ["user_id"], clicklog.STORED
     )
-    users = encode.user_index(clicklog.split_users(spark, d))
-    articles = encode.article_index(clicklog.article_ids(spark, d))
+    users = encode.user_index(log.split_users())
+    articles = encode.article_index(log.article_ids())
     out = features.history_item_features(items, articles, users)
     return out.select(
         "user_id", big("user_idx", "user_idx"), "pos", big("id_encoded", "id_encoded"),
@@ -114,17 +114,17 @@ def history_features(spark, d):
       round(read_time,3) hist_time, round(t,6) hist_ts
     from first50_train h join user_idx u using (user_id) left join art_idx a using (article_id)""",
 )
-def history_features_lists(spark, d):
+def history_features_lists(log):
     """The list form, on histories already cut to 50 items."""
-    raw = clicklog.history_items(spark, d, "train")
+    raw = log.history_items("train")
     fields = ["article_id", "scroll_percentage", "read_time", "impression_time"]
     lists = history.history_lists(raw, "head", 50, clicklog.STORED, fields)
     wide = lists.select("user_id", *[
         F.col("hist")[f].alias(to) for f, to in zip(
             fields, ["article_id_fixed", "scroll_percentage_fixed", "read_time_fixed", "impression_time_fixed"])
     ])
-    users = encode.user_index(clicklog.split_users(spark, d))
-    articles = encode.article_index(clicklog.article_ids(spark, d))
+    users = encode.user_index(log.split_users())
+    articles = encode.article_index(log.article_ids())
     out = features.history_features(wide, articles, users)
     item = F.posexplode(F.arrays_zip("hist_ids", "hist_scroll", "hist_time", "hist_ts"))
     return out.select("user_id", item.alias("pos", "x")).select(
@@ -146,10 +146,10 @@ def history_features_lists(spark, d):
         string_agg(coalesce(idx,0)::varchar, ',' order by pos) filter (clicked=1) clk_ids
       from bl_train left join art_idx using (article_id) group by impression_id) l using (impression_id)""",
 )
-def behaviors_features(spark, d):
-    rows = clicklog.behaviors(spark, d, "train")
-    users = encode.user_index(clicklog.split_users(spark, d))
-    articles = encode.article_index(clicklog.article_ids(spark, d))
+def behaviors_features(log):
+    rows = log.behaviors("train")
+    users = encode.user_index(log.split_users())
+    articles = encode.article_index(log.article_ids())
     out = features.behavior_features(rows, articles, users)
     return out.select(
         "impression_id", big("user_id", "user_id"), r6("imp_ts", "imp_ts"),
@@ -167,8 +167,8 @@ def behaviors_features(spark, d):
       coalesce(title,'')||' '||coalesce(subtitle,'') full_title, substr(coalesce(body,''),1,1000) body,
       md5('passage: '||coalesce(body,'')) passage_key from articles""",
 )
-def article_text(spark, d):
-    raw = clicklog.raw_articles(spark, d)
+def article_text(log):
+    raw = log.article_documents
     whole = features.article_text(raw, None)
     published = scalar.epoch_seconds(F.col("published_time"), raw.schema["published_time"].dataType)
     return whole.select(
@@ -182,8 +182,8 @@ def article_text(spark, d):
     "train_impressions",
     "select impression_id, user_id, n_inview, n_clicked::bigint n_clicked from imp_train where n_clicked>0",
 )
-def train_impressions(spark, d):
-    return features.clicked_only(clicklog.behaviors(spark, d, "train")).select(
+def train_impressions(log):
+    return features.clicked_only(log.behaviors("train")).select(
         "impression_id", "user_id",
         big(F.size("article_ids_inview"), "n_inview"), big(F.size("article_ids_clicked"), "n_clicked"),
     )
@@ -194,9 +194,9 @@ def train_impressions(spark, d):
     """select impression_id, user_id, (n_inview-n_clicked)::bigint n_candidates from imp_train
     where device_type is not null and n_inview>n_clicked""",
 )
-def valid_rows(spark, d):
+def valid_rows(log):
     """Users without a device carry a text id; candidates are the unclicked articles."""
-    rows = clicklog.behaviors(spark, d, "train")
+    rows = log.behaviors("train")
     text_id = F.when(F.col("device_type").isNull(), F.concat(F.lit("guest-"), F.col("user_id"))).otherwise(
         F.col("user_id").cast("string"))
     pool = arrays.not_clicked(F.col("article_ids_inview"), F.col("article_ids_clicked"))
@@ -207,30 +207,30 @@ def valid_rows(spark, d):
 
 
 @query("epoch_seconds", "select event_id, round(epoch_us(ts)/1000000.0,6) epoch_s from events")
-def epoch_seconds(spark, d):
-    events = clicklog.click_events(spark, d)
+def epoch_seconds(log):
+    events = log.click_events()
     t = scalar.epoch_seconds(F.col("ts"), events.schema["ts"].dataType)
     return events.select("event_id", r6(t, "epoch_s"))
 
 
 @query("category_codes", "select category_str, code from cat_code")
-def category_codes(spark, d):
-    return encode.category_codes(clicklog.raw_articles(spark, d))
+def category_codes(log):
+    return encode.category_codes(log.article_documents)
 
 
 @query("category_dictionary", "select category_str, cat_id from cat_dict")
-def category_dictionary(spark, d):
-    return encode.category_dictionary(clicklog.raw_articles(spark, d))
+def category_dictionary(log):
+    return encode.category_dictionary(log.article_documents)
 
 
 @query("article_index", "select article_id, idx from art_idx")
-def article_index(spark, d):
-    return encode.article_index(clicklog.article_ids(spark, d))
+def article_index(log):
+    return encode.article_index(log.article_ids())
 
 
 @query("user_index", "select user_id, idx from user_idx")
-def user_index(spark, d):
-    return encode.user_index(*[clicklog.behaviors(spark, d, s) for s in clicklog.SPLITS])
+def user_index(log):
+    return encode.user_index(*[log.behaviors(s) for s in clicklog.SPLITS])
 
 
 @query(
@@ -239,8 +239,8 @@ def user_index(spark, d):
       select user_id, row_number() over (order by user_id)-1 idx
       from (select distinct user_id from ev where b=8)) u using (user_id)""",
 )
-def encode_users(spark, d):
-    events = clicklog.click_events(spark, d)
+def encode_users(log):
+    events = log.click_events()
     index = encode.user_index(clicklog.in_buckets(events, 8, 8))
     return encode.encode_column(events.select("event_id", "user_id"), "user_id", index, "idx").select(
         "event_id", "user_id", "idx"
@@ -252,9 +252,9 @@ def encode_users(spark, d):
     """select impression_id, string_agg(coalesce(idx,0)::varchar, ',' order by pos) inv_ids
     from bl_train left join art_idx using (article_id) group by impression_id""",
 )
-def encode_inview(spark, d):
-    rows = clicklog.behaviors(spark, d, "train").select("impression_id", "article_ids_inview")
-    index = encode.article_index(clicklog.article_ids(spark, d))
+def encode_inview(log):
+    rows = log.behaviors("train").select("impression_id", "article_ids_inview")
+    index = encode.article_index(log.article_ids())
     out = encode.encode_lists(rows, {"article_ids_inview": "inv_ids"}, "impression_id", index)
     return out.select(
         "impression_id", F.array_join(F.col("inv_ids").cast("array<string>"), ",").alias("inv_ids")
@@ -262,8 +262,8 @@ def encode_inview(spark, d):
 
 
 @query("history_log_time", "select event_id, user_id, round(log_time,6)+0.0 log_time from hist_validation")
-def history_log_time(spark, d):
-    return history.clean_items(clicklog.history_items(spark, d, "validation")).select(
+def history_log_time(log):
+    return history.clean_items(log.history_items("validation")).select(
         "event_id", "user_id", r6("log_time", "log_time")
     )
 
@@ -273,8 +273,8 @@ def history_log_time(spark, d):
     """select event_id, (log_time>4.0 and scroll>0.2)::bigint high,
       ((log_time<1.3 or scroll<0.1) and not (log_time>4.0 and scroll>0.2))::bigint low from hist_train""",
 )
-def quality_flags(spark, d):
-    items = history.clean_items(clicklog.history_items(spark, d, "train"))
+def quality_flags(log):
+    items = history.clean_items(log.history_items("train"))
     t, s = F.col("log_time"), F.col("scroll")
     return items.select(
         "event_id", big(quality.is_high(t, s), "high"), big(quality.is_low(t, s), "low")
@@ -286,8 +286,8 @@ def quality_flags(spark, d):
     """select event_id, trunc(least(greatest(log_time/6.0,0),1)*19)::bigint time_bucket,
       trunc(least(greatest(scroll,0),1)*10)::bigint scroll_bucket from hist_train""",
 )
-def quality_buckets(spark, d):
-    items = history.clean_items(clicklog.history_items(spark, d, "train"))
+def quality_buckets(log):
+    items = history.clean_items(log.history_items("train"))
     return items.select(
         "event_id",
         big(quality.time_bucket(F.col("log_time")), "time_bucket"),
@@ -301,8 +301,8 @@ def quality_buckets(spark, d):
       else cos(x*exp(-(j-8)*ln(10000)/8)) end,6)+0.0 enc
     from (select impression_id, (imp_t%86400)/86400.0 x from imp_train), range(16) r(j)""",
 )
-def sinusoidal(spark, d):
-    rows = clicklog.behaviors(spark, d, "train")
+def sinusoidal(log):
+    rows = log.behaviors("train")
     t = scalar.epoch_seconds(F.col("impression_time"), rows.schema["impression_time"].dataType)
     return rows.select(
         "impression_id", F.posexplode(arrays.sinusoidal(scalar.time_of_day(t))).alias("pos", "enc")
@@ -314,8 +314,8 @@ def sinusoidal(spark, d):
     """select user_id, article_id, event_id, round(value,6) as "value" from (select *, row_number() over
       (partition by user_id, article_id order by ts desc, event_id desc) rn from ev) where rn=1""",
 )
-def dedupe_latest(spark, d):
+def dedupe_latest(log):
     """Last write wins for a repeated (user, article)."""
-    rows = clicklog.click_events(spark, d).select("user_id", "article_id", "event_id", "ts", "value")
+    rows = log.click_events().select("user_id", "article_id", "event_id", "ts", "value")
     last = latest_by(rows, ["user_id", "article_id"], ["ts", "event_id"])
     return last.select("user_id", "article_id", "event_id", r6("value", "value"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.plans.clicklog import ClickLog
 from clickloom.plans.oracle import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,9 +16,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
-    def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+def query(name: str, oracle: str | None = None) -> Callable:
+    """Register a plan over a ClickLog under a name, as a callable of (session, folder)."""
+
+    def register(fn: Callable[[ClickLog], DataFrame]) -> Callable[[ClickLog], DataFrame]:
+        QUERIES[name] = lambda spark, folder: fn(ClickLog(spark, folder))
         if oracle is not None:
             ORACLES[name] = with_views(oracle)
         return fn

@@ -14,41 +14,61 @@ from clickloom.plans.registry import big, query, r6
 from clickloom.sources import readers, sinks
 
 
-def plain_vectors(spark, d):
-    return profiles.article_vectors(clicklog.embeddings(spark, d), "article_id", "vector")
+def plain_vectors(log):
+    return profiles.article_vectors(log.embeddings(), "article_id", "vector")
 
 
-def unit_vectors(spark, d):
+def unit_vectors(log):
     return profiles.article_vectors(
-        clicklog.embeddings(spark, d), "article_id", "vector", eps=1e-4, normalize=True
+        log.embeddings(), "article_id", "vector", eps=1e-4, normalize=True
     )
 
 
-def impressions(spark, d, split):
-    return candidates.full_candidates(clicklog.behaviors(spark, d, split))
+def impressions(log, split):
+    return candidates.full_candidates(log.behaviors(split))
 
 
 KEEP = ("impression_id", "user_id")
 
 
-def similarity(spark, d, split, rows=None, keep=KEEP):
-    vecs = unit_vectors(spark, d)
-    mean = profiles.mean_profiles(cut(spark, d, split), vecs)
-    rows = impressions(spark, d, split) if rows is None else rows
+def similarity(log, split, rows=None, keep=KEEP):
+    vecs = unit_vectors(log)
+    mean = profiles.mean_profiles(cut(log, split), vecs)
+    rows = impressions(log, split) if rows is None else rows
     return scoring.score_candidates(rows, mean, vecs, keep)
 
 
-def uniform(spark, d, split):
-    vecs = plain_vectors(spark, d)
-    mean = profiles.mean_profiles(cut(spark, d, split, "head", 50), vecs, mask_unknown=False)
-    return scoring.score_candidates(impressions(spark, d, split), mean, vecs, KEEP)
+def uniform(log, split):
+    vecs = plain_vectors(log)
+    mean = profiles.mean_profiles(cut(log, split, "head", 50), vecs, mask_unknown=False)
+    return scoring.score_candidates(impressions(log, split), mean, vecs, KEEP)
 
 
-def quality_scores(spark, d, split):
-    vecs = plain_vectors(spark, d)
-    reads = history.clean_items(cut(spark, d, split, "recent"))
-    profile = profiles.quality_profiles(reads, vecs)
-    return scoring.score_candidates(impressions(spark, d, split), profile, vecs, KEEP, scale_by_width=True)
+def quality_profiles(log, split):
+    reads = history.clean_items(cut(log, split, "recent"))
+    return profiles.quality_profiles(reads, plain_vectors(log))
+
+
+def quality_scores(log, split):
+    return scoring.score_candidates(
+        impressions(log, split), quality_profiles(log, split), plain_vectors(log), KEEP, scale_by_width=True
+    )
+
+
+def all_models(log, split):
+    """The three scorers over the same impressions, in one pass."""
+    plain, unit = plain_vectors(log), unit_vectors(log)
+    scorers = {
+        "similarity": scoring.Scorer(profiles.mean_profiles(cut(log, split), unit), "unit"),
+        "uniform": scoring.Scorer(
+            profiles.mean_profiles(cut(log, split, "head", 50), plain, mask_unknown=False), "plain"
+        ),
+        "quality": scoring.Scorer(quality_profiles(log, split), "plain", scale_by_width=True),
+    }
+    both = plain.select(
+        "article_id", F.col("vector").alias("plain"), vectors.l2_normalize(F.col("vector"), 1e-4).alias("unit")
+    )
+    return scoring.score_models(impressions(log, split), scorers, both, KEEP)
 
 
 def _scores(df):
@@ -60,23 +80,23 @@ def _scores_sql(view):
 
 
 @query("similarity_scores", _scores_sql("sim_validation"))
-def similarity_scores(spark, d):
-    return _scores(similarity(spark, d, "validation"))
+def similarity_scores(log):
+    return _scores(similarity(log, "validation"))
 
 
 @query("score_mean_first50", _scores_sql("uni_validation"))
-def score_mean_first50(spark, d):
-    return _scores(uniform(spark, d, "validation"))
+def score_mean_first50(log):
+    return _scores(uniform(log, "validation"))
 
 
 @query("quality_profile_score", _scores_sql("qual_validation"))
-def quality_profile_score(spark, d):
-    return _scores(quality_scores(spark, d, "validation"))
+def quality_profile_score(log):
+    return _scores(quality_scores(log, "validation"))
 
 
-def _normalized(spark, d, eps):
+def _normalized(log, eps):
     out = profiles.article_vectors(
-        clicklog.table(spark, d, "embeddings"), "vec_id", "embedding", eps=eps, normalize=True
+        log.table("embeddings"), "vec_id", "embedding", eps=eps, normalize=True
     )
     return out.select("article_id", F.posexplode("vector").alias("pos", "x")).select(
         "article_id", big("pos", "pos"), r6("x", "x")
@@ -90,38 +110,38 @@ def _normalized_sql(norm):
 
 
 @query("l2_normalize", _normalized_sql("sqrt(list_dot_product(v,v))"))
-def l2_normalize(spark, d):
-    return _normalized(spark, d, None)
+def l2_normalize(log):
+    return _normalized(log, None)
 
 
 @query("l2_normalize_eps", _normalized_sql("sqrt(list_dot_product(v,v))+1e-4"))
-def l2_normalize_eps(spark, d):
-    return _normalized(spark, d, 1e-4)
+def l2_normalize_eps(log):
+    return _normalized(log, 1e-4)
 
 
 @query(
     "vector_width",
     "select len(embedding)::bigint width, count(*) n_vectors from embeddings group by 1",
 )
-def vector_width(spark, d):
-    return readers.vector_widths(clicklog.table(spark, d, "embeddings"), "embedding")
+def vector_width(log):
+    return readers.vector_widths(log.table("embeddings"), "embedding")
 
 
 @query(
     "user_mean_vector",
     "select user_id, (unnest(generate_series(1,len(p)))-1)::bigint pos, round(unnest(p),6)+0.0 x from sim_user_train",
 )
-def user_mean_vector(spark, d):
-    out = profiles.mean_profiles(cut(spark, d, "train"), unit_vectors(spark, d))
+def user_mean_vector(log):
+    out = profiles.mean_profiles(cut(log, "train"), unit_vectors(log))
     return out.select("user_id", F.posexplode("profile").alias("pos", "x")).select(
         "user_id", big("pos", "pos"), r6("x", "x")
     )
 
 
-def category_means(spark, d):
+def category_means(log):
     """(category_str, category_vector): mean vector of a category's articles."""
-    text = features.article_text(clicklog.raw_articles(spark, d)).select("article_id", "category_str")
-    vecs = text.join(plain_vectors(spark, d), "article_id")
+    text = features.article_text(log.article_documents).select("article_id", "category_str")
+    vecs = text.join(plain_vectors(log), "article_id")
     mean = vector_to_array(Summarizer.mean(array_to_vector("vector")))
     return vecs.groupBy("category_str").agg(mean.alias("category_vector"))
 
@@ -137,9 +157,9 @@ _CATEGORY_MEANS = """(select category_str, list(m order by d) cv from (
       round(list_sum(cv),6)+0.0 sum_x from articles a
       left join {_CATEGORY_MEANS} c on c.category_str=coalesce(a.category_str,'UNK')""",
 )
-def category_join(spark, d):
-    text = features.article_text(clicklog.raw_articles(spark, d)).select("article_id", "category_str")
-    joined = text.join(category_means(spark, d), "category_str", "left")
+def category_join(log):
+    text = features.article_text(log.article_documents).select("article_id", "category_str")
+    joined = text.join(category_means(log), "category_str", "left")
     total = F.aggregate("category_vector", F.lit(0.0), lambda acc, x: acc + x)
     return joined.select(
         "article_id", "category_str", r6(F.get("category_vector", F.lit(0)), "first_x"), r6(total, "sum_x")
@@ -153,19 +173,19 @@ def category_join(spark, d):
       join {_CATEGORY_MEANS} c on c.category_str=coalesce(articles.category_str,'UNK')
     union all select 0, -1, 64, 0.0, 0.0, 0.0""",
 )
-def embedding_table(spark, d):
+def embedding_table(log):
     """Export with the zero pad row; the body vector here is the title vector reversed."""
-    text = features.article_text(clicklog.raw_articles(spark, d)).select("article_id", "category_str")
+    text = features.article_text(log.article_documents).select("article_id", "category_str")
     embedded = (
-        text.join(plain_vectors(spark, d), "article_id")
-        .join(category_means(spark, d), "category_str", "left")
+        text.join(plain_vectors(log), "article_id")
+        .join(category_means(log), "category_str", "left")
         .select(
             "article_id", F.col("vector").alias("title_vector"),
             F.reverse("vector").alias("body_vector"), "category_vector",
         )
     )
-    width = readers.check_vector_width(clicklog.embeddings(spark, d), "vector")
-    out = sinks.embedding_table(embedded, encode.article_index(clicklog.article_ids(spark, d)), width)
+    width = readers.check_vector_width(log.embeddings(), "vector")
+    out = sinks.embedding_table(embedded, encode.article_index(log.article_ids()), width)
     first = F.lit(0)
 
     def digit(name, to):
@@ -177,12 +197,12 @@ def embedding_table(spark, d):
     )
 
 
-def feature_rows(spark, d, split, rows, keep):
-    raw = clicklog.raw_articles(spark, d)
-    feats = features.article_features(raw, encode.category_codes(raw))
-    vecs = unit_vectors(spark, d)
-    mean = profiles.mean_profiles(cut(spark, d, split), vecs)
-    return scoring.candidate_features(rows, lists(spark, d, split), mean, feats, vecs, keep)
+def feature_rows(log, split, rows, keep):
+    raw = log.raw_articles
+    feats = features.article_features(raw, encode.category_codes(log.article_documents))
+    vecs = unit_vectors(log)
+    mean = profiles.mean_profiles(cut(log, split), vecs)
+    return scoring.candidate_features(rows, lists(log, split), mean, feats, vecs, keep)
 
 
 _FEATURES = """select b.impression_id, b.pos, b.article_id, b.clicked::bigint as label,
@@ -207,8 +227,8 @@ left join (select impression_id, avg(v) m, max(v) x from (
 
 
 @query("candidate_features", _FEATURES)
-def candidate_features(spark, d):
-    out = feature_rows(spark, d, "validation", impressions(spark, d, "validation"), ["impression_id"])
+def candidate_features(log):
+    out = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
 
     def digits(name):
         return 4 if name == "norm_read_time" else 5 if name in ("norm_views", "norm_inviews", "sentiment_score") else 6
@@ -243,9 +263,9 @@ def _make_linear():
         .replace("/3600.0) end,6) freshness", "/3600.0) end,12) freshness")
         .replace("round(ln(1+coalesce(h.n,0)),6)", "ln(1+coalesce(h.n,0))")})""",
 )
-def external_model_scores(spark, d):
+def external_model_scores(log):
     """Batch scoring of all candidates by a plugged-in model (here a linear one)."""
-    rows = feature_rows(spark, d, "validation", impressions(spark, d, "validation"), ["impression_id"])
+    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
     scored = scoring.score_with(rows, _make_linear, list(_LINEAR))
     return scored.select(
         "impression_id", big("pos", "pos"), "article_id",
@@ -254,14 +274,14 @@ def external_model_scores(spark, d):
 
 
 @query("learned_ranker")
-def learned_ranker(spark, d):
+def learned_ranker(log):
     """Fit on sampled training candidates, score full validation lists."""
     from clickloom.operators.sampling import sample_candidates
 
-    samples = sample_candidates(clicklog.behaviors(spark, d, "train"), "cycled")
-    train = feature_rows(spark, d, "train", samples, ["impression_id"])
+    samples = sample_candidates(log.behaviors("train"), "cycled")
+    train = feature_rows(log, "train", samples, ["impression_id"])
     model = ranker.fit_ranker(train)
-    rows = feature_rows(spark, d, "validation", impressions(spark, d, "validation"), ["impression_id"])
+    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
     return ranker.score_ranker(model, rows).select(
         "impression_id", big("pos", "pos"), "article_id", big("label", "label"), r6("score", "score")
     )
