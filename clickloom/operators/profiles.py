@@ -35,8 +35,15 @@ def _with_item_count(cut: DataFrame) -> DataFrame:
     return cut.withColumn("_items", F.count(F.lit(1)).over(W.partitionBy("user_id")))
 
 
+def _packed(article_vecs: DataFrame) -> DataFrame:
+    """Vectors in the form the summarizer takes, made once per article."""
+    return article_vecs.select(
+        "article_id", array_to_vector("vector").alias("_v"), F.size("vector").alias("_width")
+    )
+
+
 def _sum(vector: Column) -> Column:
-    return vector_to_array(Summarizer.sum(array_to_vector(vector)))
+    return vector_to_array(Summarizer.sum(vector))
 
 
 def mean_profiles(cut: DataFrame, article_vecs: DataFrame, mask_unknown: bool = True) -> DataFrame:
@@ -45,9 +52,13 @@ def mean_profiles(cut: DataFrame, article_vecs: DataFrame, mask_unknown: bool =
     mask_unknown leaves items without a vector out of the mean; otherwise they count
     as zero vectors.
     """
-    joined = _with_item_count(cut).join(article_vecs, "article_id")
+    joined = (
+        _with_item_count(cut)
+        .select("user_id", "article_id", "_items")
+        .join(_packed(article_vecs), "article_id")
+    )
     sums = joined.groupBy("user_id").agg(
-        _sum(F.col("vector")).alias("_sum"),
+        _sum(F.col("_v")).alias("_sum"),
         (F.count(F.lit(1)) if mask_unknown else F.first("_items")).alias("_n"),
     )
     return sums.select(
@@ -68,15 +79,15 @@ def quality_profiles(cut: DataFrame, article_vecs: DataFrame) -> DataFrame:
         .withColumn("_high", quality.is_high(log_time, scroll))
         .withColumn("_low", quality.is_low(log_time, scroll))
         .select("user_id", "article_id", "_items", "_high", "_low")
-        .join(article_vecs, "article_id")
+        .join(_packed(article_vecs), "article_id")
     )
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), F.col("_width")))
 
     def class_sum(flag: str) -> Column:
-        kept = F.transform("vector", lambda x: F.when(F.col(flag), x).otherwise(F.lit(0.0)))
-        return _sum(kept)
+        return _sum(F.when(F.col(flag), F.col("_v")).otherwise(zero))
 
     sums = items.groupBy("user_id").agg(
-        _sum(F.col("vector")).alias("_all"),
+        _sum(F.col("_v")).alias("_all"),
         class_sum("_high").alias("_sh"),
         class_sum("_low").alias("_sl"),
         F.count(F.lit(1)).alias("_n"),
