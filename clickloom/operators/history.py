@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions import arrays, scalar
+from clickloom.operators.joins import lookup
 
 LIST_COLUMNS = (
     "article_id_fixed",
@@ -122,7 +123,7 @@ def padded(lists: DataFrame, n: int, side: str, fields: Sequence[str]) -> DataFr
 def with_history(behaviors: DataFrame, lists: DataFrame) -> DataFrame:
     """Attach each impression's user history; an absent user gets an empty list."""
     element = lists.schema["hist"].dataType.simpleString()
-    joined = behaviors.join(lists, "user_id", "left")
+    joined = lookup(behaviors, lists, "user_id")
     return joined.withColumn("hist", F.coalesce("hist", F.array().cast(element)))
 
 
@@ -131,7 +132,7 @@ def with_padded_history(
 ) -> DataFrame:
     """Attach fixed-length lists; an absent user gets all zeros."""
     wide = padded(lists, n, side, fields)
-    joined = behaviors.join(wide, "user_id", "left")
+    joined = lookup(behaviors, wide, "user_id")
     for f in fields:
         element = wide.schema[f].dataType.elementType.simpleString()
         joined = joined.withColumn(f, F.coalesce(f, arrays.zeros(n, element)))

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions import quality, vectors
+from clickloom.operators.joins import lookup
 
 DENOISE = 0.5  # fixed value, weighted through the logistic function
 
@@ -52,11 +53,8 @@ def mean_profiles(cut: DataFrame, article_vecs: DataFrame, mask_unknown: bool =
     mask_unknown leaves items without a vector out of the mean; otherwise they count
     as zero vectors.
     """
-    joined = (
-        _with_item_count(cut)
-        .select("user_id", "article_id", "_items")
-        .join(_packed(article_vecs), "article_id")
-    )
+    items = _with_item_count(cut).select("user_id", "article_id", "_items")
+    joined = lookup(items, _packed(article_vecs), "article_id", "inner")
     sums = joined.groupBy("user_id").agg(
         _sum(F.col("_v")).alias("_sum"),
         (F.count(F.lit(1)) if mask_unknown else F.first("_items")).alias("_n"),
@@ -74,13 +72,14 @@ def quality_profiles(cut: DataFrame, article_vecs: DataFrame) -> DataFrame:
     no profile row.
     """
     log_time, scroll = F.col("log_time"), F.col("scroll")
-    items = (
-        _with_item_count(cut)
-        .withColumn("_high", quality.is_high(log_time, scroll))
-        .withColumn("_low", quality.is_low(log_time, scroll))
-        .select("user_id", "article_id", "_items", "_high", "_low")
-        .join(_packed(article_vecs), "article_id")
+    flagged = _with_item_count(cut).select(
+        "user_id",
+        "article_id",
+        "_items",
+        quality.is_high(log_time, scroll).alias("_high"),
+        quality.is_low(log_time, scroll).alias("_low"),
     )
+    items = lookup(flagged, _packed(article_vecs), "article_id", "inner")
     zero = array_to_vector(F.array_repeat(F.lit(0.0), F.col("_width")))
 
     def class_sum(flag: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from clickloom.functions import arrays, scalar, vectors
 from clickloom.operators.candidates import explode_candidates
 from clickloom.operators.history import with_history
+from clickloom.operators.joins import lookup
 
 PAD_SCORE = -1e4  # fixed value given to padded candidates before ranking
 
@@ -25,6 +26,21 @@ class Scorer(NamedTuple):
     scale_by_width: bool = False
 
 
+def _by_user(scorers: dict[str, Scorer]) -> DataFrame:
+    """One row per user with the profile of scorer i in column _p<i>."""
+    tables = [s.profiles for s in scorers.values()]
+    if len(tables) == 1:
+        return tables[0].withColumnRenamed("profile", "_p0")
+    stacked = None
+    for i, table in enumerate(tables):
+        part = table.select("user_id", F.lit(i).alias("_i"), "profile")
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return stacked.groupBy("user_id").agg(*[
+        F.first(F.when(F.col("_i") == i, F.col("profile")), ignorenulls=True).alias(f"_p{i}")
+        for i in range(len(tables))
+    ])
+
+
 def score_models(
     impressions: DataFrame,
     scorers: dict[str, Scorer],
@@ -34,14 +50,15 @@ def score_models(
     """Score all candidates by all models in one pass: one row per candidate and model.
 
     Profiles are joined per impression, before the candidates are exploded: one narrow
-    row per impression is shuffled instead of one per candidate, and the further models
-    reuse that partitioning. Scores are 0 when a profile or a vector is missing.
+    row per impression is shuffled instead of one per candidate. Several models' profiles
+    are gathered per user first (one entry per model), so the impressions, of which one
+    user may hold a third, go through a single join. Scores are 0 when a profile or a
+    vector is missing.
     """
     rows = impressions.select("user_id", *[k for k in keep if k != "user_id"], "candidates")
-    for i, scorer in enumerate(scorers.values()):
-        rows = rows.join(scorer.profiles.withColumnRenamed("profile", f"_p{i}"), "user_id", "left")
+    profiled = lookup(rows, _by_user(scorers), "user_id")
     mine = [f"_p{i}" for i in range(len(scorers))]
-    pairs = explode_candidates(rows, [*keep, *mine]).join(article_vecs, "article_id", "left")
+    pairs = lookup(explode_candidates(profiled, [*keep, *mine]), article_vecs, "article_id")
 
     def score(i: int, scorer: Scorer) -> Column:
         raw = F.coalesce(vectors.dot(F.col(f"_p{i}"), F.col(scorer.vector)), F.lit(0.0))
@@ -116,10 +133,8 @@ def candidate_features(
     An article without a feature row counts as unknown: zeros and code 0, freshness 0
     (or, under 'epoch', the age of an article published in 1970, for comparison).
     """
-    base = impression_features(impressions, lists)
-    pooled = base.join(profiles, "user_id", "left").withColumn(
-        "_rec", arrays.recency_list(F.col("hist")["ts"], F.col("imp_ts"))
-    )
+    base = impression_features(impressions, lists.join(profiles, "user_id", "left"))
+    pooled = base.withColumn("_rec", arrays.recency_list(F.col("hist")["ts"], F.col("imp_ts")))
     pooled = pooled.select(
         *keep,
         *[c for c in ("imp_ts", "candidates", "profile", "log_hist_len", "day_time", "norm_age") if c not in keep],
@@ -132,7 +147,7 @@ def candidate_features(
         "article_id", "cat_encoded", "norm_views", "norm_inviews", "sentiment_score",
         "norm_read_time", "published_time",
     ).join(article_vecs, "article_id", "left")
-    rows = explode_candidates(pooled, [*keep, *carried]).join(article_side, "article_id", "left")
+    rows = lookup(explode_candidates(pooled, [*keep, *carried]), article_side, "article_id")
     unknown = F.col("published_time").isNull()
     age = scalar.freshness(F.col("imp_ts"), F.coalesce("published_time", F.lit(0.0)))
     fresh = F.when(unknown, F.lit(0.0)).otherwise(age) if unknown_freshness == "zero" else age

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from clickloom.functions.scalar import with_prefix
 from clickloom.operators.encode import UNKNOWN_CATEGORY
+from clickloom.operators.joins import lookup
 from clickloom.session import cut_lineage
 
 # Fixed value: the description of the category that stands for "none given".
@@ -108,6 +109,6 @@ def embed_articles(
     columns = {"full_title": "title_vector", "body": "body_vector"}
     both = embed_texts(text, columns, dim, make_encoder=make_encoder)
     named = categories.select("category_str", "category_vector")
-    return both.join(named, "category_str", "left").select(
+    return lookup(both, named, "category_str").select(
         "article_id", "published_time", "category_str", "title_vector", "body_vector", "category_vector"
     )

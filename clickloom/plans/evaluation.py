@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.operators import candidates, metrics, ranking
-from clickloom.plans import clicklog
 from clickloom.plans.registry import big, query, r6
 from clickloom.plans.scores import all_models, similarity
 from clickloom.sources import sinks

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.operators import encode, features, text
-from clickloom.plans import clicklog
 from clickloom.plans.registry import big, query, r6
 from clickloom.session import working_path
 from clickloom.sources import sinks

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import vectors
 from clickloom.operators import candidates, encode, features, history, profiles, ranker, scoring
-from clickloom.plans import clicklog
+from clickloom.operators.joins import lookup
 from clickloom.plans.histories import cut, lists
 from clickloom.plans.registry import big, query, r6
 from clickloom.sources import readers, sinks
@@ -159,7 +159,7 @@ _CATEGORY_MEANS = """(select category_str, list(m order by d) cv from (
 )
 def category_join(log):
     text = features.article_text(log.article_documents).select("article_id", "category_str")
-    joined = text.join(category_means(log), "category_str", "left")
+    joined = lookup(text, category_means(log), "category_str")
     total = F.aggregate("category_vector", F.lit(0.0), lambda acc, x: acc + x)
     return joined.select(
         "article_id", "category_str", r6(F.get("category_vector", F.lit(0)), "first_x"), r6(total, "sum_x")
