@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickloom.functions import quality, vectors
+from clickloom.functions import quality, scalar, vectors
 from clickloom.operators.joins import lookup
 
 DENOISE = 0.5  # fixed value, weighted through the logistic function
@@ -106,6 +106,6 @@ def quality_profiles(cut: DataFrame, article_vecs: DataFrame) -> DataFrame:
         pooled("_sh", "_nh").alias("_hi"),
         pooled("_sl", "_nl").alias("_lo"),
     )
-    weight = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-DENOISE)))
+    weight = scalar.sigmoid(F.lit(DENOISE))
     combined = vectors.combine_views(F.col("_glo"), F.col("_hi"), F.col("_lo"), weight)
     return views.select("user_id", combined.alias("profile"))

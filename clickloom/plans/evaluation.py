@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.operators import candidates, metrics, ranking
+from clickloom.operators import candidates, metrics, ranking, sampling
 from clickloom.plans.registry import big, query, r6
 from clickloom.plans.scores import all_models, similarity
 from clickloom.sources import sinks
@@ -182,6 +182,31 @@ def evaluate_models(log):
     return report(log).select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
 
 
+_POLICY_VIEWS = {"full": "sim_validation", "padded": "simpad", "cycled": "simcyc"}
+_BY_POLICY = " union all ".join(
+    _REPORT.format(head=f"'similarity' model, '{p}' candidates,", view=f"{v}_per") for p, v in _POLICY_VIEWS.items()
+)
+
+
+@query("evaluate_policies", _BY_POLICY)
+def evaluate_policies(log):
+    """One scorer on the three validation candidate sets, whose numbers do not compare."""
+    shown = log.behaviors("validation")
+    sets = {
+        "full": candidates.full_candidates(shown),
+        "padded": sampling.sample_candidates(shown, "padded", mode="first"),
+        "cycled": sampling.sample_candidates(shown, "cycled"),
+    }
+    rows = None
+    for policy, lists in sets.items():
+        part = lists.select("impression_id", "user_id", "candidates", F.lit(policy).alias("policy"))
+        rows = part if rows is None else rows.unionByName(part)
+    scored = similarity(log, "validation", rows, ("impression_id", "user_id", "policy"))
+    named = scored.withColumnRenamed("policy", "candidates").withColumn("model", F.lit("similarity"))
+    out = metrics.evaluate(named, ["model", "candidates"])
+    return out.select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
+
+
 @query("best_model", f"select model, auc from ({_BY_MODEL}) order by auc desc, model desc limit 1")
 def best_model(log):
     return metrics.best_model(report(log)).select("model", r6("auc", "auc"))

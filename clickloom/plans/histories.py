@@ -9,6 +9,7 @@ from clickloom.operators import candidates, history, sampling
 from clickloom.operators.ordering import position_in_group, running_total
 from clickloom.operators.scoring import impression_features as impression_feature_rows
 from clickloom.plans import clicklog
+from clickloom.plans.oracle import sample_sql
 from clickloom.plans.registry import big, query, r6
 
 LEN = 30
@@ -205,48 +206,6 @@ def negative_pool(log):
     )
 
 
-# One row per sample and draw. `s` holds the samples (impression, positive), `p` their
-# hash-ordered pools, `n` the pool sizes.
-_ALL_CLICKS = "select impression_id, article_id positive from bl_train where clicked=1"
-_ONE_CLICK = """select impression_id, article_id positive from (select *, row_number() over
-  (partition by impression_id order by md5('42|'||impression_id||'|'||article_id), article_id) rn
-  from bl_train where clicked=1) where rn=1"""
-_FIRST_CLICK = """select impression_id, article_id positive from (select *, row_number() over
-  (partition by impression_id order by pos) rn from bl_train where clicked=1) where rn=1"""
-
-
-def _sample_sql(samples: str, short: str, empty: str, order: str) -> str:
-    return f"""select s.impression_id, s.positive, i pos,
-      case when i=0 then s.positive when coalesce(n.n,0)=0 then {empty}
-        when n.n>=4 or i<=n.n and '{short}'='pad' then whole.article_id else filled.article_id end::bigint article_id,
-      case when i=0 then 1 else 0 end::bigint as label,
-      case when '{short}'='pad' and i>coalesce(n.n,0) then 0 else 1 end::bigint "valid"
-    from ({samples}) s cross join range(5) r(i)
-    left join (select impression_id, count(*) n from bl_train where clicked=0 group by 1) n on n.impression_id=s.impression_id
-    left join pools whole on whole.impression_id=s.impression_id and whole.positive=s.positive and whole.k=i-1
-    left join pools filled on filled.impression_id=s.impression_id and filled.positive=s.positive
-      and filled.k=case when '{short}'='draw'
-        then ('0x'||substr(md5('42|'||s.impression_id||'|'||s.positive||'|'||(i-1)),1,8))::bigint % n.n
-        when '{short}'='cycle' then (i-1) % n.n else -1 end"""
-
-
-def _with_pools(samples: str, order: str, body: str) -> str:
-    pools = f"""(select s.impression_id, s.positive, b.article_id, row_number() over
-      (partition by s.impression_id, s.positive order by {order})-1 k
-      from ({samples}) s join bl_train b on b.impression_id=s.impression_id and b.clicked=0)"""
-    return body.replace("pools whole", f"{pools} whole").replace("pools filled", f"{pools} filled")
-
-
-_HASHED = "md5('42|'||s.impression_id||'|'||s.positive||'|'||b.article_id)"
-
-
-def _oracle(samples: str, short: str, empty: str, order: str = _HASHED) -> str:
-    sql = _with_pools(samples, order, _sample_sql(samples, short, empty, order))
-    if short == "pad":
-        sql = f"select impression_id, positive, pos, coalesce(article_id,0) article_id, label, \"valid\" from ({sql})"
-    return sql
-
-
 def _samples(log, policy, mode="random"):
     rows = sampling.sample_candidates(log.behaviors("train"), policy, mode=mode)
     return candidates.explode_candidates(rows, ["impression_id", "positive"]).select(
@@ -255,22 +214,22 @@ def _samples(log, policy, mode="random"):
     )
 
 
-@query("neg_sample_per_click", _oracle(_ALL_CLICKS, "draw", "s.positive"))
+@query("neg_sample_per_click", sample_sql("per_click", "bl_train"))
 def neg_sample_per_click(log):
     return _samples(log, "per_click")
 
 
-@query("neg_sample_padded", _oracle(_ONE_CLICK, "pad", "0"))
+@query("neg_sample_padded", sample_sql("padded", "bl_train"))
 def neg_sample_padded(log):
     return _samples(log, "padded")
 
 
-@query("neg_sample_padded_validation", _oracle(_FIRST_CLICK, "pad", "0", "b.pos"))
+@query("neg_sample_padded_validation", sample_sql("padded_first", "bl_train"))
 def neg_sample_padded_validation(log):
     return _samples(log, "padded", "first")
 
 
-@query("neg_sample_cycled", _oracle(_ONE_CLICK, "cycle", "s.positive"))
+@query("neg_sample_cycled", sample_sql("cycled", "bl_train"))
 def neg_sample_cycled(log):
     return _samples(log, "cycled")
 

@@ -105,6 +105,41 @@ from bl_{_s} b left join uni_user_{_s} u using (user_id) left join vec v using (
 from bl_{_s} b left join qual_user_{_s} u using (user_id) left join vec v using (article_id)"""
 
 
+def sample_sql(policy: str, rows: str) -> str:
+    """One row per sample and candidate (pos 0 = positive) of a sampling policy over `rows`."""
+    clicks = f"select impression_id, article_id positive from {rows} where clicked=1"
+    one = f"""select impression_id, article_id positive from (select *, row_number() over
+      (partition by impression_id order by {{key}}) rn from {rows} where clicked=1) where rn=1"""
+    by_hash = one.format(key="md5('42|'||impression_id||'|'||article_id)")
+    samples = {"per_click": clicks, "padded": by_hash, "cycled": by_hash, "padded_first": one.format(key="pos")}[policy]
+    order = "b.pos" if policy == "padded_first" else "md5('42|'||s.impression_id||'|'||s.positive||'|'||b.article_id)"
+    pad = policy.startswith("padded")
+    draw = "('0x'||substr(md5('42|'||s.impression_id||'|'||s.positive||'|'||(i-1)),1,8))::bigint % n.n"
+    short = {"per_click": draw, "cycled": "(i-1) % n.n"}.get(policy, "i-1")
+    pools = f"""(select s.impression_id, s.positive, b.article_id, row_number() over
+      (partition by s.impression_id, s.positive order by {order})-1 k
+      from ({samples}) s join {rows} b on b.impression_id=s.impression_id and b.clicked=0)"""
+    return f"""select s.impression_id, s.positive, i pos,
+      (case when i=0 then s.positive else coalesce(p.article_id, {"0" if pad else "s.positive"}) end)::bigint article_id,
+      (case when i=0 then 1 else 0 end)::bigint as label,
+      (case when {str(pad).lower()} and i>coalesce(n.n,0) then 0 else 1 end)::bigint "valid"
+    from ({samples}) s cross join range(5) r(i)
+    left join (select impression_id, count(*) n from {rows} where clicked=0 group by 1) n on n.impression_id=s.impression_id
+    left join {pools} p on p.impression_id=s.impression_id and p.positive=s.positive
+      and p.k=case when coalesce(n.n,0)=0 then -1 when n.n>=4 then i-1 else {short} end"""
+
+
+def _sim_sample(policy: str) -> str:
+    return f"""select b.impression_id, b.pos, b.article_id, b.label, coalesce(list_dot_product(u.p, v.v),0) score
+from ({sample_sql(policy, "bl_validation")}) b join imp_validation i using (impression_id)
+left join sim_user_validation u on u.user_id=i.user_id left join vecn v on v.article_id=b.article_id
+where b."valid"=1"""
+
+
+VIEWS["simpad"] = _sim_sample("padded_first")
+VIEWS["simcyc"] = _sim_sample("cycled")
+
+
 def _metric_views(source: str) -> dict[str, str]:
     ranked = f"{source}_ranked"
     return {
@@ -128,6 +163,8 @@ from {ranked} group by impression_id)""",
     }
 
 
+VIEWS.update(_metric_views("simpad"))
+VIEWS.update(_metric_views("simcyc"))
 for _s in _SPLITS:
     for _model in ("fixed", "sim", "uni", "qual"):
         VIEWS.update(_metric_views(f"{_model}_{_s}"))

@@ -118,6 +118,16 @@ def check_vector_width(df: DataFrame, vector: str) -> int:
     return widths[0]
 
 
+def read_vectors(spark: SparkSession, path: str, key: str, vector: str) -> DataFrame:
+    """(article_id, vector) from a Parquet table whose vectors all have one width.
+
+    A missing file or mixed widths raise: scores on stand-in vectors would look real.
+    """
+    table = scan(spark, path, [key, vector])
+    check_vector_width(table, vector)
+    return table.select(F.col(key).alias("article_id"), F.col(vector).alias("vector"))
+
+
 def vector_widths(df: DataFrame, vector: str) -> DataFrame:
     """Rows per vector width."""
     return df.groupBy(F.size(vector).cast("bigint").alias("width")).agg(
