@@ -105,6 +105,15 @@ def history_lists(
     return rows.groupBy("user_id").agg(kept.alias("hist"))
 
 
+def list_items(lists: DataFrame) -> DataFrame:
+    """Items of the kept lists in long form.
+
+    Several profiles made from one list table share its scan and exchange; separate cuts
+    would read only their own columns and so repeat both.
+    """
+    return lists.select("user_id", F.inline_outer("hist")).where(F.col("article_id").isNotNull())
+
+
 def field(hist: str, name: str) -> Column:
     """One field of a struct list, as a list."""
     return F.col(hist)[name]

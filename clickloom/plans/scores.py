@@ -58,12 +58,13 @@ def quality_scores(log, split):
 def all_models(log, split):
     """The three scorers over the same impressions, in one pass."""
     plain, unit = plain_vectors(log), unit_vectors(log)
+    recent = history.list_items(lists(log, split, "recent"))
     scorers = {
-        "similarity": scoring.Scorer(profiles.mean_profiles(cut(log, split), unit), "unit"),
+        "similarity": scoring.Scorer(profiles.mean_profiles(recent, unit), "unit"),
         "uniform": scoring.Scorer(
             profiles.mean_profiles(cut(log, split, "head", 50), plain, mask_unknown=False), "plain"
         ),
-        "quality": scoring.Scorer(quality_profiles(log, split), "plain", scale_by_width=True),
+        "quality": scoring.Scorer(profiles.quality_profiles(recent, plain), "plain", scale_by_width=True),
     }
     both = plain.select(
         "article_id", F.col("vector").alias("plain"), vectors.l2_normalize(F.col("vector"), 1e-4).alias("unit")
@@ -201,8 +202,9 @@ def feature_rows(log, split, rows, keep):
     raw = log.raw_articles
     feats = features.article_features(raw, encode.category_codes(log.article_documents))
     vecs = unit_vectors(log)
-    mean = profiles.mean_profiles(cut(log, split), vecs)
-    return scoring.candidate_features(rows, lists(log, split), mean, feats, vecs, keep)
+    per_user = lists(log, split)
+    mean = profiles.mean_profiles(history.list_items(per_user), vecs)
+    return scoring.candidate_features(rows, per_user, mean, feats, vecs, keep)
 
 
 _FEATURES = """select b.impression_id, b.pos, b.article_id, b.clicked::bigint as label,

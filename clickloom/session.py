@@ -16,14 +16,14 @@ def shared_dir(spark: SparkSession) -> str:
     A folder of our own is made only for a local master that names none (tests);
     on a cluster a machine-local folder would not survive the loss of its host.
     """
-    configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set(CHECKPOINT_SETTING, made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
+    return context.getCheckpointDir()
 
 
 def working_path(spark: SparkSession, label: str) -> str:
@@ -33,8 +33,9 @@ def working_path(spark: SparkSession, label: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint `df` reliably: a lost executor re-reads files, it does not recompute."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+        folder = shared_dir(df.sparkSession)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -151,3 +151,30 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 def test_working_paths_lie_in_the_shared_folder(spark):
     path = session.working_path(spark, "x")
     assert path.startswith(session.shared_dir(spark)) and path != session.working_path(spark, "x")
+
+
+class _Context:
+    """Stands in for a context without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master, setting=None):
+        self.sparkContext = _Context(master)
+        self.conf = {session.CHECKPOINT_SETTING: setting} if setting else {}
+
+
+def test_shared_folder_rules():
+    assert session.shared_dir(_Session("k8s://x", "s3://b/ck/")) == "s3://b/ck"
+    with pytest.raises(ValueError):
+        session.shared_dir(_Session("k8s://x"))
+    local = _Session("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local) == local.sparkContext.folder
