@@ -23,7 +23,7 @@ def article_features(
     category = codes.columns[0]
     base = articles.select(
         "article_id",
-        category,
+        F.col(category).cast("string").alias(category),
         scalar.log_count(F.col("total_pageviews")).cast("float").alias("norm_views"),
         scalar.log_count(F.col("total_inviews")).cast("float").alias("norm_inviews"),
         F.coalesce("sentiment_score", F.lit(0)).cast("float").alias("sentiment_score"),
