@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -39,3 +40,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as Parquet in the shared folder and read it back.
+
+    The lineage ends at files that every executor can read, later readers take only the
+    columns they need, and the files go when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = working_path(spark, label)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
+    """Number the rows (unique, not dense) by partition and place within it.
+
+    For a table read from files every evaluation gives each row the same number, after a
+    lost executor too. Stage anything else first.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
