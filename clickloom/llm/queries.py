@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat, exact_dedup, quality, toxicity
+from clickloom.llm import (
+    chat, exact_dedup, mixing, packing, quality, secrets, toxicity,
+)
+from clickloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +104,41 @@ def good(spark, folder):
     return quality.score_quality(
         table(spark, folder, "documents"), table(spark, folder, "labels")
     ).drop("_row")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op1_packing")
+def pack(spark, folder):
+    pieces = packing.tokenised_pieces(table(spark, folder, "documents"), tokenizer_path())
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack_pieces(stage(narrow, "pieces")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op3_mixing")
+def mixed(spark, folder):
+    return mixing.mix_plan(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies"
+    )
+
+
+@query("op9_secrets")
+def secret_spans(spark, folder):
+    found = secrets.scan_secrets(table(spark, folder, "documents"))
+    findings = F.coalesce("findings", F.array().cast(found.schema["findings"].dataType))
+
+    def count(kind: int, name: str):
+        return F.size(F.filter(findings, lambda f: f["kind"] == kind)).cast("bigint").alias(name)
+
+    base = secrets.span_text(findings, lambda f: f["kind"] < 3)
+    every = secrets.span_text(findings, lambda f: (f["kind"] < 3) | (f["verdict"] == "live"))
+    return found.select(
+        "doc_id", count(0, "n_assign"), count(1, "n_access"), count(2, "n_hex"),
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), every.alias("spans"),
+    )

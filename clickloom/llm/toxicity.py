@@ -135,7 +135,7 @@ def _tell_tale(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     for the toxic dictionary's own part.
     """
     seen = [Counter(g for t in side for g in _grams(t)) for side in (toxic, ordinary)]
-    least = max(4, len(toxic) // 100)
+    least = max(4, len(toxic) // 50)
     ratio = len(toxic) / max(len(ordinary), 1)
     odd = {
         g for g, n in seen[0].items()
