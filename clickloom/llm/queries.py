@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    chat, exact_dedup, mixing, packing, quality, secrets, toxicity,
+    chat, exact_dedup, mixing, packing, quality, repeats, secrets, simhash, toxicity, vafile,
 )
 from clickloom.session import stage
 
@@ -142,3 +142,46 @@ def secret_spans(spark, folder):
         "doc_id", count(0, "n_assign"), count(1, "n_access"), count(2, "n_hex"),
         F.sha2(base.cast("binary"), 256).alias("base_sha256"), every.alias("spans"),
     )
+
+
+@query("op4_repeats")
+def repeats_removed(spark, folder):
+    return repeats.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes",
+        F.aggregate(
+            "spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]
+        ).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+SEARCH_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM r WHERE rank <= 5
+"""
+
+
+@query("op6_exact_search", SEARCH_SQL)
+def search(spark, folder):
+    given = table(spark, folder, "embeddings").where(vafile.usable(F.col("embedding")))
+    vectors = given.select("vec_id", vafile.whole_numbers(F.col("embedding")).alias("exact"))
+    return vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+@query("op7_simhash")
+def near_duplicates(spark, folder):
+    return simhash.near_groups(table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("p"), 16, "0")).alias("fingerprint"), "component_id"
+    )
