@@ -29,7 +29,6 @@ THRESHOLD = 2
 SEED = 42
 _CHUNK = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _MIX = 0x9E3779B97F4A7C15
 
 
@@ -52,27 +51,25 @@ def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
 def fingerprint(text: str | None, words: int, lanes: int = 1) -> np.ndarray:
     """`lanes` 64-bit numbers of majority bits; the first lane takes the hashes as they are.
 
-    Further lanes take them remixed, as independent hashes of the same shingles. Votes are
-    counted byte by byte: how often each byte value occurs tells all its bits' votes.
+    Further lanes take them remixed, as independent hashes of the same shingles.
     """
-    votes = np.zeros((lanes, 8, 8), np.int64)
+    votes = np.zeros(64 * lanes, np.int64)
     count = 0
     for hashes in shingle_hashes(text or "", words):
         count += len(hashes)
-        for lane in range(lanes):
-            h = hashes if lane == 0 else _remixed(hashes, lane)
-            for byte, column in enumerate(h.view(np.uint8).reshape(-1, 8).T):
-                votes[lane, byte] += np.bincount(column, minlength=256) @ _BITS
-    bits = (2 * votes > count).reshape(lanes, 64)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
+        for at in range(0, len(hashes), 255):  # so many votes fit a byte
+            octets = _remixed(hashes[at : at + 255], lanes).view(np.uint8)
+            bits = np.unpackbits(octets, axis=1, bitorder="little")
+            votes += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(2 * votes > count, bitorder="little").view(np.uint64)
 
 
-def _remixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+def _remixed(hashes: np.ndarray, lanes: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = hashes + np.uint64(lane * _MIX & (1 << 64) - 1)
+        h = hashes[:, None] + np.arange(1, lanes, dtype=np.uint64) * np.uint64(_MIX)
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(31))
+        return np.ascontiguousarray(np.column_stack([hashes, h ^ (h >> np.uint64(31))]))
 
 
 def fingerprints(
@@ -199,6 +196,7 @@ def near_groups(
 
 LANES = 22
 EXTRA = 4  # plain fingerprint bits beside a block's anchor
+DOUBT = 0.05  # estimates this near to the similarity are checked
 _SMALL = 64  # bucket size up to which all members are compared
 _GROUP = 150_000  # rows of one comparing task, about
 
@@ -302,7 +300,7 @@ def _dealt(prints: DataFrame, most: int) -> DataFrame:
 
 
 def similar_pairs(prints: DataFrame, count: int, limit: float) -> DataFrame:
-    """`a`, `b` (ids) of prints that differ in at most `limit` of their bits.
+    """`a`, `b` (ids) and `bits` of prints that differ in at most `limit` of their bits.
 
     Pairs are looked for among the members of equal buckets by the first two lanes, with
     room for their scatter, and decided by all lanes.
@@ -338,7 +336,42 @@ def similar_pairs(prints: DataFrame, count: int, limit: float) -> DataFrame:
     right = prints.select(F.col("id").alias("b"), F.col("print").alias("pb"))
     return (
         lookup(lookup(found, left, "a", "inner"), right, "b", "inner")
-        .where(bits <= int(limit * 64 * LANES)).select("a", "b")
+        .select("a", "b", bits.alias("bits")).where(F.col("bits") <= int(limit * 64 * LANES))
+    )
+
+
+def confirmed(texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The `pairs` (`a`, `b`: row numbers of `texts`) of at least that Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                sets = [
+                    np.unique(np.concatenate([*shingle_hashes(t or "", words), np.zeros(0, np.uint64)]))
+                    for t in part.column("t").to_pylist()
+                ]
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("id"),
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64))),
+                ], names=["id", "shingles"])
+
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    known = stage(
+        with_row_id(texts.select(F.col("t").cast("string")), "id")
+        .join(asked.hint("shuffle_hash"), "id", "left_semi")
+        .select("id", "t").mapInArrow(run, "id bigint, shingles array<bigint>"),
+        "shingles",
+    )
+    left, right = (
+        known.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}")) for side in "ab"
+    )
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return (
+        lookup(lookup(pairs.select("a", "b"), left, "a", "inner"), right, "b", "inner")
+        .where(shared >= similarity * (F.size("sa") + F.size("sb") - shared))
+        .select("a", "b")
     )
 
 
@@ -349,8 +382,9 @@ def similar_groups(
     """`_row`, `doc_id`, `component_id`, `keep_row` by shingle similarity.
 
     Like `near_groups`, for documents whose `words`-word shingles have a Jaccard similarity
-    of `similarity` or more, as far as the SimHash estimate from `LANES` fingerprints tells
-    (its standard error is near 0.03). Texts without words are one group.
+    of `similarity` or more. Candidates are found by `LANES` fingerprints; where their
+    estimate is within `DOUBT` of the similarity, the shingles themselves decide. Texts
+    without words are one group.
     """
     rows = stage(fingerprints(docs, text, id_col, words, LANES), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
@@ -359,9 +393,13 @@ def similar_groups(
             "print", "first", F.col("first._row").alias("id")
         ), "different",
     )
-    limit = share_of_bits(similarity) + 0.004
-    pairs = similar_pairs(different.select("id", "print"), different.count(), limit)
-    roots = components(pairs).withColumnRenamed("node", "id")
+    loose, strict = (share_of_bits(similarity + d) for d in (-DOUBT, DOUBT))
+    pairs = stage(
+        similar_pairs(different.select("id", "print"), different.count(), loose), "pairs"
+    )
+    doubtful = F.col("bits") > int(strict * 64 * LANES)
+    decided = confirmed(docs.select(F.col(text).alias("t")), pairs.where(doubtful), words, similarity)
+    roots = components(pairs.where(~doubtful).select("a", "b").unionByName(decided)).withColumnRenamed("node", "id")
     rooted = different.select("id", "first", "print").join(roots, "id", "left").withColumn(
         "root", F.coalesce("root", "id")
     )
