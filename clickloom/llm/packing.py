@@ -61,15 +61,15 @@ def tokenised_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
-        encode = tokenizer(path).encode
+        ids_of = tokenizer(path).ids
         for batch in batches:
             for at in range(0, batch.num_rows, _BLOCK):
                 part = batch.slice(at, _BLOCK)
                 texts = [t or "" for t in part.column("t").to_pylist()]
                 rows = part.column("_row").to_pylist()
                 owner, cuts, totals, ids = [], [], [], []
-                for k, data in enumerate(encode(texts)):
-                    data += end
+                for k, text in enumerate(texts):
+                    data = ids_of(text).tobytes() + end
                     n = len(data) // 4
                     for start, length in cut(n, rows[k], capacity):
                         owner.append(k)
