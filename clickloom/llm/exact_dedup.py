@@ -13,8 +13,6 @@ second hash of another family agree, so texts that met in one digest alone stay
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +30,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, "")
 
 
-def digests(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def digests(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", lanes: int = LANES
+) -> DataFrame:
     """One narrow row per document: `_row`, `_id`, digest key, length and lane."""
     rows = with_row_id(
         docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("_text"))
@@ -41,7 +41,7 @@ def digests(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Data
         "_id",
         F.length(F.coalesce("_text", F.lit(""))).alias("_points"),
         normalised(F.col("_text")).alias("_norm"),
-        F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("_lane"),
+        F.pmod(F.spark_partition_id(), F.lit(lanes)).alias("_lane"),
     )
     key = F.struct(
         F.unhex(F.sha2(F.col("_norm").cast("binary"), 256)).alias("sha"),
@@ -63,7 +63,8 @@ def merge_runs(rows: DataFrame, lanes: int = LANES, fan_in: int = FAN_IN) -> Dat
     runs = rows.groupBy("_lane", "_digest").agg(
         F.min(best).alias("_best"), F.count(F.lit(1)).alias("_size")
     )
-    for _ in range(math.ceil(math.log(lanes, fan_in))):
+    while lanes > 1:
+        lanes = -(-lanes // fan_in)
         lane = F.floor(F.col("_lane") / fan_in).cast("int").alias("_lane")
         runs = runs.groupBy(lane, "_digest").agg(
             F.min("_best").alias("_best"), F.sum("_size").alias("_size")
@@ -82,7 +83,7 @@ def exact_groups(
     entirely. Null ids are allowed and are kept only where no row of the length has an
     id. An empty table gives an empty result; other columns are not read.
     """
-    rows = stage(digests(docs, text, id_col), "digests")
+    rows = stage(digests(docs, text, id_col, lanes), "digests")
     merged = merge_runs(rows, lanes, fan_in)
     return lookup(rows, merged, "_digest").select(
         "_row",
