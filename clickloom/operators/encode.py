@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import arrays
 from clickloom.operators.ordering import dense_index
+from clickloom.session import stage, with_row_id
 
 UNKNOWN_CATEGORY = "UNK"
 
@@ -46,17 +47,19 @@ def encode_column(
     return out if unknown is None else out.withColumn(to, F.coalesce(to, F.lit(unknown)))
 
 
-def encode_lists(df: DataFrame, columns: dict[str, str], key: str, index: DataFrame) -> DataFrame:
+def encode_lists(df: DataFrame, columns: dict[str, str], index: DataFrame) -> DataFrame:
     """Replace id lists by encoded ones: order and duplicates kept, null as empty, unknown 0.
 
-    All lists are exploded together, meet the map in one join, and are regrouped by
-    `key`, which must identify the row: a rebuilt list is as long as it came in. The
-    row's other columns ride on its first item, so the table is read once and they are
-    shuffled once. A hot article splits at run time: the map side is one row per id.
+    All lists are exploded together, meet the map in one join, and are regrouped by row:
+    as many rows come out as went in, whatever keys they share, and a rebuilt list is as
+    long as it came in. The rows are stored first, so that a row's number is the same in
+    every attempt; its other columns ride on its first item, so they are shuffled once. A
+    hot article splits at run time: the map side is one row per id.
     """
     id_name = index.columns[0]
-    rest = [c for c in df.columns if c != key and c not in columns]
+    rest = [c for c in df.columns if c not in columns]
     id_type = df.schema[next(iter(columns))].dataType.elementType.simpleString()
+    stored = stage(with_row_id(df, "_number"), "lists")
 
     def item(kind, article):
         return F.struct(F.lit(kind).alias("kind"), article.cast(id_type).alias(id_name))
@@ -65,19 +68,21 @@ def encode_lists(df: DataFrame, columns: dict[str, str], key: str, index: DataFr
         return F.transform(arrays.or_empty(F.col(column), id_type), lambda x: item(kind, x))
 
     tagged = F.concat(*[tagged_list(kind, c) for kind, c in enumerate(columns)])
-    listed = df.withColumn("_tagged", tagged).select(
-        key,
+    listed = stored.withColumn("_tagged", tagged).select(
+        "_number",
         F.struct(*rest).alias("_row") if rest else F.lit(None).cast("struct<_none:int>").alias("_row"),
         F.when(F.size("_tagged") > 0, F.col("_tagged")).otherwise(
             F.array(item(-1, F.lit(None)))
         ).alias("_tagged"),
     )
-    items = listed.select(key, "_row", F.posexplode_outer("_tagged").alias("pos", "_item")).select(
-        key, "pos", "_item.kind", f"_item.{id_name}",
+    items = listed.select(
+        "_number", "_row", F.posexplode_outer("_tagged").alias("pos", "_item")
+    ).select(
+        "_number", "pos", "_item.kind", f"_item.{id_name}",
         F.when(F.col("pos") == 0, F.col("_row")).alias("_row"),
     )
     encoded = encode_column(items, id_name, index, "_idx")
-    rebuilt = encoded.groupBy(key).agg(
+    rebuilt = encoded.groupBy("_number").agg(
         F.array_sort(F.collect_list(F.struct("pos", "kind", "_idx"))).alias("_items"),
         F.first("_row", ignorenulls=True).alias("_row"),
     )
@@ -87,7 +92,6 @@ def encode_lists(df: DataFrame, columns: dict[str, str], key: str, index: DataFr
         return F.transform(picked, lambda x: x["_idx"].cast("int"))
 
     return rebuilt.select(
-        key,
         *[F.col("_row")[c].alias(c) for c in rest],
         *[of_kind(kind).alias(to) for kind, to in enumerate(columns.values())],
     )

@@ -39,12 +39,12 @@ def article_features(
 
 
 def history_features(history: DataFrame, articles: DataFrame, users: DataFrame) -> DataFrame:
-    """One row per user: encoded ids, scroll in [0, 1], read time and epoch lists.
+    """One row per history row: encoded ids, scroll in [0, 1], read time and epoch lists.
 
     Users the map lacks are dropped: index 0 belongs to a real user.
     """
     times = history.schema["impression_time_fixed"].dataType
-    encoded = encode_lists(history, {"article_id_fixed": "hist_ids"}, "user_id", articles)
+    encoded = encode_lists(history, {"article_id_fixed": "hist_ids"}, articles)
     known = encoded.join(users.withColumnRenamed("idx", "_user"), "user_id")
     return known.select(
         F.col("_user").cast("int").alias("user_id"),
@@ -107,7 +107,7 @@ def behavior_features(
         *behavior_attributes(behaviors), "user_id", "article_ids_inview",
         clicked.alias("article_ids_clicked"),
     )
-    encoded = encode_lists(rows, lists, "impression_id", articles)
+    encoded = encode_lists(rows, lists, articles)
     out = encode_column(encoded, "user_id", users, "_user", unknown_user)
     names = [c for c in encoded.columns if c not in ("impression_id", "user_id")]
     return out.select("impression_id", F.col("_user").cast("int").alias("user_id"), *names)

@@ -3,6 +3,7 @@
 Definitions: reciprocal rank of the best clicked candidate, 0 without a click;
 NDCG@k with DCG / (IDCG + 1e-4); tie-aware ROC area from rank sums, null when only
 one class is present; logistic and list-wise losses with 1e-4 and empty-list rules.
+A null or NaN score ranks last; it has no loss, and does not count in the mean loss.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from clickloom.operators.ordering import dense_index, running_total
 from clickloom.operators.ranking import score_order
 
+# Fixed values of the definitions.
 EPS = 1e-4
 LOSS_WEIGHTS = {"bce_loss": 1.0, "listnet_loss": 0.5}
 
@@ -30,6 +32,11 @@ def valid_only(scored: DataFrame) -> DataFrame:
     return scored.where("valid") if "valid" in scored.columns else scored
 
 
+def real_score(score: Column) -> Column:
+    """The score, null where it is not a number."""
+    return F.when(~F.isnan(score), score)
+
+
 def bce_term(score: Column, label: Column) -> Column:
     """Logistic loss of a raw score, in the form that does not overflow."""
     return F.greatest(score, F.lit(0.0)) - score * label + F.log1p(F.exp(-F.abs(score)))
@@ -66,7 +73,7 @@ def impression_metrics(
     scored: DataFrame, keys: Sequence[str] = ("impression_id",), ks: Sequence[int] = (5, 10)
 ) -> DataFrame:
     """One row per impression: counts, rr, ndcg@k, auc, loss sums. One exchange."""
-    data = binary_label(valid_only(scored))
+    data = binary_label(valid_only(scored)).withColumn("score", real_score(F.col("score")))
     order = W.partitionBy(*keys).orderBy(score_order(), F.asc("pos"))
     ranked = _with_average_rank(
         data.withColumn("_rank", F.row_number().over(order)), keys
@@ -80,9 +87,11 @@ def impression_metrics(
         F.min(F.when(hit, F.col("_rank"))).alias("_best"),
         *[F.sum(F.when(hit & (F.col("_rank") <= k), gain).otherwise(F.lit(0.0))).alias(f"_dcg{k}") for k in ks],
         F.sum(F.when(hit, F.col("_avg_rank")).otherwise(F.lit(0.0))).alias("_rank_sum"),
-        F.sum(bce_term(F.col("score"), F.col("label"))).alias("bce_sum"),
-        F.log(F.sum(F.exp(shifted))).alias("_lse"),
-        F.sum(F.when(hit, shifted).otherwise(F.lit(0.0))).alias("_pos_shifted"),
+        F.count("score").alias("n_scored"),
+        F.coalesce(F.sum(bce_term(F.col("score"), F.col("label"))), F.lit(0.0)).alias("bce_sum"),
+        F.coalesce(F.log(F.sum(F.exp(shifted))), F.lit(0.0)).alias("_lse"),
+        F.count(F.when(hit, F.col("score"))).alias("_hits"),
+        F.sum(F.when(hit & shifted.isNotNull(), shifted).otherwise(F.lit(0.0))).alias("_pos_shifted"),
     )
     n_pos = F.col("n_pos")
     return grouped.select(
@@ -92,8 +101,9 @@ def impression_metrics(
         F.coalesce(F.lit(1.0) / F.col("_best"), F.lit(0.0)).alias("rr"),
         *[(F.col(f"_dcg{k}") / (_ideal_dcg(n_pos, k) + F.lit(EPS))).alias(f"ndcg{k}") for k in ks],
         _auc(F.col("_rank_sum"), n_pos, F.col("n")).alias("auc"),
+        "n_scored",
         "bce_sum",
-        F.when(n_pos > 0, F.col("_lse") - F.col("_pos_shifted") / n_pos)
+        F.when(F.col("_hits") > 0, F.col("_lse") - F.col("_pos_shifted") / F.col("_hits"))
         .otherwise(F.lit(0.0))
         .alias("listnet"),
     )
@@ -117,7 +127,7 @@ def evaluate(
         F.avg("rr").alias("mrr"),
         F.avg("ndcg5").alias("ndcg_5"),
         F.avg("ndcg10").alias("ndcg_10"),
-        (F.sum("bce_sum") / (F.sum("n") + F.lit(EPS))).alias("bce_loss"),
+        (F.sum("bce_sum") / (F.sum("n_scored") + F.lit(EPS))).alias("bce_loss"),
         F.avg("listnet").alias("listnet_loss"),
     )
     loss = F.lit(0.0)
@@ -129,6 +139,17 @@ def evaluate(
     ) if suffix else out
 
 
+def evaluate_batched(scored: DataFrame, batch_size: int, by: Sequence[str] = ()) -> DataFrame:
+    """`evaluate` with the area of flattened batches, weighted by candidates, as `auc`."""
+    report = evaluate(scored, by).drop("auc")
+    areas = batch_auc(assign_batches(scored, batch_size), by).where(F.col("auc").isNotNull())
+    auc = areas.groupBy(*by).agg((F.sum(F.col("auc") * F.col("n")) / F.sum("n")).alias("auc"))
+    if by:
+        return report.join(auc, [*by], "left")
+    one = F.lit(1).alias("_one")
+    return report.select("*", one).join(auc.select("*", one), "_one").drop("_one")
+
+
 def assign_batches(scored: DataFrame, batch_size: int) -> DataFrame:
     """Number impressions by id and cut them into batches of `batch_size`."""
     index = dense_index(scored, "impression_id", 0, "_seq")
@@ -138,17 +159,18 @@ def assign_batches(scored: DataFrame, batch_size: int) -> DataFrame:
     return scored.join(batches, "impression_id")
 
 
-def batch_auc(scored: DataFrame) -> DataFrame:
-    """ROC area of each flattened batch, null for one-class batches."""
-    data = _with_average_rank(binary_label(valid_only(scored)), ["batch_id"])
+def batch_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """ROC area of each flattened batch (per value of `by`), null for one-class batches."""
+    keys = [*by, "batch_id"]
+    data = _with_average_rank(binary_label(valid_only(scored)), keys)
     return (
-        data.groupBy("batch_id")
+        data.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("label").alias("n_pos"),
             F.sum(F.when(F.col("label") == 1, F.col("_avg_rank")).otherwise(F.lit(0.0))).alias("_s"),
         )
-        .select("batch_id", "n", "n_pos", _auc(F.col("_s"), F.col("n_pos"), F.col("n")).alias("auc"))
+        .select(*keys, "n", "n_pos", _auc(F.col("_s"), F.col("n_pos"), F.col("n")).alias("auc"))
     )
 
 
@@ -165,10 +187,12 @@ def auc_global(scored: DataFrame) -> DataFrame:
     """Exact ROC area over all candidates.
 
     Rows are first folded into one row per distinct score on the map side, so a score
-    shared by a third of all rows costs one row; negatives below a score come from a
+    shared by a third of all rows costs one row; a null or NaN score is the lowest.
+    Negatives below a score come from a
     range-partitioned running sum, never from one global window.
     """
-    data = binary_label(valid_only(scored))
+    lowest = F.coalesce(real_score(F.col("score").cast("double")), F.lit(float("-inf")))
+    data = binary_label(valid_only(scored)).withColumn("score", lowest)
     folded = data.groupBy("score").agg(
         F.sum("label").alias("pos_n"), F.sum(F.lit(1) - F.col("label")).alias("neg_n")
     )

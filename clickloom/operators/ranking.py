@@ -60,7 +60,8 @@ def compare_models(scored: DataFrame, top: int = 3) -> DataFrame:
     """Per model and impression: the top list, best clicked rank and hit count."""
     keys = ["model", "impression_id"]
     ranked = rank_candidates(scored, keys)
-    best = F.filter(F.array_sort(F.collect_list(F.struct("rank", "article_id"))), lambda x: x["rank"] <= top)
+    listed = F.when(F.col("rank") <= top, F.struct("rank", "article_id"))
+    best = F.array_sort(F.collect_list(listed))
     clicked = F.col("label") > 0
     return ranked.groupBy(*keys).agg(
         F.array_join(F.transform(best, lambda x: x["article_id"].cast("string")), ",").alias("top_articles"),

@@ -140,6 +140,25 @@ def auc_global(log):
     return metrics.auc_global(fixed_scores(log)).select("n_pos", "n_neg", r6("auc", "auc"))
 
 
+_NAN = """(select impression_id, pos, article_id, label, case when pos%5=0 then -1e300 else score end score
+  from fixed_validation)"""
+
+
+@query(
+    "auc_global_nan",
+    f"""select sum(label)::bigint n_pos, sum(1-label)::bigint n_neg,
+      round((sum(ar) filter (label=1)-sum(label)*(sum(label)+1)/2.0)/(sum(label)*sum(1-label)),6) auc
+    from (select *, rank() over (order by score)+(count(*) over (partition by score)-1)/2.0 ar from {_NAN})""",
+)
+def auc_global_nan(log):
+    """Every fifth score is NaN or null, which counts as the lowest."""
+    missing = F.when(F.col("pos") % 10 == 0, F.lit(float("nan")))
+    score = F.when(F.col("pos") % 5 == 0, missing).otherwise(F.col("score"))
+    return metrics.auc_global(fixed_scores(log).withColumn("score", score)).select(
+        "n_pos", "n_neg", r6("auc", "auc")
+    )
+
+
 @query("bce_loss", "select round(sum(bce_sum)/(sum(n)+1e-4),6) bce_loss from fixed_train_per")
 def bce_loss(log):
     per = metrics.impression_metrics(fixed_scores(log, "train"))
@@ -177,6 +196,25 @@ def evaluate(log):
     return out.select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
 
 
+_BATCHED = """select 'similarity' model, (select count(*) from sim_validation_per) n_impressions,
+  (select round(sum(auc*n)/sum(n),6) from (
+    select batch_id, count(*) n, (sum(ar) filter (label=1)-sum(label)*(sum(label)+1)/2.0)
+      /nullif(sum(label)*(count(*)-sum(label)),0) auc
+    from (select *, rank() over (partition by batch_id order by score)
+        +(count(*) over (partition by batch_id, score)-1)/2.0 ar
+      from (select f.*, (dense_rank() over (order by impression_id)-1)//32 batch_id from sim_validation f))
+    group by batch_id) where auc is not null) auc,
+  (select round(avg(rr),6) from sim_validation_per) mrr"""
+
+
+@query("evaluate_batched", _BATCHED)
+def evaluate_batched(log):
+    """The report with the batch-flattened area, batches of 32 impressions."""
+    rows = similarity(log, "validation").withColumn("model", F.lit("similarity"))
+    out = metrics.evaluate_batched(rows, 32, ["model"])
+    return out.select("model", "n_impressions", r6("auc", "auc"), r6("mrr", "mrr"))
+
+
 @query("evaluate_models", _BY_MODEL)
 def evaluate_models(log):
     return report(log).select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])

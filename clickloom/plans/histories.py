@@ -129,6 +129,7 @@ def history_pad_right(log):
       round(coalesce(h.s,0),4) sum_scroll from imp_validation i left join
       (select user_id, count(*) filter (article_id<>0) n, sum(scroll) s from recent30_validation group by user_id) h
       using (user_id)""",
+    cold_users=True,
 )
 def cold_start(log):
     """Fixed-length lists per impression, all zeros for a user without history."""
@@ -149,6 +150,7 @@ def cold_start(log):
     """select i.impression_id, i.user_id, coalesce(h.n,0) n_items, coalesce(h.ids,'') hist_ids
     from imp_test i left join (select user_id, count(*) n, string_agg(article_id::varchar,',' order by pos) ids
       from first50_test group by user_id) h using (user_id)""",
+    cold_users=True,
 )
 def impression_history(log):
     rows = log.behaviors("test", clicks=False).select("impression_id", "user_id")

@@ -52,6 +52,7 @@ def article_embedding_table(log):
     """select b.impression_id, b.pos, round(b.imp_t,6) imp_ts, u.idx user_idx, b.article_id,
       coalesce(a.idx,0) id_encoded, b.clicked::bigint as label
     from bl_train b left join user_idx u using (user_id) left join art_idx a on a.article_id=b.article_id""",
+    unknown_articles=True,
 )
 def stream_behaviors(log):
     """Impressions arrive as files, are encoded by a streaming job, and land as Parquet."""

@@ -18,7 +18,7 @@ VIEWS: dict[str, str] = {
 from events""",
     "articles": """select d.doc_id article_id,
   case when d.lang='es' then null else d.lang end category_str,
-  substr(d.text,1,60) title,
+  split_part(d.text,chr(10),1) title,
   case when d.doc_id%7=0 then null else d.source end subtitle,
   d.text body, a.views total_pageviews, a.inviews total_inviews, a.rt total_read_time,
   cast(l.quality as double) sentiment_score,
@@ -27,7 +27,7 @@ from documents d
 left join (select article_id, nullif(sum(case when event_type='view' then 1 else 0 end),0) views,
              count(*) inviews, sum(value) rt from ev group by article_id) a on a.article_id=d.doc_id
 left join labels l on l.doc_id=d.doc_id
-where d.doc_id<95 or d.doc_id>=100""",
+@known@""",
     "art_idx": "select article_id, row_number() over (order by article_id) idx "
     "from (select distinct article_id from articles)",
     "user_idx": "select user_id, row_number() over (order by user_id)-1 idx "
@@ -41,8 +41,7 @@ where d.doc_id<95 or d.doc_id>=100""",
   coalesce(sentiment_score,0) sentiment_score, ln(1+coalesce(total_read_time,0)) norm_read_time,
   published published_time
 from articles a left join art_idx i using (article_id) left join cat_code c using (category_str)""",
-    "vec": "select vec_id article_id, cast(embedding as double[]) v from embeddings "
-    "where vec_id in (select article_id from articles)",
+    "vec": "select vec_id article_id, cast(embedding as double[]) v from embeddings",
     "vecn": "select article_id, list_transform(v, lambda x: x/(sqrt(list_dot_product(v,v))+1e-4)) v from vec",
     "vecl": "select article_id, unnest(v) x, generate_subscripts(v,1) d from vec",
     "vecnl": "select article_id, unnest(v) x, generate_subscripts(v,1) d from vecn",
@@ -55,7 +54,7 @@ for _s, (_c, _lo, _hi) in _SPLITS.items():
   least(value,100.0)/100.0 scroll,
   case when event_type='error' then 0 else value*4-10 end clean_time,
   ln(1+greatest(case when event_type='error' then 0 else value*4-10 end,0)) log_time
-from ev where b<{_c} and user_id%13<>0"""
+from ev where b<{_c} @cold@"""
     VIEWS[f"bl_{_s}"] = f"""select min(fe) over (partition by user_id,b) impression_id, user_id, b,
   min(ft) over (partition by user_id,b) imp_t, article_id, clicked,
   row_number() over (partition by user_id,b order by fe)-1 pos
@@ -170,8 +169,8 @@ for _s in _SPLITS:
         VIEWS.update(_metric_views(f"{_model}_{_s}"))
 
 
-def with_views(sql: str) -> str:
-    """Prefix `sql` with the views it needs."""
+def with_views(sql: str, unknown_articles: bool = False, cold_users: bool = False) -> str:
+    """Prefix `sql` with the views it needs, with the holdouts that the query asks for."""
     needed: set[str] = set()
     todo = [sql]
     while todo:
@@ -181,4 +180,6 @@ def with_views(sql: str) -> str:
                 needed.add(name)
                 todo.append(VIEWS[name])
     parts = [f"{name} as ({VIEWS[name]})" for name in VIEWS if name in needed]
-    return ("with " + ",\n".join(parts) + "\n" if parts else "") + sql.strip()
+    text = ("with " + ",\n".join(parts) + "\n" if parts else "") + sql.strip()
+    known = "where d.doc_id<95 or d.doc_id>=100" if unknown_articles else ""
+    return text.replace("@known@", known).replace("@cold@", "and user_id%13<>0" if cold_users else "")

@@ -68,9 +68,9 @@ def shard_assign(log):
 @query(
     "articles_features",
     """select article_id, id_encoded::bigint id_encoded, cat_encoded::bigint cat_encoded,
-      round(norm_views::float,5) norm_views, round(norm_inviews::float,5) norm_inviews,
-      round(sentiment_score,5) sentiment_score, round(norm_read_time::float,4)::double norm_read_time,
-      published_time from feats""".replace("::float", ""),
+      round(norm_views,5) norm_views, round(norm_inviews,5) norm_inviews,
+      round(sentiment_score,5) sentiment_score, round(norm_read_time,4)::double norm_read_time,
+      published_time from feats""",
 )
 def articles_features(log):
     raw = log.raw_articles
@@ -145,6 +145,7 @@ def history_features_lists(log):
       select impression_id, string_agg(coalesce(idx,0)::varchar, ',' order by pos) inv_ids,
         string_agg(coalesce(idx,0)::varchar, ',' order by pos) filter (clicked=1) clk_ids
       from bl_train left join art_idx using (article_id) group by impression_id) l using (impression_id)""",
+    unknown_articles=True,
 )
 def behaviors_features(log):
     rows = log.behaviors("train")
@@ -235,13 +236,11 @@ def user_index(log):
 
 @query(
     "encode_users",
-    """select e.event_id, e.user_id, coalesce(u.idx,0) idx from ev e left join (
-      select user_id, row_number() over (order by user_id)-1 idx
-      from (select distinct user_id from ev where b=8)) u using (user_id)""",
+    "select e.event_id, e.user_id, coalesce(u.idx,0) idx from ev e left join user_idx u using (user_id)",
 )
 def encode_users(log):
     events = log.click_events()
-    index = encode.user_index(clicklog.in_buckets(events, 8, 8))
+    index = encode.user_index(log.split_users())
     return encode.encode_column(events.select("event_id", "user_id"), "user_id", index, "idx").select(
         "event_id", "user_id", "idx"
     )
@@ -251,11 +250,29 @@ def encode_users(log):
     "encode_inview",
     """select impression_id, string_agg(coalesce(idx,0)::varchar, ',' order by pos) inv_ids
     from bl_train left join art_idx using (article_id) group by impression_id""",
+    unknown_articles=True,
 )
 def encode_inview(log):
     rows = log.behaviors("train").select("impression_id", "article_ids_inview")
     index = encode.article_index(log.article_ids())
-    out = encode.encode_lists(rows, {"article_ids_inview": "inv_ids"}, "impression_id", index)
+    out = encode.encode_lists(rows, {"article_ids_inview": "inv_ids"}, index)
+    return out.select(
+        "impression_id", F.array_join(F.col("inv_ids").cast("array<string>"), ",").alias("inv_ids")
+    )
+
+
+@query(
+    "encode_repeated_ids",
+    """select impression_id%3 impression_id, string_agg(coalesce(idx,0)::varchar, ',' order by pos) inv_ids
+    from bl_train left join art_idx using (article_id) group by bl_train.impression_id""",
+)
+def encode_repeated_ids(log):
+    """Impressions share three ids; every row keeps its own list."""
+    rows = log.behaviors("train").select(
+        (F.col("impression_id") % 3).alias("impression_id"), "article_ids_inview"
+    )
+    index = encode.article_index(log.article_ids())
+    out = encode.encode_lists(rows, {"article_ids_inview": "inv_ids"}, index)
     return out.select(
         "impression_id", F.array_join(F.col("inv_ids").cast("array<string>"), ",").alias("inv_ids")
     )

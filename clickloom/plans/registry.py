@@ -16,13 +16,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None) -> Callable:
-    """Register a plan over a ClickLog under a name, as a callable of (session, folder)."""
+def query(name: str, oracle: str | None = None, **holdouts: bool) -> Callable:
+    """Register a plan over a ClickLog under a name, as a callable of (session, folder).
+
+    `holdouts` are those of ClickLog, for queries whose feature they are.
+    """
 
     def register(fn: Callable[[ClickLog], DataFrame]) -> Callable[[ClickLog], DataFrame]:
-        QUERIES[name] = lambda spark, folder: fn(ClickLog(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(ClickLog(spark, folder, **holdouts))
         if oracle is not None:
-            ORACLES[name] = with_views(oracle)
+            ORACLES[name] = with_views(oracle, **holdouts)
         return fn
 
     return register

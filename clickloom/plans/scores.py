@@ -169,23 +169,28 @@ def category_join(log):
 
 @query(
     "embedding_table",
-    f"""select idx, article_id, 64::bigint width, round(v[1],5)+0.0 title_x, round(v[64],5)+0.0 body_x,
-      round(cv[1],5)+0.0 category_x from art_idx join vec using (article_id) join articles using (article_id)
-      join {_CATEGORY_MEANS} c on c.category_str=coalesce(articles.category_str,'UNK')
+    f"""select idx, article_id, 64::bigint width, coalesce(round(v[1],5)+0.0,0.0) title_x, coalesce(round(v[64],5)+0.0,0.0) body_x,
+      coalesce(round(cv[1],5)+0.0,0.0) category_x from art_idx left join vec using (article_id) join articles using (article_id)
+      left join {_CATEGORY_MEANS} c on c.category_str=coalesce(articles.category_str,'UNK')
     union all select 0, -1, 64, 0.0, 0.0, 0.0""",
 )
 def embedding_table(log):
-    """Export with the zero pad row; the body vector here is the title vector reversed."""
+    """All articles and the zero pad row; an article without a vector gets zeros too.
+
+    The body vector here is the title vector reversed.
+    """
+    width = readers.check_vector_width(log.embeddings(), "vector")
+    zero = F.array_repeat(F.lit(0.0).cast("float"), width)
     text = features.article_text(log.article_documents).select("article_id", "category_str")
     embedded = (
-        text.join(plain_vectors(log), "article_id")
+        text.join(plain_vectors(log), "article_id", "left")
         .join(category_means(log), "category_str", "left")
         .select(
-            "article_id", F.col("vector").alias("title_vector"),
-            F.reverse("vector").alias("body_vector"), "category_vector",
+            "article_id", F.coalesce("vector", zero).alias("title_vector"),
+            F.reverse(F.coalesce("vector", zero)).alias("body_vector"),
+            F.coalesce("category_vector", zero).alias("category_vector"),
         )
     )
-    width = readers.check_vector_width(log.embeddings(), "vector")
     out = sinks.embedding_table(embedded, encode.article_index(log.article_ids()), width)
     first = F.lit(0)
 

@@ -17,12 +17,35 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
+def fingerprint(*tables: DataFrame, **parameters) -> str:
+    """A text that changes with the rows of the tables or with the parameters."""
+    parts = [repr(sorted(parameters.items()))]
+    for df in tables:
+        row = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns])
+        n, total = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)"))).first()
+        parts.append(f"{df.schema.simpleString()} {n} {total}")
+    return " | ".join(parts)
+
+
 def materialize(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (),
+    stamp: str | None = None,
 ) -> DataFrame:
-    """Build once: read the table when its success marker is there, else write it first."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    """Build once: read the table when its success marker is there, else write it first.
+
+    With a `stamp` (see `fingerprint`) a table is only read back if it was built under the
+    same one.
+    """
+    fresh = path_exists(spark, f"{path}/_SUCCESS")
+    if fresh and stamp is not None:
+        fresh = path_exists(spark, f"{path}.stamp/_SUCCESS") and [
+            r[0] for r in spark.read.text(f"{path}.stamp", wholetext=True).collect()
+        ] == [stamp + "\n"]
+    if not fresh:
         write_table(build(), path, partition_by)
+        if stamp is not None:
+            told = spark.createDataFrame([(stamp,)], "value string").coalesce(1)
+            told.write.mode("overwrite").text(f"{path}.stamp")
     return spark.read.parquet(path)
 
 

@@ -1,7 +1,8 @@
 """Whole jobs over a raw data folder: preprocessing, embedding, submission.
 
 Layout: `articles.parquet` and `<split>/{history,behaviors}.parquet`. Splits without a
-file are skipped. Id maps and the category artefact are built once and read back.
+file are skipped. Id maps and embedding tables are read back only if they were built from
+the same rows with the same parameters.
 """
 
 from __future__ import annotations
@@ -16,17 +17,20 @@ from clickloom.sources import readers, sinks
 
 def article_map(spark: SparkSession, raw: str, out: str) -> DataFrame:
     articles = readers.scan(spark, f"{raw}/articles.parquet", ["article_id"])
-    return sinks.materialize(spark, f"{out}/article_index", lambda: encode.article_index(articles))
+    return sinks.materialize(
+        spark, f"{out}/article_index", lambda: encode.article_index(articles),
+        stamp=sinks.fingerprint(articles),
+    )
 
 
 def user_map(spark: SparkSession, raw: str, out: str) -> DataFrame:
-    def build():
-        users = readers.read_splits(spark, raw, "behaviors", ["user_id"])
-        if users is None:
-            raise ValueError(f"no behaviors below {raw}")
-        return encode.user_index(users)
-
-    return sinks.materialize(spark, f"{out}/user_index", build)
+    users = readers.read_splits(spark, raw, "behaviors", ["user_id"])
+    if users is None:
+        raise ValueError(f"no behaviors below {raw}")
+    return sinks.materialize(
+        spark, f"{out}/user_index", lambda: encode.user_index(users),
+        stamp=sinks.fingerprint(users),
+    )
 
 
 def preprocess(spark: SparkSession, raw: str, out: str, category: str = "category") -> None:
@@ -34,7 +38,8 @@ def preprocess(spark: SparkSession, raw: str, out: str, category: str = "categor
     articles = readers.scan(spark, f"{raw}/articles.parquet")
     ids, users = article_map(spark, raw, out), user_map(spark, raw, out)
     codes = sinks.materialize(
-        spark, f"{out}/category_codes", lambda: encode.category_codes(articles, category)
+        spark, f"{out}/category_codes", lambda: encode.category_codes(articles, category),
+        stamp=sinks.fingerprint(articles.select(category)),
     )
     processed = features.article_features(articles, codes, ids)
     sinks.write_table(processed, f"{out}/articles_processed.parquet")
@@ -60,12 +65,16 @@ def embed(
 ) -> DataFrame:
     """Write category vectors, article embeddings, and the index-keyed embedding table."""
     articles = readers.scan(spark, f"{raw}/articles.parquet")
+    encoder = getattr(make_encoder, "__qualname__", None)
+    told = [] if descriptions is None else [descriptions]
+    stamp = sinks.fingerprint(articles, *told, dim=dim, chars=max_body_chars, encoder=encoder)
     categories = sinks.materialize(
         spark,
         f"{out}/category_vectors",
         lambda: text.category_vectors(
             encode.category_dictionary(articles), dim, descriptions, make_encoder
         ),
+        stamp=stamp,
     )
     embedded = sinks.materialize(
         spark,
@@ -73,11 +82,13 @@ def embed(
         lambda: text.embed_articles(
             features.article_text(articles, max_body_chars), categories, dim, make_encoder
         ),
+        stamp=stamp,
     )
     width = readers.check_vector_width(embedded, "title_vector")
     ids = article_map(spark, raw, out)
     return sinks.materialize(
-        spark, f"{out}/embedding_table", lambda: sinks.embedding_table(embedded, ids, width)
+        spark, f"{out}/embedding_table", lambda: sinks.embedding_table(embedded, ids, width),
+        stamp=stamp,
     )
 
 

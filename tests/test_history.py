@@ -97,11 +97,33 @@ def test_encode_lists_keeps_order_duplicates_and_empty_rows(spark):
         [(1, [40, 99, 30, 40], [30], "a"), (2, [], None, "b"), (3, None, [50, 7], "c")],
         "k int, inv array<int>, clk array<int>, other string",
     )
-    out = encode.encode_lists(rows, {"inv": "inv_ids", "clk": "clk_ids"}, "k", index).collect()
+    out = encode.encode_lists(rows, {"inv": "inv_ids", "clk": "clk_ids"}, index).collect()
     got = {r.k: (r.inv_ids, r.clk_ids, r.other) for r in out}
     assert got == {1: ([2, 0, 1, 2], [1], "a"), 2: ([], [], "b"), 3: ([], [3, 0], "c")}
 
 
+def test_encode_lists_keeps_rows_that_share_an_id(spark):
+    index = encode.article_index(spark.createDataFrame([(50,), (30,)], "article_id int"))
+    rows = spark.range(10_000, numPartitions=6).select(
+        F.lit(0).alias("impression_id"), (F.col("id") % 7).alias("user_id"),
+        F.array(F.lit(30), F.lit(50).cast("int"), (F.col("id") % 3).cast("int")).alias("inv"),
+    )
+    out = encode.encode_lists(rows, {"inv": "inv_ids"}, index)
+    assert out.count() == 10_000
+    assert [tuple(r.inv_ids) for r in out.select("inv_ids").distinct().collect()] == [(1, 2, 0)]
+    counts = {r.user_id: r["count"] for r in out.groupBy("user_id").count().collect()}
+    assert counts == {u: len(range(u, 10_000, 7)) for u in range(7)}
+
+
+def test_repeated_history_rows_stay_aligned(spark):
+    articles = encode.article_index(spark.createDataFrame([(7,), (9,)], "article_id int"))
+    users = encode.user_index(spark.createDataFrame([(2,), (5,)], "user_id bigint"))
+    twice = wide(spark).unionByName(wide(spark))
+    rows = features.history_features(twice, articles, users).collect()
+    assert len(rows) == 2 * len(features.history_features(wide(spark), articles, users).collect())
+    assert all(len(r.hist_ids) == len(r.hist_scroll) == len(r.hist_ts) for r in rows)
+
+
 def test_history_features_drop_unmapped_users(spark):
     articles = encode.article_index(spark.createDataFrame([(7,), (9,)], "article_id int"))
     users = encode.user_index(spark.createDataFrame([(2,), (5,)], "user_id bigint"))

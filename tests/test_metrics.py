@@ -165,3 +165,26 @@ def test_model_comparison_and_choice(spark):
     assert (got["a"].top_articles, got["a"].best_clicked_rank) == ("10,11", 1)
     assert (got["b"].top_articles, got["b"].best_clicked_rank, got["b"].hits) == ("11,10", 2, 1)
     assert metrics.best_model(metrics.evaluate(both, ["model"])).first().model == "a"
+
+
+def test_scores_that_are_no_numbers_rank_last_and_have_no_loss(spark):
+    rows = [(1, 0, float("nan"), 0), (1, 1, 0.5, 1), (1, 2, 0.2, 0), (2, 0, None, 1), (2, 1, 0.3, 0), (3, 0, None, 1)]
+    scored = spark.createDataFrame(rows, "impression_id int, pos int, score double, label int")
+    per = {r.impression_id: r for r in metrics.impression_metrics(scored).collect()}
+    assert per[1].auc == 1.0 and per[2].auc == 0.0 and per[1].n_scored == 2
+    assert all(r.bce_sum == r.bce_sum and r.listnet == r.listnet for r in per.values())
+    assert per[3].bce_sum == 0.0 and per[3].listnet == 0.0
+    one = scored.where("impression_id = 1")
+    assert metrics.auc_global(one).first().auc == 1.0
+    report = metrics.evaluate(scored).first()
+    want = sum(math.log1p(math.exp(s)) - s * y for s, y in ((0.5, 1), (0.2, 0), (0.3, 0)))
+    assert report.bce_loss == pytest.approx(want / (3 + metrics.EPS)) and report.loss == report.loss
+
+
+def test_batched_report(spark):
+    rows = [(k, p, float((7 * k + 3 * p) % 5), int(p == k % 3)) for k in range(12) for p in range(3)]
+    scored = spark.createDataFrame(rows, "impression_id int, pos int, score double, label int")
+    want = metrics.auc_batched(metrics.assign_batches(scored, 4)).first().auc
+    assert metrics.evaluate_batched(scored, 4).first().auc == pytest.approx(want)
+    both = scored.withColumn("model", F.lit("m"))
+    assert metrics.evaluate_batched(both, 4, ["model"]).first().auc == pytest.approx(want)

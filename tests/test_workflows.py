@@ -65,3 +65,24 @@ def test_raw_folder_to_submission(spark, tmp_path):
     workflows.submit(scored, f"{out}/submission")
     lines = {r.value.split(" ")[0]: r.value for r in spark.read.text(f"{out}/submission").collect()}
     assert set(lines) == {"10", "11"} and lines["11"] == "11 [1,2]"
+
+
+def test_a_second_run_sees_new_articles_and_parameters(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    raw_folder(spark, raw)
+    workflows.preprocess(spark, raw, out)
+    workflows.embed(spark, raw, out, dim=32)
+    more = [(90 + i, *ARTICLES[i][1:]) for i in range(2)]
+    spark.createDataFrame(more, ARTICLE_SCHEMA).write.mode("append").parquet(f"{raw}/articles.parquet")
+    workflows.preprocess(spark, raw, out)
+    arts = spark.read.parquet(f"{out}/articles_processed.parquet").collect()
+    assert sorted(r.id_encoded for r in arts) == list(range(1, 9))
+    table = workflows.embed(spark, raw, out, dim=48)
+    assert table.count() == 9 and {len(r.title_vector) for r in table.collect()} == {48}
+
+
+def test_unchanged_inputs_are_read_back(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    raw_folder(spark, raw)
+    first = workflows.article_map(spark, raw, out).inputFiles()
+    assert sorted(workflows.article_map(spark, raw, out).inputFiles()) == sorted(first)
