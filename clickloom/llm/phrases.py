@@ -18,8 +18,8 @@ import numpy as np
 
 GRAM = 16
 SPAN = 150
-SEGMENT = 1 << 20  # window starts of one text that are handled at once
-BLOCK = 1 << 20  # bytes of texts that are handled at once, about
+SEGMENT = 1 << 19  # window starts of one text that are handled at once
+BLOCK = 1 << 19  # bytes of texts that are handled at once, about
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -29,7 +29,7 @@ def key_length(length: int) -> int:
     return length - SPAN + 1
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     base = _BASES[which]
     up = np.full(size, base, np.uint64)

@@ -29,7 +29,7 @@ from clickloom.session import stage, with_row_id
 
 LENGTH = 200
 SHARED_MOST = 1000  # phrases of one context that are ordered together
-BUCKET = 20_000  # phrases in a bucket of the dictionary, about
+BUCKET = 6_000  # phrases in a bucket of the dictionary, about
 
 
 def text_rows(docs: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -97,7 +97,7 @@ def dictionary(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     A phrase of an ordinary context is one entry with its bytes. For a context that many
     phrases share every window is an entry with its rank; windows found twice in a batch
-    are settled at once (`windows` = 0) and go on as one entry.
+    are settled at once and go on as one entry; a run of n settled windows has `windows` -n.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,23 +155,32 @@ def _windows(hot: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
     lead = order[~same]
     once_left = once.copy()
     once_left[order[again]] = False
-    for index, windows in ((lead, 1), (settled, 0)):
+    settled, runs = _runs(np.sort(settled), owner, step)
+    for index, windows in ((lead, np.ones(len(lead), np.int32)), (settled, -runs)):
         n = len(index)
         yield pa.RecordBatch.from_arrays([
             pa.array(h1[index].view(np.int64)), pa.array(h2[index].view(np.int64)),
-            pa.array(row[index]), pa.array(start[index]), pa.array(np.full(n, windows, np.int32)),
+            pa.array(row[index]), pa.array(start[index]), pa.array(windows.astype(np.int32)),
             pa.array(once_left[index]), pa.nulls(n, pa.binary()),
         ], names=_NAMES)
 
 
+def _runs(index: np.ndarray, owner: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and length of the runs of neighbouring windows of one phrase."""
+    new = np.ones(len(index), bool)
+    new[1:] = (owner[index[1:]] != owner[index[:-1]]) | (step[index[1:]] != step[index[:-1]] + 1)
+    begin = np.flatnonzero(new)
+    return index[begin], np.diff(np.append(begin, len(index)))
+
+
 def _repeated(length: int):
     def run(table: pa.Table) -> pa.Table:
         """Spans of the entries' repeated windows, in one bucket of the dictionary."""
         table = table.combine_chunks()
         windows = table.column("windows").to_numpy()
         row, start = table.column("_row").to_numpy(), table.column("start").to_numpy()
-        whole = np.flatnonzero(windows == 0)
-        spans = [(row[whole], start[whole], start[whole] + length)]
+        whole = np.flatnonzero(windows < 0)
+        spans = [(row[whole], start[whole], start[whole] - windows[whole] - 1 + length)]
         parts = [b or b"" for b in table.column("body").to_pylist()]
         sizes = np.array([len(p) for p in parts])
         open_ = windows > 0
@@ -192,12 +201,9 @@ def _repeated(length: int):
         hit[order] = same[:-1] | same[1:]
         once = table.column("once").to_numpy(zero_copy_only=False)
         hit &= once[owner]
-        edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-        turn = np.flatnonzero(np.diff(owner)) + 1  # runs end with their phrase
-        begin = np.union1d(np.flatnonzero(edge == 1), turn[hit[turn] & hit[turn - 1]])
-        end = np.union1d(np.flatnonzero(edge == -1), turn[hit[turn] & hit[turn - 1]])
-        who = owner[begin]
-        spans.append((row[who], start[who] + step[begin], start[who] + step[end - 1] + length))
+        begin, runs = _runs(np.flatnonzero(hit), owner, step)
+        first = start[owner[begin]] + step[begin]
+        spans.append((row[owner[begin]], first, first + runs - 1 + length))
         return pa.table({
             name: np.concatenate([s[k] for s in spans]).astype(np.int64)
             for k, name in enumerate(("_row", "start", "end"))
