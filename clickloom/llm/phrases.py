@@ -21,6 +21,8 @@ SPAN = 150
 SEGMENT = 1 << 19  # window starts of one text that are handled at once
 BLOCK = 1 << 19  # bytes of texts that are handled at once, about
 
+PLACE_BITS = 24  # places in a block
+
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -100,9 +102,9 @@ def parse(data: np.ndarray, length: int, limits: np.ndarray) -> Phrases:
         return Phrases(none, none, none, none.view(np.uint64), none.view(np.uint64))
     first, second = Rolling(data, 0), Rolling(data, 1)
     at = np.arange(len(data) - GRAM + 1)
-    places = np.uint64(max(1, int(len(data)).bit_length()))
+    places = np.uint64(PLACE_BITS)  # the same for all blocks, so that all choose alike
     rank = (first.ranges(at, at + GRAM) >> places << places) | at.astype(np.uint64)
-    low = np.uint64((1 << int(places)) - 1)
+    low = np.uint64((1 << PLACE_BITS) - 1)
     trigger = (_least(rank, SPAN)[:n] & low).astype(np.int64)
     bounds = np.concatenate([[0], limits])
     inside = np.zeros(n + 1, np.int64)
