@@ -37,7 +37,8 @@ OWN = 4 << 10  # and at most so many of its own
 WINDOW = 64  # bytes
 STEP = 52
 LEVEL = 3
-GRAM = 6
+GRAM = 5
+RARE = 100  # and one toxic document in so many has it, at least
 ODDS = 20  # a tell-tale gram is so many times as frequent in toxic text
 _BLOCK = 4 << 20
 
@@ -130,16 +131,17 @@ def _grams(text: bytes) -> set[bytes]:
 def _tell_tale(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Passages of the toxic samples that ordinary samples do not explain.
 
-    A byte gram that is far more frequent among toxic documents than among ordinary ones
-    belongs to such a passage; the passages, without what surrounds them, are the samples
-    for the toxic dictionary's own part.
+    A byte gram within a word (with the blank before or after it) that is far more frequent
+    among toxic documents than among ordinary ones belongs to such a passage; the passages,
+    without what surrounds them, are the samples for the toxic dictionary's own part.
     """
     seen = [Counter(g for t in side for g in _grams(t)) for side in (toxic, ordinary)]
-    least = max(4, len(toxic) // 50)
+    least = max(4, len(toxic) // RARE)
     ratio = len(toxic) / max(len(ordinary), 1)
     odd = {
         g for g, n in seen[0].items()
         if n >= least and n > ODDS * ratio * (seen[1].get(g, 0) + 1)
+        and b" " not in g[1:-1] and b"\n" not in g[1:-1]
     }
     out = []
     for text in toxic:
