@@ -15,7 +15,8 @@ from clickloom.operators.encode import UNKNOWN_CATEGORY
 from clickloom.operators.joins import lookup
 from clickloom.session import cut_lineage
 
-# Fixed value: the description of the category that stands for "none given".
+# The description of the category that stands for "none given", and the
+# prefix that encoders expect before a passage.
 UNKNOWN_DESCRIPTION = "General news content with no specific category."
 PASSAGE = "passage: "
 NOT_A_WORD = "[^\\p{L}\\p{N}]+"
