@@ -226,9 +226,10 @@ def _apart(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def compared(bucket: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links (places i, j) inside buckets, and which rows still stand for their bucket.
 
-    `bucket` is sorted. Members of small buckets are all compared. In a large bucket each
-    row is compared with the leaders so far, is linked to every leader within `most` bits,
-    and becomes a leader if there is none; so a group of copies costs a comparison each.
+    `bucket` is sorted. Members of small buckets are all compared, and each is linked to the
+    nearest of those before it within `most` bits. In a large bucket each row is compared
+    with the leaders so far, is linked to the first within `most` bits, and becomes a leader
+    if there is none. So a group of copies gives at most one link per row and bucket.
     """
     n = len(bucket)
     begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if n else np.zeros(0, int)
@@ -237,14 +238,21 @@ def compared(bucket: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndar
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     small = np.repeat(size <= _SMALL, size)
     at = np.flatnonzero(small)
+    pairs = [np.zeros((0, 3), np.int64)]
     for step in range(1, _SMALL):
         at = at[at + step < n]
         at = at[bucket[at] == bucket[at + step]]
         if not len(at):
             break
-        near = at[_apart(sketch, at, at + step) <= most]
-        left.append(near)
-        right.append(near + step)
+        apart = _apart(sketch, at, at + step).astype(np.int64)
+        near = apart <= most
+        pairs.append(np.column_stack([at[near] + step, apart[near], at[near]]))
+    tied = np.concatenate(pairs)
+    tied = tied[np.lexsort(tied.T[::-1])]
+    first = np.ones(len(tied), bool)
+    first[1:] = tied[1:, 0] != tied[:-1, 0]
+    left.append(tied[first, 2])
+    right.append(tied[first, 0])
     for b, m in zip(begin[size > _SMALL], size[size > _SMALL], strict=True):
         rest = np.arange(b, b + m)
         while len(rest):
