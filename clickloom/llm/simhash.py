@@ -72,14 +72,22 @@ def _remixed(hashes: np.ndarray, lanes: int) -> np.ndarray:
         return np.ascontiguousarray(np.column_stack([hashes, h ^ (h >> np.uint64(31))]))
 
 
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The different shingle hashes of a text, in order."""
+    return np.unique(np.concatenate([*shingle_hashes(text or "", words), np.zeros(0, np.uint64)]))
+
+
 def fingerprints(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, lanes: int = 1
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, lanes: int = 1,
+    sets: bool = False,
 ) -> DataFrame:
     """`_row`, `doc_id`, `print` (64-bit numbers as signed longs) of every document.
 
     Words are split at ASCII white space and lower-cased A-Z only. A text of fewer words
-    is one shingle; a null text, or one without words, has only zeros.
+    is one shingle; a null text, or one without words, has only zeros. With `sets` there is
+    a `digest` too, 128 bits that stand for the text's shingle set.
     """
+    names = ["_row", "doc_id", "print", *(["digest"] if sets else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,15 +95,22 @@ def fingerprints(
                 part = batch.slice(at, 256)
                 prints = [fingerprint(t, words, lanes).view(np.int64) for t in part.column("t").to_pylist()]
                 offsets = np.arange(part.num_rows + 1, dtype=np.int32) * lanes
-                yield pa.RecordBatch.from_arrays([
+                columns = [
                     part.column("_row"), part.column("doc_id"),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(prints))),
-                ], names=["_row", "doc_id", "print"])
+                ]
+                if sets:
+                    columns.append(pa.array([
+                        xxhash.xxh3_128_digest(shingle_set(t, words).tobytes())
+                        for t in part.column("t").to_pylist()
+                    ], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = with_row_id(docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("t")
     ))
-    return rows.mapInArrow(run, "_row bigint, doc_id bigint, print array<bigint>")
+    schema = "_row bigint, doc_id bigint, print array<bigint>" + (", digest binary" if sets else "")
+    return rows.mapInArrow(run, schema)
 
 
 def _blocks(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +211,7 @@ def near_groups(
 
 LANES = 22
 EXTRA = 4  # plain fingerprint bits beside a block's anchor
-DOUBT = 0.05  # estimates this near to the similarity are checked
+DOUBT = 0.05  # estimates down to this much below the similarity are candidates
 _SMALL = 64  # bucket size up to which all members are compared
 _GROUP = 150_000  # rows of one comparing task, about
 
@@ -355,10 +370,7 @@ def confirmed(texts: DataFrame, pairs: DataFrame, words: int, similarity: float)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                sets = [
-                    np.unique(np.concatenate([*shingle_hashes(t or "", words), np.zeros(0, np.uint64)]))
-                    for t in part.column("t").to_pylist()
-                ]
+                sets = [shingle_set(t, words) for t in part.column("t").to_pylist()]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"),
@@ -390,30 +402,29 @@ def similar_groups(
     """`_row`, `doc_id`, `component_id`, `keep_row` by shingle similarity.
 
     Like `near_groups`, for documents whose `words`-word shingles have a Jaccard similarity
-    of `similarity` or more. Candidates are found by `LANES` fingerprints; where their
-    estimate is within `DOUBT` of the similarity, the shingles themselves decide. Texts
-    without words are one group.
+    of `similarity` or more. Candidates are found by `LANES` fingerprints, those of an
+    estimate down to `DOUBT` below the similarity; the shingle sets of every candidate pair
+    decide. Only texts of equal shingle sets are one entry unasked; equal fingerprints of
+    different sets are a candidate pair like others. Texts without words are one group.
     """
-    rows = stage(fingerprints(docs, text, id_col, words, LANES), "prints")
+    rows = stage(fingerprints(docs, text, id_col, words, LANES, sets=True), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
     different = stage(
-        rows.groupBy("print").agg(first.alias("first")).select(
-            "print", "first", F.col("first._row").alias("id")
-        ), "different",
+        rows.groupBy("digest").agg(first.alias("first"), F.min_by("print", "_row").alias("print"))
+        .select("digest", "print", "first", F.col("first._row").alias("id")), "different",
     )
-    loose, strict = (share_of_bits(similarity + d) for d in (-DOUBT, DOUBT))
+    loose = share_of_bits(similarity - DOUBT)
     pairs = stage(
         similar_pairs(different.select("id", "print"), different.count(), loose), "pairs"
     )
-    doubtful = F.col("bits") > int(strict * 64 * LANES)
-    decided = confirmed(docs.select(F.col(text).alias("t")), pairs.where(doubtful), words, similarity)
-    roots = components(pairs.where(~doubtful).select("a", "b").unionByName(decided)).withColumnRenamed("node", "id")
-    rooted = different.select("id", "first", "print").join(roots, "id", "left").withColumn(
+    decided = confirmed(docs.select(F.col(text).alias("t")), pairs, words, similarity)
+    roots = components(decided).withColumnRenamed("node", "id")
+    rooted = different.select("id", "first", "digest").join(roots, "id", "left").withColumn(
         "root", F.coalesce("root", "id")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    named = stage(lookup(rooted.select("print", "root"), least, "root").select("print", "least"), "named")
-    return lookup(rows, named, "print").select(
+    named = stage(lookup(rooted.select("digest", "root"), least, "root").select("digest", "least"), "named")
+    return lookup(rows, named, "digest").select(
         "_row", "doc_id", F.col("least.doc_id").alias("component_id"),
         F.col("least._row").alias("keep_row"),
     )

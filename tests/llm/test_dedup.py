@@ -140,6 +140,14 @@ def test_similar_documents_are_grouped_and_others_are_not(spark, tmp_path):
     assert all(got[3 * k + 2] == 3 * k + 2 for k in range(40))
 
 
+def test_a_shared_line_of_many_repeats_groups_nothing(spark, tmp_path):
+    line = " ".join(f"line{k}" for k in range(13))
+    rows = [(k, " ".join([*[line] * 30, prose(k, 404)]), "en", "a", 0) for k in range(2)]
+    rows += [(k, " ".join(["again"] * 200 + prose(k, 60).split()), "en", "a", 0) for k in (5, 6)]  # equal counted prints
+    got = simhash.similar_groups(table(spark, str(tmp_path / "d"), rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k for k in (0, 1, 5, 6)}
+
+
 def test_large_buckets_are_compared_with_leaders_only():
     rng = np.random.default_rng(0)
     center = rng.integers(0, 1 << 63, (2, 2), dtype=np.uint64)
