@@ -10,7 +10,7 @@ compared grows with the number of different fingerprints, not with the size of a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +49,18 @@ def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
 
 
 def fingerprint(text: str | None, words: int, lanes: int = 1) -> np.ndarray:
+    """The print of a text whose repeated shingles vote as often as they occur."""
+    return majority(shingle_hashes(text or "", words), lanes)
+
+
+def majority(chunks: Iterable[np.ndarray], lanes: int) -> np.ndarray:
     """`lanes` 64-bit numbers of majority bits; the first lane takes the hashes as they are.
 
     Further lanes take them remixed, as independent hashes of the same shingles.
     """
     votes = np.zeros(64 * lanes, np.int64)
     count = 0
-    for hashes in shingle_hashes(text or "", words):
+    for hashes in chunks:
         count += len(hashes)
         for at in range(0, len(hashes), 255):  # so many votes fit a byte
             octets = _remixed(hashes[at : at + 255], lanes).view(np.uint8)
@@ -84,8 +89,9 @@ def fingerprints(
     """`_row`, `doc_id`, `print` (64-bit numbers as signed longs) of every document.
 
     Words are split at ASCII white space and lower-cased A-Z only. A text of fewer words
-    is one shingle; a null text, or one without words, has only zeros. With `sets` there is
-    a `digest` too, 128 bits that stand for the text's shingle set.
+    is one shingle; a null text, or one without words, has only zeros. With `sets`
+    each different shingle of a text has one vote, and there is a `digest` too, 128 bits
+    that stand for the text's shingle set.
     """
     names = ["_row", "doc_id", "print", *(["digest"] if sets else [])]
 
@@ -93,17 +99,20 @@ def fingerprints(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                prints = [fingerprint(t, words, lanes).view(np.int64) for t in part.column("t").to_pylist()]
+                texts = part.column("t").to_pylist()
+                if sets:
+                    given = [shingle_set(t, words) for t in texts]
+                    prints = [majority([g], lanes).view(np.int64) for g in given]
+                else:
+                    prints = [fingerprint(t, words, lanes).view(np.int64) for t in texts]
                 offsets = np.arange(part.num_rows + 1, dtype=np.int32) * lanes
                 columns = [
                     part.column("_row"), part.column("doc_id"),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(prints))),
                 ]
                 if sets:
-                    columns.append(pa.array([
-                        xxhash.xxh3_128_digest(shingle_set(t, words).tobytes())
-                        for t in part.column("t").to_pylist()
-                    ], pa.binary()))
+                    digests = [xxhash.xxh3_128_digest(g.tobytes()) for g in given]
+                    columns.append(pa.array(digests, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = with_row_id(docs.select(
@@ -402,15 +411,15 @@ def similar_groups(
     """`_row`, `doc_id`, `component_id`, `keep_row` by shingle similarity.
 
     Like `near_groups`, for documents whose `words`-word shingles have a Jaccard similarity
-    of `similarity` or more. Candidates are found by `LANES` fingerprints, those of an
-    estimate down to `DOUBT` below the similarity; the shingle sets of every candidate pair
-    decide. Only texts of equal shingle sets are one entry unasked; equal fingerprints of
+    of `similarity` or more, repeats not counted. Candidates are found by `LANES`
+    fingerprints of the shingle sets, those of an estimate down to `DOUBT` below the
+    similarity; the shingle sets of every candidate pair decide. Only texts of equal shingle sets are one entry unasked; equal fingerprints of
     different sets are a candidate pair like others. Texts without words are one group.
     """
     rows = stage(fingerprints(docs, text, id_col, words, LANES, sets=True), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
     different = stage(
-        rows.groupBy("digest").agg(first.alias("first"), F.min_by("print", "_row").alias("print"))
+        rows.groupBy("digest").agg(first.alias("first"), F.first("print").alias("print"))
         .select("digest", "print", "first", F.col("first._row").alias("id")), "different",
     )
     loose = share_of_bits(similarity - DOUBT)

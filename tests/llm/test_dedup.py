@@ -148,6 +148,16 @@ def test_a_shared_line_of_many_repeats_groups_nothing(spark, tmp_path):
     assert {r["doc_id"]: r["component_id"] for r in got} == {k: k for k in (0, 1, 5, 6)}
 
 
+def test_repeats_do_not_hide_near_copies(spark, tmp_path):
+    line = " ".join(f"line{k}" for k in range(10))
+    rows = []
+    for k in range(10):
+        text = prose(k, 404)
+        rows += [(2 * k, text, "en", "a", 0), (2 * k + 1, " ".join([text, *[line] * 30]), "en", "a", 0)]
+    got = simhash.similar_groups(table(spark, str(tmp_path / "d"), rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k - k % 2 for k in range(20)}
+
+
 def test_large_buckets_are_compared_with_leaders_only():
     rng = np.random.default_rng(0)
     center = rng.integers(0, 1 << 63, (2, 2), dtype=np.uint64)
