@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.llm import anchors
@@ -247,15 +248,20 @@ def _apart(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.bitwise_count(s[i] ^ s[j]).sum(1)
 
 
-def compared(bucket: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compared(
+    bucket: np.ndarray, sketch: np.ndarray, most: int, partner: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links (places i, j) inside buckets, and which rows still stand for their bucket.
 
     `bucket` is sorted. Members of small buckets are all compared, and each is linked to the
     nearest of those before it within `most` bits. In a large bucket each row is compared
     with the leaders so far, is linked to the first within `most` bits, and becomes a leader
     if there is none. So a group of copies gives at most one link per row and bucket.
+    `partner` (all False), if given, is set for every row that has another one within `most`
+    bits in its bucket, linked or not.
     """
     n = len(bucket)
+    partner = np.zeros(n, bool) if partner is None else partner
     begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if n else np.zeros(0, int)
     size = np.diff(np.append(begin, n))
     stands = np.ones(n, bool)
@@ -272,6 +278,7 @@ def compared(bucket: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndar
         near = apart <= most
         pairs.append(np.column_stack([at[near] + step, apart[near], at[near]]))
     tied = np.concatenate(pairs)
+    partner[tied[:, 0]] = partner[tied[:, 2]] = True
     tied = tied[np.lexsort(tied.T[::-1])]
     first = np.ones(len(tied), bool)
     first[1:] = tied[1:, 0] != tied[:-1, 0]
@@ -286,90 +293,178 @@ def compared(bucket: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndar
             left.append(np.full(len(hit), leader))
             right.append(hit)
             stands[hit] = False
+            partner[hit] = True
+            partner[leader] |= len(hit) > 0
             rest = rest[~near]
+        rows = np.arange(b, b + m)
+        tied_rows = rows[~stands[b : b + m]]
+        if len(tied_rows):  # a leader that nobody follows may be near a row tied to another
+            for k in rows[~partner[b : b + m]]:
+                partner[k] = (_apart(sketch, tied_rows, np.full(len(tied_rows), k)) <= most).any()
     return np.concatenate(left), np.concatenate(right), stands
 
 
-_MEMBER = "bucket bigint, id bigint, s0 bigint, s1 bigint, other bigint"
-_MEMBER_NAMES = ["bucket", "id", "s0", "s1", "other"]
-
-
-def _members(bucket, ids, sketch, other) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array(bucket), pa.array(ids), pa.array(sketch[:, 0].view(np.int64)),
-        pa.array(sketch[:, 1].view(np.int64)), pa.array(other, mask=other < 0),
-    ], names=_MEMBER_NAMES)
-
-
-def _dealt(prints: DataFrame, most: int) -> DataFrame:
-    """Rows for the buckets of each print; rows with `other` are links found on the way.
-
-    Buckets that are large within one batch are reduced to their leaders before anything
-    is shuffled.
-    """
+def _dealt(prints: DataFrame) -> DataFrame:
+    """`bucket`, `id`, `s0`, `s1`: a row for each bucket of each print."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
                 part = batch.slice(at, 8192)
-                flat = part.column("print").flatten().to_numpy().reshape(part.num_rows, -1)
-                ids = part.column("id").to_numpy()
-                sketches = np.ascontiguousarray(flat[:, :2]).view(np.uint64)
-                for column in buckets(np.ascontiguousarray(flat)).T:
-                    order = np.argsort(column, kind="stable")
-                    b, i, s = column[order], ids[order], sketches[order]
-                    _, at_run, size = np.unique(b, return_index=True, return_counts=True)
-                    if size.max(initial=0) > _SMALL:
-                        x, y, stands = compared(b, s, most)
-                        big = np.repeat(size > _SMALL, size)
-                        told = big[x]
-                        x, y = x[told], y[told]
-                        yield _members(b[x], i[x], s[x], i[y])
-                        b, i, s = b[stands], i[stands], s[stands]
-                    yield _members(b, i, s, np.full(len(b), -1))
-
-    return prints.mapInArrow(run, _MEMBER)
-
-
-def similar_pairs(prints: DataFrame, count: int, limit: float) -> DataFrame:
-    """`a`, `b` (ids) and `bits` of prints that differ in at most `limit` of their bits.
-
-    Pairs are looked for among the members of equal buckets by the first two lanes, with
-    room for their scatter, and decided by all lanes.
+                flat = np.ascontiguousarray(
+                    part.column("print").flatten().to_numpy().reshape(part.num_rows, -1)
+                )
+                s0, s1 = (pa.array(np.ascontiguousarray(flat[:, k])) for k in (0, 1))
+                for column in buckets(flat).T:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.ascontiguousarray(column)), part.column("id"), s0, s1],
+                        names=["bucket", "id", "s0", "s1"],
+                    )
+
+    return prints.mapInArrow(run, "bucket bigint, id bigint, s0 bigint, s1 bigint")
+
+
+def bucket_mates(prints: DataFrame, count: int, limit: float) -> DataFrame:
+    """`bucket`, `a`, `b`: first links inside buckets, and with a null `b` every row that has
+    another one near it in its bucket.
+
+    Near is told by the first two lanes, with room for the scatter of prints that differ in
+    `limit` of their bits.
     """
     most = int(128 * limit + 2.5 * np.sqrt(128 * limit * (1 - limit)))
     groups = max(1, round(count * 2 * LANES / _GROUP))
 
-    def links_of(table: pa.Table) -> pa.Table:
-        other = table.column("other").to_numpy(zero_copy_only=False)
-        told = table.column("other").is_valid().to_numpy(zero_copy_only=False)
+    def mates(table: pa.Table) -> pa.Table:
         bucket, ids = table.column("bucket").to_numpy(), table.column("id").to_numpy()
-        sketch = np.column_stack([table.column(c).to_numpy() for c in ("s0", "s1")]).view(np.uint64)
-        open_ = np.flatnonzero(~told)
-        order = open_[np.lexsort((ids[open_], bucket[open_]))]
-        x, y, _ = compared(bucket[order], sketch[order], most)
-        a = np.concatenate([ids[order][x], ids[told]])
-        b = np.concatenate([ids[order][y], other[told].astype(np.int64)])
-        pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+        order = np.lexsort((ids, bucket))
+        bucket, ids = bucket[order], ids[order]
+        sketch = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
+        partner = np.zeros(len(ids), bool)
+        x, y, _ = compared(bucket, sketch, most, partner)
+        near = np.flatnonzero(partner)
+        return pa.table({
+            "bucket": np.concatenate([bucket[x], bucket[near]]),
+            "a": np.concatenate([ids[x], ids[near]]),
+            "b": pa.array(np.concatenate([ids[y], ids[near]]), mask=np.arange(len(x) + len(near)) >= len(x)),
+        })
 
-    found = (
-        _dealt(prints, most)
-        .withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
-        .groupBy("g").applyInArrow(links_of, "a bigint, b bigint")
-        .where("a <> b").distinct()
+    return (
+        _dealt(prints).withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
+        .groupBy("g").applyInArrow(mates, "bucket bigint, a bigint, b bigint")
     )
+
+
+def first_pairs(prints: DataFrame, mates: DataFrame, most: int) -> DataFrame:
+    """`a`, `b` of the first links within `most` bits by all lanes: for each row the nearest."""
     bits = F.lit(0)
     for lane in range(1, LANES + 1):
         bits = bits + F.bit_count(
             F.element_at("pa", lane).bitwiseXOR(F.element_at("pb", lane))
         )
+    found = mates.where(F.col("b").isNotNull()).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
     left = prints.select(F.col("id").alias("a"), F.col("print").alias("pa"))
     right = prints.select(F.col("id").alias("b"), F.col("print").alias("pb"))
-    return (
-        lookup(lookup(found, left, "a", "inner"), right, "b", "inner")
-        .select("a", "b", bits.alias("bits")).where(F.col("bits") <= int(limit * 64 * LANES))
+    measured = lookup(lookup(found, left, "a", "inner"), right, "b", "inner").select("a", "b", bits.alias("bits"))
+    nearest = measured.where(F.col("bits") <= most).groupBy("b").agg(F.min(F.struct("bits", "a")).alias("n"))
+    return nearest.select("n.a", "b")
+
+
+def across(
+    bucket: np.ndarray, ids: np.ndarray, root: np.ndarray, prints: np.ndarray, most: int, cap: int
+) -> tuple[np.ndarray, ...]:
+    """Pairs (`a`, `b`, `bits`, `ra`, `rb`) of different roots inside buckets within `most`
+    bits, and whether there are others (`cut`): the `cap` nearest of two roots and a bucket.
+
+    `bucket` is sorted. All rows of different roots are compared.
+    """
+    out = [np.zeros((0, 6), np.int64)]
+    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+    for b, e in zip(begin, [*begin[1:], len(bucket)], strict=True):
+        i, r, p = ids[b:e], root[b:e], prints[b:e]
+        names, counts = np.unique(r, return_counts=True)
+        if len(names) < 2:
+            continue
+        minor = r != names[counts.argmax()]  # any two of different roots have one of these
+        found = [np.zeros((0, 5), np.int64)]
+        for k in np.flatnonzero(minor):
+            other = (r != r[k]) & (~minor | (i > i[k]))
+            apart = np.bitwise_count(p[k] ^ p[other]).sum(1).astype(np.int64)
+            near = apart <= most
+            j, s = i[other][near], r[other][near]
+            found.append(np.column_stack([
+                np.minimum(i[k], j), np.maximum(i[k], j), apart[near], np.minimum(r[k], s), np.maximum(r[k], s),
+            ]))
+        pairs = np.concatenate(found)
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2], pairs[:, 4], pairs[:, 3]))]
+        start = np.ones(len(pairs), bool)
+        start[1:] = (pairs[1:, 3:] != pairs[:-1, 3:]).any(1)
+        at = np.flatnonzero(start)
+        size = np.diff(np.append(at, len(pairs)))
+        place = np.arange(len(pairs)) - np.repeat(at, size)
+        kept = place < cap
+        out.append(np.column_stack([pairs, np.repeat(size > cap, size)])[kept])
+    return tuple(np.concatenate(out).T)
+
+
+def open_pairs(members: DataFrame, prints: DataFrame, roots: DataFrame, most: int, cap: int, groups: int) -> DataFrame:
+    """`across` for all buckets in which `members` (`bucket`, `id`) have several roots."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("bucket", "ascending"), ("id", "ascending")])
+        flat = table.column("print").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).view(np.uint64)
+        a, b, bits, ra, rb, cut = across(*(table.column(c).to_numpy() for c in ("bucket", "id", "root")), flat, most, cap)
+        return pa.table({"a": a, "b": b, "bits": bits, "ra": ra, "rb": rb, "cut": cut.astype(bool)})
+
+    rooted = stage(
+        lookup(members, roots.withColumnRenamed("node", "id"), "id")
+        .select("bucket", "id", F.coalesce("root", "id").alias("root")), "rooted",
+    )
+    several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    asked = lookup(rooted, several.select("bucket", F.lit(True).alias("_several")), "bucket", "inner")
+    full = lookup(asked.select("bucket", "id", "root"), prints, "id", "inner")
+    found = (
+        full.select("bucket", "id", "root", "print").withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
+        .groupBy("g").applyInArrow(run, "a bigint, b bigint, bits bigint, ra bigint, rb bigint, cut boolean")
     )
+    once = found.groupBy("ra", "rb", "a", "b", "bits").agg(F.max("cut").alias("cut"))
+    place = F.row_number().over(W.partitionBy("ra", "rb").orderBy("bits", "a", "b"))
+    return once.withColumn("place", place)
+
+
+def similar_roots(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """`node`, `root` of the components of all candidate pairs whose shingle sets agree.
+
+    Candidates share a bucket (`bucket_mates`) and are near by all lanes. A pair is left
+    unasked only if verified links join its rows already. The first round asks one pair per
+    row. Each further round compares all rows of a bucket that are not joined yet, and asks
+    for the `cap` nearest pairs of two roots; `cap` grows until no pair was left out.
+    """
+    limit = share_of_bits(similarity - DOUBT)
+    most = int(limit * 64 * LANES)
+    mates = stage(bucket_mates(prints, prints.count(), limit), "mates")
+    members = mates.where(F.col("b").isNull()).select("bucket", F.col("a").alias("id"))
+    groups = max(1, round(members.count() / _GROUP * 8))
+    asked = stage(first_pairs(prints, mates, most), "asked")
+    links = stage(confirmed(texts, asked, words, similarity), "confirmed")
+    cap, more = 4, True
+    while True:
+        roots = stage(components(links), "roots")
+        if not more:
+            return roots
+        ranked = stage(open_pairs(members, prints, roots, most, cap, groups), "open")
+        more = not ranked.where(F.col("cut") | (F.col("place") > cap)).isEmpty()
+        fresh_pairs = stage(
+            ranked.where(F.col("place") <= cap).select("a", "b").join(asked, ["a", "b"], "left_anti"), "asked"
+        )
+        cap *= 8
+        if fresh_pairs.isEmpty():
+            if not more:
+                return roots
+            continue
+        asked = asked.unionByName(fresh_pairs)
+        links = links.unionByName(stage(confirmed(texts, fresh_pairs, words, similarity), "confirmed"))
 
 
 def confirmed(texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -422,12 +517,9 @@ def similar_groups(
         rows.groupBy("digest").agg(first.alias("first"), F.first("print").alias("print"))
         .select("digest", "print", "first", F.col("first._row").alias("id")), "different",
     )
-    loose = share_of_bits(similarity - DOUBT)
-    pairs = stage(
-        similar_pairs(different.select("id", "print"), different.count(), loose), "pairs"
-    )
-    decided = confirmed(docs.select(F.col(text).alias("t")), pairs, words, similarity)
-    roots = components(decided).withColumnRenamed("node", "id")
+    roots = similar_roots(
+        different.select("id", "print"), docs.select(F.col(text).alias("t")), words, similarity
+    ).withColumnRenamed("node", "id")
     rooted = different.select("id", "first", "digest").join(roots, "id", "left").withColumn(
         "root", F.coalesce("root", "id")
     )
