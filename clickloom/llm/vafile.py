@@ -23,22 +23,30 @@ from pyspark.sql import functions as F
 from clickloom.session import stage
 
 SCALE = 256
-CELL = 8  # width of a cell, in whole units of the vectors
+CELL = 8  # width of a cell, in whole units of the vectors; a power of two
 QUERY_BLOCK = 4096  # queries that one pass over the cells answers
 _CHUNK = 2048  # rows whose bounds are held at once
 
 
 def whole_numbers(vector: Column) -> Column:
-    """floor(SCALE * x) of each component, as DOUBLE arithmetic gives it."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
+    """floor(SCALE * x) of each component, as DOUBLE arithmetic gives it.
+
+    A component that no BIGINT holds is an error, as in SQL.
+    """
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * SCALE
+        fits = (scaled >= F.lit(-(2.0**63))) & (scaled < F.lit(2.0**63))
+        return F.when(fits, F.floor(scaled)).otherwise(F.raise_error(F.lit("component out of range")).cast("bigint"))
+
+    return F.transform(vector, whole)
 
 
 def usable(vector: Column) -> Column:
     """True for a non-empty vector of finite components."""
-    limit = float(2**31 // SCALE)
     return F.coalesce(
         (F.size(vector) > 0)
-        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit)),
+        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))),
         F.lit(False),
     )
 
@@ -53,7 +61,7 @@ def entries(vectors: DataFrame, k: int) -> DataFrame:
     grouped = first.groupBy("exact").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     return grouped.select(
         F.monotonically_increasing_id().alias("_entry"), F.size("exact").alias("dim"), "exact",
-        F.transform("exact", lambda x: F.floor(x / CELL).cast("smallint")).alias("cells"), "ids",
+        F.transform("exact", lambda x: F.shiftright(x, CELL.bit_length() - 1)).alias("cells"), "ids",
     )
 
 
@@ -83,12 +91,18 @@ class QueryBlock:
     def bounds(self, dim: int, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bounds (rows x queries) of the inner products.
 
-        A component in cell c lies in [CELL c, CELL c + CELL - 1]; sums of whole and half
-        numbers of this size are exact in double precision.
+        A component in cell c lies in [CELL c, CELL c + CELL - 1]. Sums of whole and half
+        numbers are exact in double precision up to 2^52; beyond, the bounds are widened by
+        more than what rounding can do.
         """
         queries = self.sides[dim][1]
-        middle = (cells * CELL + (CELL - 1) / 2) @ queries.T
+        centers = cells * CELL + (CELL - 1) / 2
+        middle = centers @ queries.T
         spread = np.abs(queries).sum(1) * ((CELL - 1) / 2)
+        largest = np.abs(centers).max(initial=0) * np.abs(queries).max(initial=0)
+        if dim * largest + spread.max(initial=0) >= 2.0**51:
+            reach = np.abs(centers) @ np.abs(queries).T + spread
+            spread = spread + reach * ((dim + 8) * 2.0**-51)
         return middle - spread, middle + spread
 
 
@@ -146,6 +160,14 @@ def near(cells: DataFrame, block: QueryBlock, floor: dict[int, float]) -> DataFr
     return cells.mapInArrow(run, "query_id bigint, _entry bigint, upper double")
 
 
+def products(rows: np.ndarray, query: np.ndarray) -> list[int]:
+    """Inner products of whole numbers, by Python's integers where 64 bits may not do."""
+    reach = np.abs(rows.astype(np.float64)) @ np.abs(query.astype(np.float64))
+    if reach.max(initial=0) < 2.0**62:
+        return (rows @ query).tolist()
+    return (rows.astype(object) @ query.astype(object)).tolist()
+
+
 def _refine(k: int):
     """Read candidates in the order of their upper bounds until the k-th is certain."""
 
@@ -160,8 +182,8 @@ def _refine(k: int):
             if kth is not None and -kth > upper[order[lo]]:
                 break
             part = table.take(pa.array(order[lo : lo + 64]))
-            scores = _rows(part.column("exact").combine_chunks(), np.int64) @ mine
-            for score, ids in zip(scores.tolist(), part.column("ids").to_pylist(), strict=True):
+            scores = products(_rows(part.column("exact").combine_chunks(), np.int64), mine)
+            for score, ids in zip(scores, part.column("ids").to_pylist(), strict=True):
                 found += [(-score, i) for i in ids if i != query]
             found = sorted(found)[:k]
         return pa.table({
@@ -182,7 +204,8 @@ def top_k(
     Both tables have `vec_id` and `exact` (whole numbers); a query's own id is no result.
     Ties go to the smaller id. A query meets the rows of its own dimension; it gets all of
     them where they are fewer than k. Repeated rows of one id and vector count once. Rows
-    without id take no part. Empty tables give an empty result.
+    without id take no part. Empty tables give an empty result. A result whose score no
+    BIGINT holds is an error.
     """
     spark = vectors.sparkSession
     given = vectors.where(F.col("vec_id").isNotNull()).select("vec_id", "exact").distinct()

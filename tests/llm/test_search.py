@@ -47,3 +47,22 @@ def test_fewer_rows_than_results_and_none(spark):
     rows = [(0, [1.0, 2.0], 0), (1, [0.5, 0.5], 0)]
     assert run(spark, rows) == [(0, 1, 1, 256 * 128 + 512 * 128)]
     assert run(spark, [(1, None, 0)]) == []
+
+
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, (rng.normal(0, 0.3, 8) + np.eye(8)[k % 8] * (0, 2000, -2000, 1e7)[k % 4]).tolist(), 0) for k in range(120)]
+    rows += [(200 + k, [1.1e7 + 2 * k, 0.25], 0) for k in range(9)]
+    assert run(spark, rows, every=3, k=9) == brute(rows, every=3, k=9)
+
+
+def test_bounds_hold_where_doubles_round():
+    rng = np.random.default_rng(6)
+    exact = rng.integers(-(2**58), 2**58, (200, 4))
+    asked = rng.integers(-(2**58), 2**58, (5, 4))
+    block = vafile.QueryBlock([{"query_id": n, "exact": e.tolist()} for n, e in enumerate(asked)])
+    low, high = block.bounds(4, (exact >> 3).astype(np.float64))
+    for n, query in enumerate(asked):
+        scores = vafile.products(exact, query)
+        assert scores == [sum(a * b for a, b in zip(e, query.tolist(), strict=True)) for e in exact.tolist()]
+        assert all(int(lo) <= s <= int(hi) for lo, s, hi in zip(low[:, n], scores, high[:, n], strict=True))
