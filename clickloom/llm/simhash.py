@@ -217,6 +217,23 @@ def near_groups(
     )
 
 
+def drop_near_groups(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS,
+    threshold: int = THRESHOLD,
+) -> DataFrame:
+    """One row of each group of `near_groups`, that of its smallest id, with all columns of
+    `docs` (extra columns may have any names), which must be a table read from files.
+
+    Texts without words (null ones too) are one group; rows without id stay only where no
+    row of their group has an id; of repeated rows one stays. An empty table stays empty.
+    """
+    row = fresh(docs, "_row")
+    kept = near_groups(docs, text, id_col, words, threshold).where(
+        F.col("_row") == F.col("keep_row")
+    ).select(F.col("_row").alias(row))
+    return with_row_id(docs, row).join(kept.hint("shuffle_hash"), row, "left_semi").drop(row)
+
+
 # ---- similarity thresholds too wide for one 64-bit fingerprint --------------------------
 
 LANES = 22
