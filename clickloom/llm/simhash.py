@@ -10,13 +10,12 @@ compared grows with the number of different fingerprints, not with the size of a
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.llm import anchors
@@ -30,7 +29,6 @@ THRESHOLD = 2
 SEED = 42
 _CHUNK = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_MIX = 0x9E3779B97F4A7C15
 
 
 def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
@@ -49,33 +47,16 @@ def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
         yield np.fromiter((digest(joined[a:b], SEED) for a, b in chunk), np.uint64, len(chunk))
 
 
-def fingerprint(text: str | None, words: int, lanes: int = 1) -> np.ndarray:
-    """The print of a text whose repeated shingles vote as often as they occur."""
-    return majority(shingle_hashes(text or "", words), lanes)
-
-
-def majority(chunks: Iterable[np.ndarray], lanes: int) -> np.ndarray:
-    """`lanes` 64-bit numbers of majority bits; the first lane takes the hashes as they are.
-
-    Further lanes take them remixed, as independent hashes of the same shingles.
-    """
-    votes = np.zeros(64 * lanes, np.int64)
+def fingerprint(text: str | None, words: int) -> int:
+    """The majority bits of a text's shingle hashes, as a signed long; repeats vote each time."""
+    votes = np.zeros(64, np.int64)
     count = 0
-    for hashes in chunks:
+    for hashes in shingle_hashes(text or "", words):
         count += len(hashes)
         for at in range(0, len(hashes), 255):  # so many votes fit a byte
-            octets = _remixed(hashes[at : at + 255], lanes).view(np.uint8)
-            bits = np.unpackbits(octets, axis=1, bitorder="little")
+            bits = np.unpackbits(hashes[at : at + 255, None].view(np.uint8), axis=1, bitorder="little")
             votes += np.add.reduce(bits, axis=0, dtype=np.uint8)
-    return np.packbits(2 * votes > count, bitorder="little").view(np.uint64)
-
-
-def _remixed(hashes: np.ndarray, lanes: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        h = hashes[:, None] + np.arange(1, lanes, dtype=np.uint64) * np.uint64(_MIX)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return np.ascontiguousarray(np.column_stack([hashes, h ^ (h >> np.uint64(31))]))
+    return int(np.packbits(2 * votes > count, bitorder="little").view(np.int64)[0])
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -84,43 +65,28 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def fingerprints(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, lanes: int = 1,
-    sets: bool = False,
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS
 ) -> DataFrame:
-    """`_row`, `doc_id`, `print` (64-bit numbers as signed longs) of every document.
+    """`_row`, `doc_id`, `p` (64 bits as a signed long) of every document.
 
     Words are split at ASCII white space and lower-cased A-Z only. A text of fewer words
-    is one shingle; a null text, or one without words, has only zeros. With `sets`
-    each different shingle of a text has one vote, and there is a `digest` too, 128 bits
-    that stand for the text's shingle set.
+    is one shingle; a null text, or one without words, has only zeros.
     """
-    names = ["_row", "doc_id", "print", *(["digest"] if sets else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column("t").to_pylist()
-                if sets:
-                    given = [shingle_set(t, words) for t in texts]
-                    prints = [majority([g], lanes).view(np.int64) for g in given]
-                else:
-                    prints = [fingerprint(t, words, lanes).view(np.int64) for t in texts]
-                offsets = np.arange(part.num_rows + 1, dtype=np.int32) * lanes
-                columns = [
-                    part.column("_row"), part.column("doc_id"),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(prints))),
-                ]
-                if sets:
-                    digests = [xxhash.xxh3_128_digest(g.tobytes()) for g in given]
-                    columns.append(pa.array(digests, pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                prints = [fingerprint(t, words) for t in part.column("t").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_row"), part.column("doc_id"), pa.array(prints, pa.int64())],
+                    names=["_row", "doc_id", "p"],
+                )
 
     rows = with_row_id(docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("t")
     ))
-    schema = "_row bigint, doc_id bigint, print array<bigint>" + (", digest binary" if sets else "")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, "_row bigint, doc_id bigint, p bigint")
 
 
 def _blocks(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,13 +162,10 @@ def near_groups(
     Documents link at `threshold` or fewer differing bits (equal fingerprints always);
     a component's id is its smallest doc_id (null only if none has one), and `keep_row` is
     one row of it, that of the smallest doc_id. Texts without words link like any other.
-    Repeated rows are members of their own. An empty table gives an empty result.
+    Repeated rows are members of their own; extra columns are not read, whatever their
+    names. An empty table gives an empty result.
     """
-    rows = stage(
-        fingerprints(docs, text, id_col, words).select(
-            "_row", "doc_id", F.element_at("print", 1).alias("p")
-        ), "prints",
-    )
+    rows = stage(fingerprints(docs, text, id_col, words), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
     different = stage(rows.groupBy("p").agg(first.alias("first")), "different")
     roots = components(links(different.select("p"), threshold))
@@ -232,330 +195,3 @@ def drop_near_groups(
         F.col("_row") == F.col("keep_row")
     ).select(F.col("_row").alias(row))
     return with_row_id(docs, row).join(kept.hint("shuffle_hash"), row, "left_semi").drop(row)
-
-
-# ---- similarity thresholds too wide for one 64-bit fingerprint --------------------------
-
-LANES = 22
-EXTRA = 4  # plain fingerprint bits beside a block's anchor
-DOUBT = 0.05  # estimates down to this much below the similarity are candidates
-_SMALL = 64  # bucket size up to which all members are compared
-_GROUP = 150_000  # rows of one comparing task, about
-
-
-def share_of_bits(similarity: float) -> float:
-    """Expected share of differing bits of two equally long texts of that shingle Jaccard."""
-    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-
-
-def buckets(prints: np.ndarray) -> np.ndarray:
-    """(texts, 2 * lanes) buckets: per half lane the block's anchor and some plain bits."""
-    out = []
-    for lane in range(prints.shape[1]):
-        p = prints[:, lane].view(np.uint64)
-        for half in range(2):
-            part = (p >> np.uint64(32 * half) & np.uint64((1 << 27) - 1)).astype(np.int64)
-            anchor = anchors.anchor(part & ((1 << anchors.BITS) - 1)).astype(np.int64)
-            table = 2 * lane + half
-            out.append(table << 32 | anchor << EXTRA | part >> anchors.BITS)
-    return np.stack(out, axis=1)
-
-
-def _apart(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(s[i] ^ s[j]).sum(1)
-
-
-def compared(
-    bucket: np.ndarray, sketch: np.ndarray, most: int, partner: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links (places i, j) inside buckets, and which rows still stand for their bucket.
-
-    `bucket` is sorted. Members of small buckets are all compared, and each is linked to the
-    nearest of those before it within `most` bits. In a large bucket each row is compared
-    with the leaders so far, is linked to the first within `most` bits, and becomes a leader
-    if there is none. So a group of copies gives at most one link per row and bucket.
-    `partner` (all False), if given, is set for every row that has another one within `most`
-    bits in its bucket, linked or not.
-    """
-    n = len(bucket)
-    partner = np.zeros(n, bool) if partner is None else partner
-    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if n else np.zeros(0, int)
-    size = np.diff(np.append(begin, n))
-    stands = np.ones(n, bool)
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    small = np.repeat(size <= _SMALL, size)
-    at = np.flatnonzero(small)
-    pairs = [np.zeros((0, 3), np.int64)]
-    for step in range(1, _SMALL):
-        at = at[at + step < n]
-        at = at[bucket[at] == bucket[at + step]]
-        if not len(at):
-            break
-        apart = _apart(sketch, at, at + step).astype(np.int64)
-        near = apart <= most
-        pairs.append(np.column_stack([at[near] + step, apart[near], at[near]]))
-    tied = np.concatenate(pairs)
-    partner[tied[:, 0]] = partner[tied[:, 2]] = True
-    tied = tied[np.lexsort(tied.T[::-1])]
-    first = np.ones(len(tied), bool)
-    first[1:] = tied[1:, 0] != tied[:-1, 0]
-    left.append(tied[first, 2])
-    right.append(tied[first, 0])
-    for b, m in zip(begin[size > _SMALL], size[size > _SMALL], strict=True):
-        rest = np.arange(b, b + m)
-        while len(rest):
-            leader, rest = rest[0], rest[1:]
-            near = _apart(sketch, rest, np.full(len(rest), leader)) <= most
-            hit = rest[near]
-            left.append(np.full(len(hit), leader))
-            right.append(hit)
-            stands[hit] = False
-            partner[hit] = True
-            partner[leader] |= len(hit) > 0
-            rest = rest[~near]
-        rows = np.arange(b, b + m)
-        tied_rows = rows[~stands[b : b + m]]
-        if len(tied_rows):  # a leader that nobody follows may be near a row tied to another
-            for k in rows[~partner[b : b + m]]:
-                partner[k] = (_apart(sketch, tied_rows, np.full(len(tied_rows), k)) <= most).any()
-    return np.concatenate(left), np.concatenate(right), stands
-
-
-def _dealt(prints: DataFrame) -> DataFrame:
-    """`bucket`, `id`, `s0`, `s1`: a row for each bucket of each print."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 8192):
-                part = batch.slice(at, 8192)
-                flat = np.ascontiguousarray(
-                    part.column("print").flatten().to_numpy().reshape(part.num_rows, -1)
-                )
-                s0, s1 = (pa.array(np.ascontiguousarray(flat[:, k])) for k in (0, 1))
-                for column in buckets(flat).T:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.ascontiguousarray(column)), part.column("id"), s0, s1],
-                        names=["bucket", "id", "s0", "s1"],
-                    )
-
-    return prints.mapInArrow(run, "bucket bigint, id bigint, s0 bigint, s1 bigint")
-
-
-def bucket_mates(prints: DataFrame, count: int, limit: float) -> DataFrame:
-    """`bucket`, `a`, `b`: first links inside buckets, and with a null `b` every row that has
-    another one near it in its bucket.
-
-    Near is told by the first two lanes, with room for the scatter of prints that differ in
-    `limit` of their bits.
-    """
-    most = int(128 * limit + 2.5 * np.sqrt(128 * limit * (1 - limit)))
-    groups = max(1, round(count * 2 * LANES / _GROUP))
-
-    def mates(table: pa.Table) -> pa.Table:
-        bucket, ids = table.column("bucket").to_numpy(), table.column("id").to_numpy()
-        order = np.lexsort((ids, bucket))
-        bucket, ids = bucket[order], ids[order]
-        sketch = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
-        partner = np.zeros(len(ids), bool)
-        x, y, _ = compared(bucket, sketch, most, partner)
-        near = np.flatnonzero(partner)
-        return pa.table({
-            "bucket": np.concatenate([bucket[x], bucket[near]]),
-            "a": np.concatenate([ids[x], ids[near]]),
-            "b": pa.array(np.concatenate([ids[y], ids[near]]), mask=np.arange(len(x) + len(near)) >= len(x)),
-        })
-
-    return (
-        _dealt(prints).withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
-        .groupBy("g").applyInArrow(mates, "bucket bigint, a bigint, b bigint")
-    )
-
-
-def first_pairs(prints: DataFrame, mates: DataFrame, most: int) -> DataFrame:
-    """`a`, `b` of the first links within `most` bits by all lanes: for each row the nearest."""
-    bits = F.lit(0)
-    for lane in range(1, LANES + 1):
-        bits = bits + F.bit_count(
-            F.element_at("pa", lane).bitwiseXOR(F.element_at("pb", lane))
-        )
-    found = mates.where(F.col("b").isNotNull()).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
-    left = prints.select(F.col("id").alias("a"), F.col("print").alias("pa"))
-    right = prints.select(F.col("id").alias("b"), F.col("print").alias("pb"))
-    measured = lookup(lookup(found, left, "a", "inner"), right, "b", "inner").select("a", "b", bits.alias("bits"))
-    nearest = measured.where(F.col("bits") <= most).groupBy("b").agg(F.min(F.struct("bits", "a")).alias("n"))
-    return nearest.select("n.a", "b")
-
-
-def across(
-    bucket: np.ndarray, ids: np.ndarray, root: np.ndarray, prints: np.ndarray, most: int, cap: int
-) -> tuple[np.ndarray, ...]:
-    """Pairs (`a`, `b`, `bits`, `ra`, `rb`) of different roots inside buckets within `most`
-    bits, and whether there are others (`cut`): the `cap` nearest of two roots and a bucket.
-
-    `bucket` is sorted. All rows of different roots are compared.
-    """
-    out = [np.zeros((0, 6), np.int64)]
-    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-    for b, e in zip(begin, [*begin[1:], len(bucket)], strict=True):
-        i, r, p = ids[b:e], root[b:e], prints[b:e]
-        names, counts = np.unique(r, return_counts=True)
-        if len(names) < 2:
-            continue
-        minor = r != names[counts.argmax()]  # any two of different roots have one of these
-        found = [np.zeros((0, 5), np.int64)]
-        for k in np.flatnonzero(minor):
-            other = (r != r[k]) & (~minor | (i > i[k]))
-            apart = np.bitwise_count(p[k] ^ p[other]).sum(1).astype(np.int64)
-            near = apart <= most
-            j, s = i[other][near], r[other][near]
-            found.append(np.column_stack([
-                np.minimum(i[k], j), np.maximum(i[k], j), apart[near], np.minimum(r[k], s), np.maximum(r[k], s),
-            ]))
-        pairs = np.concatenate(found)
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2], pairs[:, 4], pairs[:, 3]))]
-        start = np.ones(len(pairs), bool)
-        start[1:] = (pairs[1:, 3:] != pairs[:-1, 3:]).any(1)
-        at = np.flatnonzero(start)
-        size = np.diff(np.append(at, len(pairs)))
-        place = np.arange(len(pairs)) - np.repeat(at, size)
-        kept = place < cap
-        out.append(np.column_stack([pairs, np.repeat(size > cap, size)])[kept])
-    return tuple(np.concatenate(out).T)
-
-
-def open_pairs(members: DataFrame, prints: DataFrame, roots: DataFrame, most: int, cap: int, groups: int) -> DataFrame:
-    """`across` for all buckets in which `members` (`bucket`, `id`) have several roots."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("bucket", "ascending"), ("id", "ascending")])
-        flat = table.column("print").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).view(np.uint64)
-        a, b, bits, ra, rb, cut = across(*(table.column(c).to_numpy() for c in ("bucket", "id", "root")), flat, most, cap)
-        return pa.table({"a": a, "b": b, "bits": bits, "ra": ra, "rb": rb, "cut": cut.astype(bool)})
-
-    rooted = stage(
-        lookup(members, roots.withColumnRenamed("node", "id"), "id")
-        .select("bucket", "id", F.coalesce("root", "id").alias("root")), "rooted",
-    )
-    several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    asked = lookup(rooted, several.select("bucket", F.lit(True).alias("_several")), "bucket", "inner")
-    full = lookup(asked.select("bucket", "id", "root"), prints, "id", "inner")
-    found = (
-        full.select("bucket", "id", "root", "print").withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
-        .groupBy("g").applyInArrow(run, "a bigint, b bigint, bits bigint, ra bigint, rb bigint, cut boolean")
-    )
-    once = found.groupBy("ra", "rb", "a", "b", "bits").agg(F.max("cut").alias("cut"))
-    place = F.row_number().over(W.partitionBy("ra", "rb").orderBy("bits", "a", "b"))
-    return once.withColumn("place", place)
-
-
-def similar_roots(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """`node`, `root` of the components of all candidate pairs whose shingle sets agree.
-
-    Candidates share a bucket (`bucket_mates`) and are near by all lanes. A pair is left
-    unasked only if verified links join its rows already. The first round asks one pair per
-    row. Each further round compares all rows of a bucket that are not joined yet, and asks
-    for the `cap` nearest pairs of two roots; `cap` grows until no pair was left out.
-    """
-    limit = share_of_bits(similarity - DOUBT)
-    most = int(limit * 64 * LANES)
-    mates = stage(bucket_mates(prints, prints.count(), limit), "mates")
-    members = mates.where(F.col("b").isNull()).select("bucket", F.col("a").alias("id"))
-    groups = max(1, round(members.count() / _GROUP * 8))
-    asked = stage(first_pairs(prints, mates, most), "asked")
-    links = stage(confirmed(texts, asked, words, similarity), "confirmed")
-    cap, more = 4, True
-    while True:
-        roots = stage(components(links), "roots")
-        if not more:
-            return roots
-        ranked = stage(open_pairs(members, prints, roots, most, cap, groups), "open")
-        more = not ranked.where(F.col("cut") | (F.col("place") > cap)).isEmpty()
-        fresh_pairs = stage(
-            ranked.where(F.col("place") <= cap).select("a", "b").join(asked, ["a", "b"], "left_anti"), "asked"
-        )
-        cap *= 8
-        if fresh_pairs.isEmpty():
-            if not more:
-                return roots
-            continue
-        asked = asked.unionByName(fresh_pairs)
-        links = links.unionByName(stage(confirmed(texts, fresh_pairs, words, similarity), "confirmed"))
-
-
-def confirmed(texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The `pairs` (`a`, `b`: row numbers of `texts`) of at least that Jaccard similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                sets = [shingle_set(t, words) for t in part.column("t").to_pylist()]
-                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("id"),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64))),
-                ], names=["id", "shingles"])
-
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    known = stage(
-        with_row_id(texts.select(F.col("t").cast("string")), "id")
-        .join(asked.hint("shuffle_hash"), "id", "left_semi")
-        .select("id", "t").mapInArrow(run, "id bigint, shingles array<bigint>"),
-        "shingles",
-    )
-    left, right = (
-        known.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}")) for side in "ab"
-    )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return (
-        lookup(lookup(pairs.select("a", "b"), left, "a", "inner"), right, "b", "inner")
-        .where(shared >= similarity * (F.size("sa") + F.size("sb") - shared))
-        .select("a", "b")
-    )
-
-
-def similar_groups(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 5,
-    similarity: float = 0.8,
-) -> DataFrame:
-    """`_row`, `doc_id`, `component_id`, `keep_row` by shingle similarity.
-
-    Like `near_groups`, for documents whose `words`-word shingles have a Jaccard similarity
-    of `similarity` or more, repeats not counted. Candidates are found by `LANES`
-    fingerprints of the shingle sets, those of an estimate down to `DOUBT` below the
-    similarity; the shingle sets of every candidate pair decide. Only texts of equal shingle sets are one entry unasked; equal fingerprints of
-    different sets are a candidate pair like others. Texts without words are one group.
-    """
-    rows = stage(fingerprints(docs, text, id_col, words, LANES, sets=True), "prints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
-    different = stage(
-        rows.groupBy("digest").agg(first.alias("first"), F.first("print").alias("print"))
-        .select("digest", "print", "first", F.col("first._row").alias("id")), "different",
-    )
-    roots = similar_roots(
-        different.select("id", "print"), docs.select(F.col(text).alias("t")), words, similarity
-    ).withColumnRenamed("node", "id")
-    rooted = different.select("id", "first", "digest").join(roots, "id", "left").withColumn(
-        "root", F.coalesce("root", "id")
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    named = stage(lookup(rooted.select("digest", "root"), least, "root").select("digest", "least"), "named")
-    return lookup(rows, named, "digest").select(
-        "_row", "doc_id", F.col("least.doc_id").alias("component_id"),
-        F.col("least._row").alias("keep_row"),
-    )
-
-
-def drop_near_duplicates(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 5,
-    similarity: float = 0.8,
-) -> DataFrame:
-    """One row of each group of `similar_groups`, with all columns of `docs`, which must be
-    a table read from files."""
-    row = fresh(docs, "_row")
-    kept = similar_groups(docs, text, id_col, words, similarity).where(
-        F.col("_row") == F.col("keep_row")
-    ).select(F.col("_row").alias(row))
-    return with_row_id(docs, row).join(kept.hint("shuffle_hash"), row, "left_semi").drop(row)

@@ -121,97 +121,10 @@ def test_near_groups_on_awkward_rows(spark, tmp_path):
     assert {r["component_id"] for r in got if r["doc_id"] in (2, 3, 6)} == {2}
     assert [r["component_id"] for r in got if r["doc_id"] is None] == [None]
     assert simhash.near_groups(docs.limit(0)).count() == 0
-    left = simhash.drop_near_duplicates(docs)
+    left = simhash.drop_near_groups(docs)
     assert left.columns == docs.columns and left.count() == 5
 
 
-def test_similar_documents_are_grouped_and_others_are_not(spark, tmp_path):
-    rows = []
-    for k in range(40):
-        words = prose(k, 120).split()
-        rows.append((3 * k, " ".join(words), "en", "a", 0))
-        near = words.copy()
-        near[60] = "changed"
-        rows.append((3 * k + 1, " ".join(near), "en", "a", 0))
-        half = words[:60] + prose(500 + k, 60).split()
-        rows.append((3 * k + 2, " ".join(half), "en", "a", 0))
-    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table(spark, str(tmp_path / "d"), rows)).collect()}
-    assert all(got[3 * k + 1] == got[3 * k] == 3 * k for k in range(40))
-    assert all(got[3 * k + 2] == 3 * k + 2 for k in range(40))
-
-
-def test_a_shared_line_of_many_repeats_groups_nothing(spark, tmp_path):
-    line = " ".join(f"line{k}" for k in range(13))
-    rows = [(k, " ".join([*[line] * 30, prose(k, 404)]), "en", "a", 0) for k in range(2)]
-    rows += [(k, " ".join(["again"] * 200 + prose(k, 60).split()), "en", "a", 0) for k in (5, 6)]  # equal counted prints
-    got = simhash.similar_groups(table(spark, str(tmp_path / "d"), rows)).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k for k in (0, 1, 5, 6)}
-
-
-def test_repeats_do_not_hide_near_copies(spark, tmp_path):
-    line = " ".join(f"line{k}" for k in range(10))
-    rows = []
-    for k in range(10):
-        text = prose(k, 404)
-        rows += [(2 * k, text, "en", "a", 0), (2 * k + 1, " ".join([text, *[line] * 30]), "en", "a", 0)]
-    got = simhash.similar_groups(table(spark, str(tmp_path / "d"), rows)).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k - k % 2 for k in range(20)}
-
-
-def test_large_buckets_are_compared_with_leaders_only():
-    rng = np.random.default_rng(0)
-    center = rng.integers(0, 1 << 63, (2, 2), dtype=np.uint64)
-    sketch = center[np.arange(4000) % 2] ^ (np.uint64(1) << rng.integers(0, 60, (4000, 2), dtype=np.uint64))
-    x, y, stands = simhash.compared(np.zeros(4000, np.int64), sketch, 20)
-    assert len(x) <= 8000 and stands.sum() == 2
-    parent = list(range(4000))
-    for a, b in zip(x.tolist(), y.tolist(), strict=True):
-        parent[b] = a
-    assert len({parent[k] % 2 for k in range(0, 4000, 2)}) == 1
-
-
-def test_templated_families_of_large_buckets_are_grouped_whole(spark, tmp_path):
-    rng = random.Random(6)
-    base = prose(0, 300).split()
-    rows = [(0, " ".join(base), "en", "a", 0)]
-    for k in range(1, 301):  # pairs of 0.9, each about 0.6 to 0.75 like the base
-        own = base.copy()
-        for at in rng.sample(range(4, 290), 11):
-            own[at] = f"own{k}x{at}"
-        near = own.copy()
-        near[296 if k % 2 else 1] = "changed"
-        rows += [(2 * k - 1, " ".join(own), "en", "a", 0), (2 * k, " ".join(near), "en", "a", 0)]
-    sets = [set(simhash.shingle_set(t, 5).tolist()) for _, t, *_ in rows]
-    root = list(range(len(rows)))
-
-    def find(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-
-    for a in range(len(rows)):
-        for b in range(a):
-            shared = len(sets[a] & sets[b])
-            if shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
-                x, y = sorted((find(a), find(b)))
-                root[y] = x
-    got = simhash.similar_groups(table(spark, str(tmp_path / "d"), rows)).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == {k: find(k) for k in range(len(rows))}
-
-
-def test_pairs_across_roots_are_all_compared():
-    rng = np.random.default_rng(3)
-    prints = rng.integers(0, 1 << 63, (1, 22), dtype=np.uint64) ^ (
-        np.uint64(1) << rng.integers(0, 60, (90, 22), dtype=np.uint64))
-    bucket, ids, root = np.repeat([1, 2], [80, 10]), np.arange(90), np.arange(90) % 3
-    root[80:] = 5
-    a, b, bits, ra, rb, cut = simhash.across(bucket, ids, root, prints, 44, 10_000)
-    want = {(i, j) for i in range(80) for j in range(i + 1, 80) if root[i] != root[j]}
-    assert set(zip(a.tolist(), b.tolist(), strict=True)) == want and len(a) == len(want) and not cut.any()
-    a, b, bits, ra, rb, cut = simhash.across(bucket, ids, root, prints, 44, 4)
-    assert len(a) == 12 and cut.all()
-
-
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7)]
     frame = spark.createDataFrame(links, "a bigint, b bigint")
