@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    chat, exact_dedup, mixing, packing, quality, repeats, secrets, simhash, toxicity, vafile,
+    best_position, chat, exact_dedup, mixing, packing, quality, repeats, secrets, simhash, toxicity, vafile,
 )
 from clickloom.session import stage
 
@@ -185,3 +185,46 @@ def near_duplicates(spark, folder):
     return simhash.near_groups(table(spark, folder, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("p"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+RANKED_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL
+), s AS (SELECT count(*) AS docs, sum(len(ts)) AS total FROM d WHERE len(ts) > 0),
+q AS (
+  SELECT i, item_id, t, count(*) AS times
+  FROM (SELECT i, item_id, unnest(ts) AS t FROM (
+    SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+    FROM benchmark WHERE text IS NOT NULL))
+  GROUP BY i, item_id, t
+), tf AS (
+  SELECT r, doc_id, n, t, count(*) AS tf
+  FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q)
+  GROUP BY r, doc_id, n, t
+), w AS (
+  SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), s
+), scored AS (
+  SELECT i, item_id, r, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (
+           75 + CAST((25 * n * docs) // total AS BIGINT))))) AS BIGINT) AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t), s
+  GROUP BY i, item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op13_ranked_search", RANKED_SQL)
+def ranked(spark, folder):
+    return best_position.ranked_search(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
