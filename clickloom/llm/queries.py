@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    best_position, chat, exact_dedup, mixing, packing, quality, repeats, secrets, simhash, toxicity, vafile,
+    best_position, chat, exact_dedup, mixing, packing, periodic_runs, quality, repeats, secrets, simhash, toxicity, vafile,
 )
 from clickloom.session import stage
 
@@ -228,3 +228,48 @@ def ranked(spark, folder):
     return best_position.ranked_search(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """`doc_id` and `text`, where every tenth document by crc32 of its id repeats a stretch of
+    its own words up to its end. A document without id is left as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), "")
+    asked = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    a = F.pmod(F.col("g"), n).cast("int")
+    rest = n - F.col("a")
+    p = (F.lit(1) + F.floor(rest / (F.lit(3) + F.pmod(F.col("g"), F.lit(8))))).cast("int")
+    copies = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    tail = F.slice(F.flatten(copies), F.lit(1), rest)
+    joined = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return (
+        asked.withColumn("a", F.when(n > 0, a)).withColumn("p", F.when(n > 0, p))
+        .select("doc_id", F.when(F.col("a").isNotNull(), joined).otherwise(F.col("text")).alias("text"))
+    )
+
+
+@query("op11_periodic_runs")
+def periodic(spark, folder):
+    found = periodic_runs.periodic_runs(planted(table(spark, folder, "documents")))
+
+    def steeper(best, run):
+        """The run of greater length by period; the earlier one of a tie."""
+        return F.when(
+            best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run
+        ).otherwise(best)
+
+    kind = found.schema["runs"].dataType.elementType
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = F.aggregate("runs", F.lit(None).cast(kind), steeper)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
