@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    best_position, chat, exact_dedup, mixing, packing, periodic_runs, quality, repeats, secrets, simhash, toxicity, vafile,
+    best_position, chat, exact_dedup, jaccard_join, mixing, packing, periodic_runs, quality, repeats, secrets, simhash, toxicity, vafile,
 )
 from clickloom.session import stage
 
@@ -273,3 +273,10 @@ def periodic(spark, folder):
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         "runs_sha256", "collapsed_sha256",
     )
+
+
+@query("op12_ngram_join")
+def ngram_join(spark, folder):
+    return jaccard_join.similar_groups(table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
