@@ -15,8 +15,8 @@ too short for its prefix gives its whole set. Fronts and groups depend on the sc
 smaller size of a pair, and a document is indexed for each scale that its partners can have.
 
 Copies are one set. Documents that share an entry are compared by their whole sets: first
-all with two members of each entry, then all of different components that are left. What
-counts is whether documents are connected, so links inside a component are not repeated.
+all with two members of each entry, then, block by block, those that are not connected yet.
+What counts is whether documents are connected, so links inside a component are not asked.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ WORDS = 5
 PERCENT = 80
 RARE = 10  # documents of a shingle that is indexed alone
 _HOT = 64  # entries of one shingle that a batch sends to the shingle's own place
+_BLOCK = 256  # documents that are compared with as many others at once
 _IDS = 1_000_000  # ids of documents to compare that are broadcast; more are shuffled
 _MIX = 0x9E3779B97F4A7C15
 
@@ -55,13 +56,13 @@ def missed(size: int, percent: int) -> int:
 
 
 def groups(scale: int, percent: int) -> int:
-    """Groups of frequent shingles at a scale: one for about eight places of a prefix."""
-    return max(1, (missed(1 << scale, percent) + 1) // 8)
+    """Groups of frequent shingles at a scale: one for about four places of a prefix."""
+    return max(1, (missed(1 << scale, percent) + 1) // 4)
 
 
 def front(scale: int, percent: int) -> int:
     """Hashes below this are the front at a scale."""
-    share = (100 - percent) / 100 + 0.03 + 1 / math.sqrt(1 << scale)
+    share = 1.25 * (100 - percent) / 100 + 1 / math.sqrt(1 << scale)
     return (1 << 64) - 1 if scale < 6 or share >= 1 else int(share * (1 << 64))
 
 
@@ -240,11 +241,12 @@ def shared(found: DataFrame, rare: int) -> DataFrame:
 
 
 def indexed(common: DataFrame, sets: DataFrame, percent: int, rare: int) -> DataFrame:
-    """`entry`, `id`, `size`: the index entries of every set of `sets` (`id`, `size`, `fronts`)."""
+    """`entry`, `id`, `size`, `alone`: the index entries of every set of `sets` (`id`, `size`,
+    `fronts`), and how many in a thousand of its counted shingles few others have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, ids, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            made, ids, sizes, alone = [np.zeros(0, np.uint64)], *([np.zeros(0, np.int64)] for _ in range(3))
             ends = batch.column("token").offsets.to_numpy()
             token = batch.column("token").flatten().to_numpy().view(np.uint64)
             frequency = batch.column("frequency").flatten().to_numpy()
@@ -256,17 +258,18 @@ def indexed(common: DataFrame, sets: DataFrame, percent: int, rare: int) -> Data
                 made.append(np.unique(signatures(n, fronts, token[part], frequency[part], percent, rare)))
                 ids.append(np.full(len(made[-1]), i))
                 sizes.append(np.full(len(made[-1]), n))
+                common = int((frequency[part] > rare).sum())
+                alone.append(np.full(len(made[-1]), 1000 - 1000 * common // max(1, *fronts, ends[k + 1] - ends[k])))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate(made).view(np.int64)), pa.array(np.concatenate(ids)),
-                pa.array(np.concatenate(sizes)),
-            ], names=["entry", "id", "size"])
+                pa.array(np.concatenate(sizes)), pa.array(np.concatenate(alone)),
+            ], names=["entry", "id", "size", "alone"])
 
     own = common.groupBy("_row").agg(F.collect_list(F.struct("token", "frequency")).alias("own"))
     full = own.withColumnRenamed("_row", "id").join(sets, "id").select(
         "id", "size", "fronts", F.col("own.token").alias("token"), F.col("own.frequency").alias("frequency")
     )
-    entries = full.mapInArrow(run, "entry bigint, id bigint, size bigint")
-    return entries
+    return full.mapInArrow(run, "entry bigint, id bigint, size bigint, alone bigint")
 
 
 def whole_sets(rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -304,14 +307,148 @@ def _sized(small, large, percent: int):
     return 100 * F.least(small, large) >= percent * F.greatest(small, large)
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of some sets share (of a set and itself: not told)."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.zeros((n, n), np.float32)
+    for few in (True, False):
+        wanted = (count > 1) & ((count <= 4) == few)
+        name = np.cumsum(wanted) - 1
+        keep = wanted[token]
+        who, what = owner[keep], name[token[keep]]
+        if few:  # pairs of owners, one by one
+            order = np.argsort(what, kind="stable")
+            who, what = who[order], what[order]
+            for step in range(1, 4):
+                same = what[step:] == what[:-step] if step < len(what) else np.zeros(0, bool)
+                np.add.at(shared, (who[:-step][same], who[step:][same]), 1)
+            shared += shared.T
+            continue
+        order = np.argsort(what, kind="stable")
+        who, what = who[order], what[order]
+        for lo in range(0, int(wanted.sum()), 4096):
+            at = slice(*np.searchsorted(what, [lo, lo + 4096]))
+            held = np.zeros((n, 4096), np.float32)
+            held[who[at], what[at] - lo] = 1
+            shared += held @ held.T
+    return shared
+
+
+def joined(
+    ids: np.ndarray, roots: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Links that connect all different roots which similar sets connect, no two in a circle."""
+    sizes = np.array([len(x) for x in sets])
+    common = _common(sets).astype(np.int64)
+    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    near &= np.triu(roots[:, None] != roots[None, :], 1)
+    if blocks.min() != blocks.max():  # each block has a turn of its own
+        near &= blocks[:, None] != blocks[None, :]
+    over = {int(r): int(r) for r in roots}
+
+    def top(r: int) -> int:
+        while over[r] != r:
+            over[r] = r = over[over[r]]
+        return r
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+        x, y = top(int(roots[i])), top(int(roots[j]))
+        if x != y:
+            over[x] = y
+            out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def links_between_roots(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """`a`, `b`: links between different roots among the rows of each neighbourhood
+    (`near`, `id`, `root`).
+
+    Neighbourhoods are compared by blocks of about `_BLOCK` rows, two at a time, each two
+    where their sets meet; only links that join something leave a task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def compared(table: pa.Table) -> pa.RecordBatch:
+            table = table.combine_chunks()
+            hood, part, ids, roots, blocks = (
+                table.column(c).to_numpy() for c in ("near", "part", "id", "root", "block")
+            )
+            lists = table.column("shingles").combine_chunks()
+            if isinstance(lists, pa.ChunkedArray):
+                lists = lists.chunk(0)
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            new = np.ones(len(hood), bool)
+            new[1:] = (hood[1:] != hood[:-1]) | (part[1:] != part[:-1])
+            start = np.append(np.flatnonzero(new), len(new)).tolist()
+            out = []
+            for lo, hi in zip(start[:-1], start[1:], strict=True):
+                if hi - lo > 1:
+                    own = [flat[ends[k] : ends[k + 1]] for k in range(lo, hi)]
+                    out += joined(ids[lo:hi], roots[lo:hi], blocks[lo:hi], own, percent)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            hood, part = table.column("near").to_numpy(), table.column("part").to_numpy()
+            last = int(((hood == hood[-1]) & (part == part[-1])).argmax())  # may go on
+            held = table.slice(last)
+            if last:
+                yield compared(table.slice(0, last))
+        if held is not None:
+            yield compared(held)
+
+    counted = near.groupBy("near").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    ).where("lo < hi")
+    blocks = F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    dealt = (
+        lookup(near, counted.select("near", blocks), "near", "inner").select("*", own).select("*", other)
+        .select("near", pair.cast("bigint").alias("part"), "block", "id", "root")
+    )
+    full = lookup(dealt, sets, "id", "inner").select("near", "part", "block", "id", "root", "shingles")
+    return (
+        full.repartition("near", "part").sortWithinPartitions("near", "part")
+        .mapInArrow(run, "a bigint, b bigint")
+    )
+
+
 def links(entries: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """`a`, `b`: enough of the similar pairs of sets to connect all that are similar."""
-    least = F.struct(F.xxhash64("id"), "id", "size")
-    both = entries.groupBy("entry").agg(F.min(least).alias("lo"), F.max(least).alias("hi")).where("lo.id <> hi.id")
-    several = stage(lookup(entries, both, "entry", "inner"), "several")
-    first = several.select(
-        "id", "size", F.explode(F.array("lo", "hi")).alias("lead")
-    ).where((F.col("id") != F.col("lead.id")) & _sized(F.col("size"), F.col("lead.size"), percent))
+    """`a`, `b`: enough of the similar pairs of sets to connect all that are similar.
+
+    The first two that the members of an entry are compared with are the one with the most
+    shingles that many have (in a family of edited copies, the text they were made from),
+    and another by chance.
+    """
+    central = F.struct("alone", F.xxhash64("id").alias("by"), "id", "size")
+    chance = F.struct(F.xxhash64("id").alias("by"), "id", "size")
+    members = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    counted = entries.groupBy("entry").agg(
+        F.min(central).alias("lo"), F.min(chance).alias("hi"), F.count(F.lit(1)).alias("n"), *members
+    ).where("n > 1")
+    counted = counted.groupBy("lo", "hi", "n", "x1", "x2").agg(F.min("entry").alias("entry"))  # of equal members
+    several = stage(lookup(
+        entries.select("entry", "id", "size"),
+        counted.select("entry", "n", F.array(
+            F.struct("lo.id", "lo.size"), F.struct("hi.id", "hi.size")).alias("leads")),
+        "entry", "inner",
+    ), "several")
+    first = several.select("id", "size", F.explode("leads").alias("lead")).where(
+        (F.col("id") != F.col("lead.id")) & _sized(F.col("size"), F.col("lead.size"), percent)
+    )
     asked = stage(first.select(
         F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b")
     ).distinct(), "asked")
@@ -319,16 +456,14 @@ def links(entries: DataFrame, rows: DataFrame, words: int, percent: int) -> Data
     found = stage(verified(asked, sets, percent), "verified")
     roots = components(found).withColumnRenamed("node", "id")
     rooted = stage(
-        lookup(several.select("entry", "id", "size"), roots, "id").withColumn("root", F.coalesce("root", "id")), "rooted"
+        lookup(several.select("entry", F.col("leads")[0]["id"].alias("near"), "id"), roots, "id")
+        .withColumn("root", F.coalesce("root", "id")), "rooted",
     )
     mixed = rooted.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_ = stage(lookup(rooted, mixed.select("entry"), "entry", "inner"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(y, F.col("x.entry") == F.col("y.entry")).where(
-        (F.col("x.root") < F.col("y.root")) & _sized(F.col("x.size"), F.col("y.size"), percent)
-    ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    more = stage(rest.join(asked, ["a", "b"], "left_anti"), "rest")
-    return found.unionByName(stage(verified(more, sets, percent), "verified"))
+    near = stage(
+        lookup(rooted, mixed.select("entry"), "entry", "inner").select("near", "id", "root").distinct(), "near"
+    )
+    return found.unionByName(stage(links_between_roots(near, sets, percent), "joined"))
 
 
 def similar_groups(

@@ -60,7 +60,7 @@ def corpus(rng, count):
 @pytest.mark.parametrize("rare,percent", [(10, 80), (2, 80), (1, 80), (1000, 80), (3, 60)])
 def test_components_match_brute_force(spark, tmp_path, rare, percent):
     rng = random.Random(rare)
-    rows = corpus(rng, 700)
+    rows = corpus(rng, 450)
     rows += [(5000, None), (5001, ""), (5002, " \n"), (5003, "one Word"), (5004, "ONE word"), (None, "one word"), (3, rows[3][1])]
     docs = table(spark, str(tmp_path / "d"), rows, "doc_id bigint, text string")
     assert got(jaccard_join.similar_groups(docs, rare=rare, percent=percent)) == brute(rows, percent)
@@ -89,13 +89,13 @@ def test_a_hot_family_and_a_hot_line(spark, tmp_path, settings):
     rng = random.Random(1)
     base = prose(1, 120).split()
     rows = []
-    for k in range(600):  # a third: near copies of one text
+    for k in range(300):  # a third: near copies of one text
         words = base.copy()
         words[rng.randrange(120)] = f"e{k}"
         rows.append((k, " ".join(words)))
     line = prose(2, 60)
-    rows += [(1000 + k, prose(100 + k, 40) + " " + line) for k in range(600)]  # one line, else unrelated
-    rows += [(2000 + k, "same words in every one of these texts here") for k in range(600)]
+    rows += [(1000 + k, prose(100 + k, 40) + " " + line) for k in range(300)]  # one line, else unrelated
+    rows += [(2000 + k, "same words in every one of these texts here") for k in range(300)]
     docs = table(spark, str(tmp_path / "d"), rows, "doc_id bigint, text string")
     settings({"spark.sql.execution.arrow.maxRecordsPerBatch": 150, "spark.sql.shuffle.partitions": 16})
     assert got(jaccard_join.similar_groups(docs)) == brute(rows)
@@ -119,3 +119,28 @@ def test_awkward_and_empty_tables(spark, tmp_path):
     plain = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert got(jaccard_join.similar_groups(docs)) == brute(plain)
     assert jaccard_join.similar_groups(docs.limit(0)).count() == 0
+
+
+def test_links_of_a_block_are_a_forest_of_all_that_is_similar():
+    rng = np.random.default_rng(5)
+    base = np.arange(1, 101, dtype=np.int64)
+    sets = [np.unique(np.where(rng.random(100) < rng.choice([0.02, 0.15]), rng.integers(1000, 9999, 100), base)) for _ in range(60)]
+    ids, roots, blocks = np.arange(60) + 7, np.arange(60) // 2, np.zeros(60, np.int64)
+    common = jaccard_join._common(sets)
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    off = ~np.eye(60, dtype=bool)
+    assert (common[off] == want[off]).all()
+    for blocks in (np.zeros(60, np.int64), np.arange(60) % 2):
+        got_links = jaccard_join.joined(ids, roots, blocks, sets, 80)
+
+        def classes(pairs):
+            over = list(range(30))
+            for i, j in pairs:
+                x, y = over[roots[i]], over[roots[j]]
+                over = [y if r == x else r for r in over]
+            return [over.index(r) for r in over], len(set(over))
+
+        every = [(i, j) for i in range(60) for j in range(i) if 100 * want[i, j] >= 80 * (len(sets[i]) + len(sets[j]) - want[i, j])
+                 and (blocks.min() == blocks.max() or blocks[i] != blocks[j])]
+        mine = [(i - 7, j - 7) for i, j in got_links]
+        assert classes(mine) == classes(every) and len(mine) == 30 - classes(every)[1]
