@@ -142,14 +142,19 @@ def evaluate(
 def evaluate_batched(scored: DataFrame, batch_size: int, by: Sequence[str] = ()) -> DataFrame:
     """`evaluate` with the area of flattened batches, weighted by candidates, as `auc`."""
     report = evaluate(scored, by).drop("auc")
-    areas = batch_auc(assign_batches(scored, batch_size), by).where(F.col("auc").isNotNull())
-    auc = areas.groupBy(*by).agg((F.sum(F.col("auc") * F.col("n")) / F.sum("n")).alias("auc"))
+    auc = mean_batch_auc(scored, batch_size, by)
     if by:
         return report.join(auc, [*by], "left")
     one = F.lit(1).alias("_one")
     return report.select("*", one).join(auc.select("*", one), "_one").drop("_one")
 
 
+def mean_batch_auc(scored: DataFrame, batch_size: int, by: Sequence[str] = ()) -> DataFrame:
+    """Per value of `by`: the mean area of flattened batches, weighted by candidates."""
+    areas = batch_auc(assign_batches(scored, batch_size), by).where(F.col("auc").isNotNull())
+    return areas.groupBy(*by).agg((F.sum(F.col("auc") * F.col("n")) / F.sum("n")).alias("auc"))
+
+
 def assign_batches(scored: DataFrame, batch_size: int) -> DataFrame:
     """Number impressions by id and cut them into batches of `batch_size`."""
     index = dense_index(scored, "impression_id", 0, "_seq")

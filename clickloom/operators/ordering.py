@@ -4,7 +4,8 @@ A plain window over a key is one task per key. Here the rows are range-partition
 by (key, order), so a key holding a third of all rows is spread over a third of the
 partitions; small per-partition totals then turn local numbers into global ones.
 The stamped rows are checkpointed between the two steps, because range bounds are
-sampled and must not be drawn twice.
+sampled and must not be drawn twice. Where the data say how to cut a key (a time, an id),
+`position_by_slice` and `running_total_of_ids` do without sample and checkpoint.
 """
 
 from __future__ import annotations
@@ -88,6 +89,54 @@ def position_in_group(
     )
 
 
+def position_by_slice(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], piece: Column, name: str = "pos", start: int = 0
+) -> DataFrame:
+    """Number each key's rows by `order`, from `start`, with one exchange of the rows.
+
+    `piece` cuts a key's rows into slices that follow each other in `order` (an hour of the
+    time, say), so that a key of a third of all rows is numbered slice by slice. The sizes
+    of the slices, a row each, are summed up per key and joined to where the rows are
+    already. Nothing is sampled or written. `keys` must be non-null and (keys, order) unique.
+    """
+    cut = df.withColumn("_slice", F.struct(piece))  # never null itself
+    on = [*keys, "_slice"]
+    earlier = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    sizes = cut.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).select(
+        *on, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    numbered = cut.withColumn("_local", F.row_number().over(W.partitionBy(*on).orderBy(*order)))
+    position = (F.col("_before") + F.col("_local") - 1 + F.lit(start)).cast("bigint")
+    return numbered.join(sizes, on).select(*df.columns, position.alias(name))
+
+
+def running_total_of_ids(
+    df: DataFrame, key: str, value: str, name: str, inclusive: bool = True, bits: int = 12
+) -> DataFrame:
+    """Sum of `value` over all rows up to (or strictly before) each row, by a unique whole
+    number `key`.
+
+    Ids are cut into slices of 2**bits, and those into slices of as many; a window never holds
+    more rows than that, but for the last one, over a row per 2**(2 * bits) ids.
+    """
+    fine, coarse = F.shiftright(key, bits), F.shiftright(key, 2 * bits)
+    totals = df.groupBy(fine.alias("_fine"), coarse.alias("_coarse")).agg(F.sum(value).alias("_n"))
+    before = W.orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
+    above = totals.groupBy(F.col("_coarse").alias("_c")).agg(F.sum("_n").alias("_n")).select(
+        "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above")
+    )
+    inside = W.partitionBy("_coarse").orderBy("_fine").rowsBetween(W.unboundedPreceding, -1)
+    slices = totals.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
+        above, F.col("_coarse") == F.col("_c")
+    ).select(F.col("_fine").alias("_f"), (F.col("_above") + F.col("_inside")).alias("_before"))
+    local = F.sum(value).over(W.partitionBy("_fine").orderBy(key).rowsBetween(W.unboundedPreceding, 0))
+    summed = df.withColumn("_fine", fine).withColumn("_local", local)
+    total = F.col("_before") + F.col("_local")
+    return summed.join(slices, F.col("_fine") == F.col("_f")).select(
+        *df.columns, (total if inclusive else total - F.col(value)).alias(name)
+    )
+
+
 def running_total(
     df: DataFrame, order: Sequence[str], value: str, name: str, inclusive: bool = True
 ) -> DataFrame:

@@ -94,18 +94,63 @@ def quality_profiles(cut: DataFrame, article_vecs: DataFrame) -> DataFrame:
         F.count_if("_low").alias("_nl"),
         F.first("_items").alias("_items"),
     )
+    return sums.select("user_id", _quality_view().alias("profile"))
+
+
+def _quality_view() -> Column:
+    """overall + high - weight * low, from the sums and counts of a user's items."""
     uniform = vectors.scaled(F.col("_all"), F.lit(1.0) / F.col("_items"))
 
     def pooled(total: str, count: str) -> Column:
-        own = vectors.scaled(F.col(total), F.lit(1.0) / F.col(count))
+        own = vectors.scaled(F.col(total), F.try_divide(F.lit(1.0), F.col(count)))
         return F.when(F.col(count) > 0, own).otherwise(uniform)
 
-    views = sums.select(
+    overall = vectors.scaled(F.col("_all"), F.try_divide(F.lit(1.0), F.col("_n")))
+    return vectors.combine_views(
+        overall, pooled("_sh", "_nh"), pooled("_sl", "_nl"), scalar.sigmoid(F.lit(DENOISE))
+    )
+
+
+def joint_profiles(recent: DataFrame, head: DataFrame, article_vecs: DataFrame, norm: str) -> DataFrame:
+    """(user_id, similarity, uniform, quality): the profiles of three models in one pass.
+
+    `similarity` is the mean of the `recent` items' vectors divided by the article's `norm`,
+    `quality` the quality-weighted profile of the same items, `uniform` the mean of the
+    `head` items with unknown ones as zeros. Each vector meets a user's items once, and all
+    sums are one partial aggregation; a profile is null for a user without its items.
+    """
+    log_time, scroll = F.col("log_time"), F.col("scroll")
+    flagged = _with_item_count(recent).select(
+        "user_id", "article_id", F.lit(True).alias("_recent"), F.col("_items"), F.lit(None).cast("bigint").alias("_heads"),
+        quality.is_high(log_time, scroll).alias("_high"), quality.is_low(log_time, scroll).alias("_low"),
+    )
+    first = _with_item_count(head).select(
+        "user_id", "article_id", F.lit(False).alias("_recent"), F.lit(None).cast("bigint").alias("_items"),
+        F.col("_items").alias("_heads"), F.lit(False).alias("_high"), F.lit(False).alias("_low"),
+    )
+    packed = article_vecs.select(
+        "article_id", array_to_vector("vector").alias("_v"), F.size("vector").alias("_width"), F.col(norm).alias("_norm")
+    )
+    items = lookup(flagged.unionByName(first), packed, "article_id", "inner")
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), F.col("_width")))
+
+    def total(flag: Column, weight: Column | None = None) -> Column:
+        vector = F.when(flag, F.col("_v")).otherwise(zero)
+        if weight is None:
+            return _sum(vector)
+        return vector_to_array(Summarizer.metrics("sum").summary(vector, weight)["sum"])
+
+    recent_, high, low = F.col("_recent"), F.col("_high"), F.col("_low")
+    sums = items.groupBy("user_id").agg(
+        total(recent_, F.lit(1.0) / F.col("_norm")).alias("_unit"),
+        total(recent_).alias("_all"), total(high).alias("_sh"), total(low).alias("_sl"), total(~recent_).alias("_first"),
+        F.count_if(recent_).alias("_n"), F.count_if(high).alias("_nh"), F.count_if(low).alias("_nl"),
+        F.max("_items").alias("_items"), F.max("_heads").alias("_heads"),
+    )
+    known = F.col("_n") > 0
+    return sums.select(
         "user_id",
-        vectors.scaled(F.col("_all"), F.lit(1.0) / F.col("_n")).alias("_glo"),
-        pooled("_sh", "_nh").alias("_hi"),
-        pooled("_sl", "_nl").alias("_lo"),
+        F.when(known, vectors.scaled(F.col("_unit"), F.try_divide(F.lit(1.0), F.col("_n")))).alias("similarity"),
+        F.when(F.col("_heads").isNotNull(), vectors.scaled(F.col("_first"), F.lit(1.0) / F.col("_heads"))).alias("uniform"),
+        F.when(known, _quality_view()).alias("quality"),
     )
-    weight = scalar.sigmoid(F.lit(DENOISE))
-    combined = vectors.combine_views(F.col("_glo"), F.col("_hi"), F.col("_lo"), weight)
-    return views.select("user_id", combined.alias("profile"))

@@ -10,34 +10,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions import arrays, scalar, vectors
+from clickloom.functions import arrays, scalar
 from clickloom.operators.candidates import explode_candidates
 from clickloom.operators.history import with_history
 from clickloom.operators.joins import lookup
+from clickloom.operators.pairs import pair_products
 
 PAD_SCORE = -1e4  # fixed value given to padded candidates before ranking
 
 
 class Scorer(NamedTuple):
-    """A model that scores by the dot product of user profile and candidate vector."""
+    """A model that scores by the dot product of user profile and candidate vector.
+
+    `profiles` may be shared by several scorers, each with its own `profile` column;
+    `divide_by` names a number of the article (its vector's length) to divide by.
+    """
 
     profiles: DataFrame
     vector: str = "vector"
     scale_by_width: bool = False
+    profile: str = "profile"
+    divide_by: str | None = None
 
 
 def _by_user(scorers: dict[str, Scorer]) -> DataFrame:
     """One row per user with the profile of scorer i in column _p<i>."""
-    tables = [s.profiles for s in scorers.values()]
-    if len(tables) == 1:
-        return tables[0].withColumnRenamed("profile", "_p0")
+    models = list(scorers.values())
+    if all(s.profiles is models[0].profiles for s in models):
+        return models[0].profiles.select("user_id", *[F.col(s.profile).alias(f"_p{i}") for i, s in enumerate(models)])
     stacked = None
-    for i, table in enumerate(tables):
-        part = table.select("user_id", F.lit(i).alias("_i"), "profile")
+    for i, s in enumerate(models):
+        part = s.profiles.select("user_id", F.lit(i).alias("_i"), F.col(s.profile).alias("profile"))
         stacked = part if stacked is None else stacked.unionByName(part)
     return stacked.groupBy("user_id").agg(*[
         F.first(F.when(F.col("_i") == i, F.col("profile")), ignorenulls=True).alias(f"_p{i}")
-        for i in range(len(tables))
+        for i in range(len(models))
     ])
 
 
@@ -49,28 +56,36 @@ def score_models(
 ) -> DataFrame:
     """Score all candidates by all models in one pass: one row per candidate and model.
 
-    Profiles are joined per impression, before the candidates are exploded: one narrow
-    row per impression is shuffled instead of one per candidate. Several models' profiles
-    are gathered per user first (one entry per model), so the impressions, of which one
-    user may hold a third, go through a single join. Scores are 0 when a profile or a
-    vector is missing.
+    Distinct (user, article) pairs are scored by blocks (`pairs`), so neither a profile nor
+    a vector is sent with every candidate; the scores, a few numbers per pair, are joined
+    back to the candidates. Scores are 0 when a profile or a vector is missing.
     """
-    rows = impressions.select("user_id", *[k for k in keep if k != "user_id"], "candidates")
-    profiled = lookup(rows, _by_user(scorers), "user_id")
-    mine = [f"_p{i}" for i in range(len(scorers))]
-    pairs = lookup(explode_candidates(profiled, [*keep, *mine]), article_vecs, "article_id")
+    own = [k for k in keep if k != "user_id"]
+    flat = explode_candidates(impressions.select("user_id", *own, "candidates"), ["user_id", *own])
+    numbers = {s.divide_by for s in scorers.values()} - {None}
+    widths = sorted({s.vector for s in scorers.values() if s.scale_by_width})
+    uses = [(f"_p{i}", s.vector) for i, s in enumerate(scorers.values())]
+    dots = pair_products(flat, _by_user(scorers), article_vecs, uses)
+    if numbers or widths:
+        sizes = [F.size(v).alias(f"_width_{v}") for v in widths]
+        dots = lookup(dots, article_vecs.select("article_id", *sorted(numbers), *sizes), "article_id")
 
     def score(i: int, scorer: Scorer) -> Column:
-        raw = F.coalesce(vectors.dot(F.col(f"_p{i}"), F.col(scorer.vector)), F.lit(0.0))
-        if not scorer.scale_by_width:
-            return raw
-        return raw / F.sqrt(F.coalesce(F.size(scorer.vector), F.lit(1)).cast("double"))
-
-    scores = F.array(*[
-        F.struct(F.lit(name).alias("model"), score(i, scorer).alias("score"))
-        for i, (name, scorer) in enumerate(scorers.items())
+        raw = F.col("dots")[i]
+        if scorer.divide_by:
+            raw = raw / F.col(scorer.divide_by)
+        if scorer.scale_by_width:
+            raw = raw / F.sqrt(F.coalesce(f"_width_{scorer.vector}", F.lit(1)).cast("double"))
+        return raw
+
+    pair = F.struct(F.col("user_id").cast("bigint").alias("user_id"), F.col("article_id").cast("bigint").alias("article_id"))
+    scored = dots.select(pair.alias("_pair"), F.array(*[score(i, s) for i, s in enumerate(scorers.values())]).alias("_scores"))
+    rows = lookup(flat.withColumn("_pair", pair), scored, "_pair")
+    named = F.array(*[
+        F.struct(F.lit(name).alias("model"), F.coalesce(F.col("_scores")[i], F.lit(0.0)).alias("score"))
+        for i, name in enumerate(scorers)
     ])
-    return pairs.select(*keep, "pos", "article_id", "label", "valid", F.inline(scores))
+    return rows.select(*keep, "pos", "article_id", "label", "valid", F.inline(named))
 
 
 def score_candidates(
@@ -133,11 +148,11 @@ def candidate_features(
     An article without a feature row counts as unknown: zeros and code 0, freshness 0
     (or, under 'epoch', the age of an article published in 1970, for comparison).
     """
-    base = impression_features(impressions, lists.join(profiles, "user_id", "left"))
+    base = impression_features(impressions, lists)
     pooled = base.withColumn("_rec", arrays.recency_list(F.col("hist")["ts"], F.col("imp_ts")))
     pooled = pooled.select(
         *keep,
-        *[c for c in ("imp_ts", "candidates", "profile", "log_hist_len", "day_time", "norm_age") if c not in keep],
+        *[c for c in ("user_id", "imp_ts", "candidates", "log_hist_len", "day_time", "norm_age") if c not in keep],
         *_pooled(F.col("hist")["scroll"], "scroll"),
         *_pooled(F.col("hist")["read_time"], "time"),
         *_pooled(F.col("_rec"), "recency"),
@@ -146,8 +161,14 @@ def candidate_features(
     article_side = features.select(
         "article_id", "cat_encoded", "norm_views", "norm_inviews", "sentiment_score",
         "norm_read_time", "published_time",
-    ).join(article_vecs, "article_id", "left")
-    rows = lookup(explode_candidates(pooled, [*keep, *carried]), article_side, "article_id")
+    )
+    flat = explode_candidates(pooled, [*keep, *carried])
+    shown = explode_candidates(impressions.select("user_id", "candidates"), ["user_id"])
+    pair = F.struct(F.col("user_id").cast("bigint").alias("user_id"), F.col("article_id").cast("bigint").alias("article_id"))
+    dots = pair_products(shown, profiles, article_vecs, [("profile", "vector")]).select(
+        pair.alias("_pair"), F.col("dots")[0].alias("_similarity")
+    )
+    rows = lookup(lookup(flat.withColumn("_pair", pair), dots, "_pair"), article_side, "article_id")
     unknown = F.col("published_time").isNull()
     age = scalar.freshness(F.col("imp_ts"), F.coalesce("published_time", F.lit(0.0)))
     fresh = F.when(unknown, F.lit(0.0)).otherwise(age) if unknown_freshness == "zero" else age
@@ -159,7 +180,7 @@ def candidate_features(
         *[F.coalesce(F.col(c).cast("double"), zero).alias(c)
           for c in ("norm_views", "norm_inviews", "sentiment_score", "norm_read_time")],
         fresh.alias("freshness"),
-        F.coalesce(vectors.dot(F.col("profile"), F.col("vector")), zero).alias("similarity"),
+        F.coalesce("_similarity", zero).alias("similarity"),
         *NUMERIC_FEATURES[6:],
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import candidates, metrics, ranking, sampling
 from clickloom.plans.registry import big, query, r6
 from clickloom.plans.scores import all_models, similarity
+from clickloom.session import stage
 from clickloom.sources import sinks
 
 
@@ -245,6 +246,21 @@ def evaluate_policies(log):
     return out.select("model", "candidates", "n_impressions", *[r6(c, c) for c in _REPORT_COLUMNS])
 
 
-@query("best_model", f"select model, auc from ({_BY_MODEL}) order by auc desc, model desc limit 1")
+_BEST = " union all ".join(
+    f"""select '{m}' model, round(sum(auc*n)/sum(n),6) auc from (
+      select batch_id, count(*) n, (sum(ar) filter (label=1)-sum(label)*(sum(label)+1)/2.0)
+        /nullif(sum(label)*(count(*)-sum(label)),0) auc
+      from (select *, rank() over (partition by batch_id order by score)
+          +(count(*) over (partition by batch_id, score)-1)/2.0 ar
+        from (select f.*, (dense_rank() over (order by impression_id)-1)//32 batch_id from {v} f))
+      group by batch_id) where auc is not null""" for m, v in _MODEL_VIEWS.items()
+)
+
+
+@query("best_model", f"select model, auc from ({_BEST}) order by auc desc, model desc limit 1")
 def best_model(log):
-    return metrics.best_model(report(log)).select("model", r6("auc", "auc"))
+    """The model of the greatest batch-flattened area, batches of 32 impressions."""
+    columns = ["model", "impression_id", "pos", "label", "valid", "score"]
+    scored = stage(all_models(log, "validation").select(*columns), "scored")
+    areas = metrics.mean_batch_auc(scored, 32, ["model"])
+    return metrics.best_model(areas).select("model", r6("auc", "auc"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import arrays
 from clickloom.operators import candidates, history, sampling
-from clickloom.operators.ordering import position_in_group, running_total
+from clickloom.operators.ordering import position_by_slice, running_total_of_ids
 from clickloom.operators.scoring import impression_features as impression_feature_rows
 from clickloom.plans import clicklog
 from clickloom.plans.oracle import sample_sql
@@ -80,7 +80,7 @@ def history_stats(log):
 )
 def history_offsets(log):
     sizes = history.history_sizes(log.history_items("train"))
-    return running_total(sizes, ["user_id"], "n_items", "start_offset", inclusive=False)
+    return running_total_of_ids(sizes, "user_id", "n_items", "start_offset", inclusive=False)
 
 
 @query(
@@ -90,8 +90,8 @@ def history_offsets(log):
 )
 def history_explode(log):
     """Long histories with their stored position, over all reads."""
-    numbered = position_in_group(
-        log.history_items("test"), ["user_id"], clicklog.STORED
+    numbered = position_by_slice(
+        log.history_items("test"), ["user_id"], clicklog.STORED, F.date_trunc("hour", "impression_time")
     )
     return numbered.select(
         "user_id", "pos", "article_id", r6("scroll_percentage", "scroll_percentage"), r6("read_time", "read_time")

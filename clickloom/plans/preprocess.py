@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import arrays, hashing, quality, scalar
 from clickloom.operators import encode, features, history
-from clickloom.operators.ordering import latest_by, position_in_group
+from clickloom.operators.ordering import latest_by, position_by_slice
 from clickloom.plans import clicklog
 from clickloom.plans.registry import big, query, r6
 from clickloom.sources import readers
@@ -94,8 +94,8 @@ def articles_features(log):
     from hist_train h join user_idx u using (user_id) left join art_idx a using (article_id)""",
 )
 def history_features(log):
-    items = position_in_group(
-        log.history_items("train"), ["user_id"], clicklog.STORED
+    items = position_by_slice(
+        log.history_items("train"), ["user_id"], clicklog.STORED, F.date_trunc("hour", "impression_time")
     )
     users = encode.user_index(log.split_users())
     articles = encode.article_index(log.article_ids())

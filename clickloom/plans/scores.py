@@ -56,20 +56,20 @@ def quality_scores(log, split):
 
 
 def all_models(log, split):
-    """The three scorers over the same impressions, in one pass."""
-    plain, unit = plain_vectors(log), unit_vectors(log)
-    recent = history.list_items(lists(log, split, "recent"))
+    """The three scorers over the same impressions, in one pass: one table of profiles, and
+    one stored vector and its length per article."""
+    stored = log.embeddings()
+    eps = F.lit(1e-4)
+    known = stored.select("article_id", "vector", (vectors.l2_norm(vectors.as_doubles(F.col("vector"))) + eps).alias("norm"))
+    joint = profiles.joint_profiles(
+        history.list_items(lists(log, split, "recent")), cut(log, split, "head", 50), known, "norm"
+    )
     scorers = {
-        "similarity": scoring.Scorer(profiles.mean_profiles(recent, unit), "unit"),
-        "uniform": scoring.Scorer(
-            profiles.mean_profiles(cut(log, split, "head", 50), plain, mask_unknown=False), "plain"
-        ),
-        "quality": scoring.Scorer(profiles.quality_profiles(recent, plain), "plain", scale_by_width=True),
+        "similarity": scoring.Scorer(joint, profile="similarity", divide_by="norm"),
+        "uniform": scoring.Scorer(joint, profile="uniform"),
+        "quality": scoring.Scorer(joint, profile="quality", scale_by_width=True),
     }
-    both = plain.select(
-        "article_id", F.col("vector").alias("plain"), vectors.l2_normalize(F.col("vector"), 1e-4).alias("unit")
-    )
-    return scoring.score_models(impressions(log, split), scorers, both, KEEP)
+    return scoring.score_models(impressions(log, split), scorers, known, KEEP)
 
 
 def _scores(df):

@@ -1,6 +1,7 @@
 """Plans and results when one key holds a third of all rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,11 +58,13 @@ def vectors(spark):
 STORED = ("impression_time", "event_id")
 
 
-def test_hot_user_is_split_when_profiles_meet_impressions(spark, settings):
+def test_a_hot_pair_is_split_when_scores_meet_candidates(spark, settings):
     settings(SPLITTABLE)
     cut = history.cut_history(reads(spark), "tail", 30, STORED)
     profile = profiles.mean_profiles(cut, vectors(spark))
-    scored = scoring.score_candidates(impressions(spark), profile, vectors(spark))
+    same = F.when(F.col("user_id") == HOT, F.transform("candidates", lambda c: c.withField("article_id", F.lit(5).cast("bigint"))))
+    hot = impressions(spark).withColumn("candidates", F.coalesce(same, "candidates"))
+    scored = scoring.score_candidates(hot, profile, vectors(spark))
     assert "SortMergeJoin(skew=true)" in final_plan(scored)
     assert scored.count() == 9000
 
@@ -100,6 +103,41 @@ def test_positions_of_a_hot_key_span_partitions(spark, settings, partitions):
     assert all(want[r.user_id][r.pos] == r.event_id for r in rows)
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 64])
+def test_positions_by_slice_exchange_the_rows_once(spark, settings, partitions):
+    settings({**SPLITTABLE, "spark.sql.shuffle.partitions": str(partitions)})
+    data = reads(spark, 3000)
+    got = ordering.position_by_slice(data, ["user_id"], STORED, F.floor(F.col("impression_time") / 50), start=3)
+    rows = got.collect()
+    want = {}
+    for r in sorted(data.collect(), key=lambda r: (r.impression_time, r.event_id)):
+        want.setdefault(r.user_id, []).append(r.event_id)
+    assert len(rows) == 3000 and got.columns == [*data.columns, "pos"]
+    assert all(want[r.user_id][r.pos - 3] == r.event_id for r in rows)
+    again = got.select("*")  # a plan that has not run
+    plan = again._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    whole = [c for c in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan) if "read_time" in c]
+    assert len(whole) == 1 and "ExistingRDD" not in plan
+    largest = got.groupBy("user_id", F.floor(F.col("impression_time") / 50)).count().agg(F.max("count")).first()[0]
+    assert largest < 3000 / 3 / 10  # what one task must sort, of a user with a third of all rows
+
+
+def test_running_total_of_ids(spark):
+    rng = random.Random(5)
+    ids = sorted({rng.randrange(-500, 1 << 20) for _ in range(400)} | {rng.randrange(1 << 30) for _ in range(100)})
+    values = [(k, rng.randrange(9)) for k in ids]
+    table = spark.createDataFrame(values, "k bigint, v bigint").repartition(7)
+    for inclusive in (True, False):
+        out = ordering.running_total_of_ids(table, "k", "v", "total", inclusive, bits=6)
+        total, want = 0, {}
+        for k, v in values:
+            want[k] = total + (v if inclusive else 0)
+            total += v
+        assert {r.k: r.total for r in out.collect()} == want
+    assert ordering.running_total_of_ids(table.limit(0), "k", "v", "total").count() == 0
+
+
 @pytest.mark.parametrize("partitions", [1, 4, 64])
 def test_dense_index_and_running_total(spark, settings, partitions):
     settings({
