@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.scalar import with_prefix
 from clickloom.operators.encode import UNKNOWN_CATEGORY
 from clickloom.operators.joins import lookup
-from clickloom.session import cut_lineage
 
 # The description of the category that stands for "none given", and the
 # prefix that encoders expect before a passage.
@@ -22,6 +22,37 @@ PASSAGE = "passage: "
 NOT_A_WORD = "[^\\p{L}\\p{N}]+"
 
 
+def term_weights(df: DataFrame, ids: Sequence[str], column: str, dim: int = 256) -> DataFrame:
+    """`*ids`, `bucket`, `value`: hashed terms of whole texts as unit vectors, in long form.
+
+    A term is a run of letters and digits in lower case, its bucket the first 32 bits of its
+    md5 modulo `dim`. A value is the bucket's count times log((rows + 1) / (rows with it + 1)),
+    divided by the row's length. Only buckets that occur have a row; a text without terms, or
+    null, has none. `ids` must name each row, nulls allowed.
+    """
+    named = df.select(F.struct(*ids).alias("_id"), F.lower(F.coalesce(column, F.lit(""))).alias("_text"))
+    word = F.explode(F.array_remove(F.split("_text", NOT_A_WORD), "")).alias("_word")
+    bucket = F.pmod(F.conv(F.substring(F.md5("_word"), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+    counts = (
+        named.select("_id", word).select("_id", bucket.alias("bucket"))
+        .groupBy("_id", "bucket").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    one = F.lit(1).alias("_one")
+    rows = named.agg(F.count(F.lit(1)).alias("_rows")).select("*", one)
+    having = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("_having")).select("*", one)
+    rarity = having.join(rows, "_one").select(
+        "bucket", F.log((F.col("_rows") + 1) / (F.col("_having") + 1)).alias("_idf")
+    )
+    # at most `dim` rows, whatever the data
+    weighted = counts.join(F.broadcast(rarity), "bucket").select(
+        "_id", "bucket", (F.col("_n") * F.col("_idf")).alias("_w")
+    )
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy("_id")))
+    return weighted.select(
+        "_id.*", "bucket", F.coalesce(F.try_divide(F.col("_w"), norm), F.lit(0.0)).alias("value")
+    )
+
+
 def embed_texts(
     df: DataFrame,
     columns: dict[str, str],
@@ -32,37 +63,36 @@ def embed_texts(
 ) -> DataFrame:
     """Replace text columns by unit-length vectors of the whole texts.
 
-    Default: hashed term counts weighted by inverse document frequency. Texts are read
-    and tokenised once; only the sparse counts are checkpointed, because the document
-    frequencies need a pass over them before they can be weighted.
+    Default: the hashed terms of `term_weights`, as dense FLOAT vectors. The other columns
+    must name each row; nothing runs while the plan is made.
 
     With `make_encoder`, an external encoder gets the prefixed texts in batches (a string
     array in, a (batch, dim) float array out) and is loaded once per Python process;
     its vectors are normalised here.
     """
     keep = [c for c in df.columns if c not in columns]
-    if make_encoder is not None:
-        encode = predict_batch_udf(
-            make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
-        )
-        weighted = df.select(*keep, *[
-            array_to_vector(
-                encode(with_prefix(F.coalesce(c, F.lit("")), prefix)).cast("array<double>")
-            ).alias(f"_w{i}")
-            for i, c in enumerate(columns)
-        ])
-    else:
-        counts = df.select(*keep, *[
-            F.coalesce(c, F.lit("")).alias(f"_text{i}") for i, c in enumerate(columns)
-        ])
-        for i in range(len(columns)):
-            words = RegexTokenizer(inputCol=f"_text{i}", outputCol=f"_words{i}", pattern=NOT_A_WORD)
-            tf = HashingTF(inputCol=f"_words{i}", outputCol=f"_tf{i}", numFeatures=dim)
-            counts = tf.transform(words.transform(counts))
-        weighted = cut_lineage(counts.select(*keep, *[f"_tf{i}" for i in range(len(columns))]))
-        for i in range(len(columns)):
-            idf = IDF(inputCol=f"_tf{i}", outputCol=f"_w{i}").fit(weighted)
-            weighted = idf.transform(weighted)
+    if make_encoder is None:
+        out = df.select(F.struct(*keep).alias("_id"))
+        for c, to in columns.items():
+            entry = F.struct("bucket", "value")
+            lists = term_weights(df, keep, c, dim).groupBy(F.struct(*keep).alias("_id")).agg(
+                F.map_from_entries(F.collect_list(entry)).alias("_map")
+            )
+            dense = F.transform(
+                F.sequence(F.lit(0), F.lit(dim - 1)),
+                lambda b: F.coalesce(F.try_element_at("_map", b.cast("bigint")), F.lit(0.0)).cast("float"),
+            )
+            vectors = lists.select("_id", dense.alias(to))
+            zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
+            out = out.join(vectors, "_id", "left").withColumn(to, F.coalesce(to, zero))
+        return out.select("_id.*", *columns.values())
+    encode = predict_batch_udf(make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    weighted = df.select(*keep, *[
+        array_to_vector(
+            encode(with_prefix(F.coalesce(c, F.lit("")), prefix)).cast("array<double>")
+        ).alias(f"_w{i}")
+        for i, c in enumerate(columns)
+    ])
     for i in range(len(columns)):
         weighted = Normalizer(p=2.0, inputCol=f"_w{i}", outputCol=f"_unit{i}").transform(weighted)
     return weighted.select(*keep, *[

@@ -13,38 +13,68 @@ from clickloom.streaming import behaviors as stream
 DIM = 256
 
 
-def _norm(column):
-    return F.sqrt(F.aggregate(column, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+def _weights_sql(source, ids):
+    """Hashed-term weights of the texts of `source` (`*ids`, t), as rows of ids, bucket, x."""
+    names = ", ".join(ids)
+    return f"""(select {names}, bucket, round(w/nullif(sqrt(sum(w*w) over (partition by {names})),0),6)+0.0 x from (
+      select {names}, bucket, n*ln(((select count(*) from {source})+1.0::double)/(count(*) over (partition by bucket)+1)) w
+      from (select {names}, ('0x'||substr(md5(word),1,8))::bigint % {DIM} bucket, count(*) n
+        from (select {names}, unnest(regexp_split_to_array(lower(coalesce(t,'')), '[^\\p{{L}}\\p{{N}}]+')) word from {source})
+        where word<>'' group by all)))"""
 
 
-@query("text_embedding")
+_BODIES = "(select article_id, body t from articles)"
+_TITLES = """(select article_id, case when coalesce(subtitle,'')='' then coalesce(title,'')
+  else coalesce(title,'')||' '||subtitle end t from articles)"""
+_DESCRIBED = """(select category_str, cat_id, case when category_str='UNK' then
+  'General news content with no specific category.' else category_str end t from cat_dict)"""
+
+
+@query("text_embedding", f"select article_id, bucket, coalesce(x,0) x from {_weights_sql(_BODIES, ['article_id'])}")
 def text_embedding(log):
-    """Whole bodies of all articles."""
+    """Whole bodies of all articles, in long form."""
     rows = features.article_text(log.article_documents, None).select("article_id", "body")
-    return text.embed_texts(rows, {"body": "vector"}, DIM).select(
-        "article_id", big(F.size("vector"), "width"), r6(_norm("vector"), "norm")
-    )
+    return text.term_weights(rows, ["article_id"], "body", DIM).select("article_id", "bucket", r6("value", "x"))
 
 
 def _categories(log):
     return encode.category_dictionary(log.article_documents)
 
 
-@query("category_embedding")
+def _category_weights(log):
+    described = text.category_descriptions(_categories(log))
+    return text.term_weights(described, ["category_str", "cat_id"], "description", DIM)
+
+
+@query(
+    "category_embedding",
+    f"select category_str, cat_id, bucket, coalesce(x,0) x from {_weights_sql(_DESCRIBED, ['category_str', 'cat_id'])}",
+)
 def category_embedding(log):
-    return text.category_vectors(_categories(log), DIM).select(
-        "category_str", "cat_id", big(F.size("category_vector"), "width"), r6(_norm("category_vector"), "norm")
-    )
+    return _category_weights(log).select("category_str", "cat_id", "bucket", r6("value", "x"))
 
 
-@query("article_embedding_table")
+@query(
+    "article_embedding_table",
+    f"""select article_id, 'title' part, bucket, coalesce(x,0) x from {_weights_sql(_TITLES, ['article_id'])}
+    union all select article_id, 'body', bucket, coalesce(x,0) from {_weights_sql(_BODIES, ['article_id'])}
+    union all select article_id, 'category', bucket, coalesce(x,0) from articles a
+      join {_weights_sql(_DESCRIBED, ['category_str', 'cat_id'])} c on c.category_str=coalesce(a.category_str,'UNK')""",
+)
 def article_embedding_table(log):
+    """Title, body and category vectors of every article, in long form."""
     rows = features.article_text(log.article_documents, None)
-    out = text.embed_articles(rows, text.category_vectors(_categories(log), DIM), DIM)
-    return out.select(
-        "article_id", "category_str",
-        *[r6(_norm(v), v + "_norm") for v in ("title_vector", "body_vector", "category_vector")],
-    )
+    named = rows.select("article_id", "category_str")
+    parts = {
+        "title": text.term_weights(rows, ["article_id"], "full_title", DIM),
+        "body": text.term_weights(rows, ["article_id"], "body", DIM),
+        "category": named.join(_category_weights(log), "category_str"),
+    }
+    out = None
+    for part, weights in parts.items():
+        own = weights.select("article_id", F.lit(part).alias("part"), "bucket", r6("value", "x"))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 @query(
