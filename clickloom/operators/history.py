@@ -25,18 +25,30 @@ LIST_COLUMNS = (
 
 
 def explode_history(history: DataFrame) -> DataFrame:
-    """Four parallel lists to one row per item; a user without items keeps one null row."""
-    zipped = F.arrays_zip(*LIST_COLUMNS)
-    return history.select("user_id", F.posexplode_outer(zipped).alias("pos", "item")).select(
-        "user_id",
-        "pos",
-        F.col("item.article_id_fixed").alias("article_id"),
-        F.col("item.scroll_percentage_fixed").alias("scroll_percentage"),
-        F.col("item.read_time_fixed").alias("read_time"),
-        F.col("item.impression_time_fixed").alias("impression_time"),
+    """Four parallel lists to one row per item; a user without items keeps one null row.
+
+    The id list says how many items there are: a shorter list gives nulls at its end, and what
+    a longer one has beyond is left out (`misaligned_histories` counts such rows).
+    """
+    ids, *others = LIST_COLUMNS
+    names = ("article_id", "scroll_percentage", "read_time", "impression_time")
+    items = F.transform(ids, lambda x, i: F.struct(
+        x.alias("article_id"),
+        *[F.get(c, i).alias(n) for c, n in zip(others, names[1:], strict=True)],
+    ))
+    return history.select("user_id", F.posexplode_outer(items).alias("pos", "item")).select(
+        "user_id", "pos", *[F.col("item")[n].alias(n) for n in names]
     )
 
 
+def misaligned_histories(history: DataFrame) -> DataFrame:
+    """`n_rows` and, of those, `n_misaligned`: rows whose lists differ in length (null: 0)."""
+    sizes = [F.coalesce(F.size(F.col(c)), F.lit(0)) for c in LIST_COLUMNS]
+    sizes = [F.greatest(s, F.lit(0)) for s in sizes]
+    uneven = F.greatest(*sizes) != F.least(*sizes)
+    return history.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(uneven).alias("n_misaligned"))
+
+
 def clean_items(items: DataFrame) -> DataFrame:
     """Scroll in [0, 1] and read time with null and NaN as 0, log read time, epoch second."""
     ts = scalar.epoch_seconds(F.col("impression_time"), items.schema["impression_time"].dataType)

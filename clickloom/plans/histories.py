@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.functions import arrays
+from clickloom.functions import arrays, scalar
 from clickloom.operators import candidates, history, sampling
 from clickloom.operators.ordering import position_by_slice, running_total_of_ids
 from clickloom.operators.scoring import impression_features as impression_feature_rows
@@ -98,6 +98,43 @@ def history_explode(log):
     )
 
 
+def _uneven_lists(log):
+    """Last 30 reads as four lists; every third user's scrolls lack one, the next one's two."""
+    fields = ["article_id", "scroll_percentage", "read_time", "impression_time"]
+    raw = history.history_lists(log.history_items("validation"), "recent", LEN, clicklog.STORED, fields)
+    wide = raw.select("user_id", *[
+        history.field("hist", f).alias(c) for f, c in zip(fields, history.LIST_COLUMNS, strict=True)
+    ])
+    scroll = history.LIST_COLUMNS[1]
+    kept = F.greatest(F.size(scroll) - (F.col("user_id") % 3).cast("int"), F.lit(0))
+    return wide.withColumn(scroll, F.slice(scroll, F.lit(1), kept))
+
+
+@query(
+    "history_explode_lists",
+    """select user_id, pos::bigint pos, article_id, case when pos<n-user_id%3 then round(scroll_percentage,6) end scroll_percentage,
+      round(read_time,6)+0.0 read_time, round(t,6) ts
+    from (select *, count(*) over (partition by user_id) n from recent30_validation)""",
+)
+def history_explode_lists(log):
+    """Parallel lists of unequal lengths to items, aligned by the ids."""
+    items = history.explode_history(_uneven_lists(log))
+    ts = scalar.epoch_seconds(F.col("impression_time"), items.schema["impression_time"].dataType)
+    return items.select(
+        "user_id", big("pos", "pos"), "article_id", r6("scroll_percentage", "scroll_percentage"),
+        r6("read_time", "read_time"), r6(ts, "ts"),
+    )
+
+
+@query(
+    "misaligned_histories",
+    """select count(*) n_rows, count(*) filter (user_id%3>0) n_misaligned
+    from (select distinct user_id from recent30_validation)""",
+)
+def misaligned_histories(log):
+    return history.misaligned_histories(_uneven_lists(log))
+
+
 def _pad(log, side):
     fields = ["article_id", "scroll", "log_time"]
     wide = history.padded(lists(log, "train", "recent"), LEN, side, fields)

@@ -336,3 +336,18 @@ def dedupe_latest(log):
     rows = log.click_events().select("user_id", "article_id", "event_id", "ts", "value")
     last = latest_by(rows, ["user_id", "article_id"], ["ts", "event_id"])
     return last.select("user_id", "article_id", "event_id", r6("value", "value"))
+
+
+@query(
+    "last_row_wins",
+    """select user_id, article_id, event_id, round(value,6) as "value" from (select *, row_number() over
+      (partition by user_id, article_id order by event_id desc) rn from ev) where rn=1""",
+)
+def last_row_wins(log):
+    """Of rows with equal ids the last one in the file stays (here they lie by event id)."""
+    article = F.get_json_object("props", "$.k").cast("bigint")
+    rows = readers.with_scan_order(log.table("events")).withColumn("article_id", article)
+    narrow = rows.select("user_id", "article_id", "event_id", "value", *readers.SCAN_ORDER)
+    return readers.last_rows(narrow, ["user_id", "article_id"]).select(
+        "user_id", "article_id", "event_id", r6("value", "value")
+    )

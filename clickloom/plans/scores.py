@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from clickloom.functions import vectors
-from clickloom.operators import candidates, encode, features, history, profiles, ranker, scoring
+from clickloom.operators import candidates, encode, features, history, listwise, profiles, ranker, sampling, scoring
 from clickloom.operators.joins import lookup
 from clickloom.plans.histories import cut, lists
 from clickloom.plans.registry import big, query, r6
@@ -283,12 +284,55 @@ def external_model_scores(log):
 @query("learned_ranker")
 def learned_ranker(log):
     """Fit on sampled training candidates, score full validation lists."""
-    from clickloom.operators.sampling import sample_candidates
-
-    samples = sample_candidates(log.behaviors("train"), "cycled")
+    samples = sampling.sample_candidates(log.behaviors("train"), "cycled")
     train = feature_rows(log, "train", samples, ["impression_id"])
     model = ranker.fit_ranker(train)
     rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
     return ranker.score_ranker(model, rows).select(
         "impression_id", big("pos", "pos"), "article_id", big("label", "label"), r6("score", "score")
     )
+
+
+# Weights, means and scales at which `listwise_totals` takes the loss and its gradient.
+_AT = {"similarity": (1.5, 0.25, 0.5), "freshness": (-0.4, 4.0, 2.0), "norm_views": (0.3, 2.0, 1.0), "log_hist_len": (0.2, 3.0, 1.0)}
+
+
+@query(
+    "listwise_totals",
+    f"""select * from (with c as (select impression_id, pos, label, {", ".join(f"({c}-{m})/{s} as x{j}" for j, (c, (_, m, s)) in enumerate(_AT.items()))}
+        from ({_FEATURES})),
+      s as (select *, {"+".join(f"{w}*x{j}" for j, (w, _, _) in enumerate(_AT.values()))} score from c),
+      p as (select *, exp(score-max(score) over g)/sum(exp(score)) over g*exp(max(score) over g) share,
+        label/sum(label) over g target, row_number() over (partition by impression_id order by pos) rn,
+        ln(sum(exp(score)) over g) lse, sum(label) over g hits from s window g as (partition by impression_id)),
+      h as (select * from p where hits>0)
+    select 0 as "at", count(*) filter (rn=1)::double as value from h
+    union all select 1, round(sum(lse) filter (rn=1)-sum(target*score),3) from h
+    {" ".join(f"union all select {2 + j}, round(sum((share-target)*x{j}),3)+0.0 from h" for j in range(len(_AT)))})""",
+)
+def listwise_totals(log):
+    """Number of lists, list-wise loss and its gradient over all validation lists."""
+    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
+    lists = listwise.training_lists(rows, list(_AT))
+    weights, means, scales = zip(*_AT.values(), strict=True)
+    totals = listwise.list_totals(lists, np.array(weights), means, scales)
+    return totals.where(F.col("at") < 2 + len(_AT)).select("at", (F.round("value", 3) + F.lit(0.0)).alias("value"))
+
+
+@query(
+    "listwise_ranker",
+    """select impression_id, pos, article_id, clicked::bigint as label, 1::bigint finite, 1::bigint fitted
+    from bl_validation""",
+)
+def listwise_ranker(log):
+    """Fit on sampled training lists, score full validation lists: is every score a number, and
+    did the gradient of the training loss vanish?"""
+    samples = sampling.sample_candidates(log.behaviors("train"), "per_click")
+    train = feature_rows(log, "train", samples, ["impression_id", "positive"])
+    model = listwise.fit_listwise(train, keys=["impression_id", "positive"])
+    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
+    finite = ~F.isnan("score") & (F.abs("score") < float("inf"))
+    return listwise.score_listwise(model, rows).select(
+        "impression_id", big("pos", "pos"), "article_id", big("label", "label"),
+        big(F.coalesce(finite, F.lit(False)), "finite"), F.lit(int(model.gradient_norm < 1e-6)).cast("bigint").alias("fitted"),
+    )

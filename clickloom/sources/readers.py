@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import arrays
+from clickloom.operators.joins import lookup
 
 SPLIT_FOLDERS = {
     "train": ("train",),
@@ -33,14 +34,50 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -
     return df.select(*columns) if columns else df
 
 
+SCAN_ORDER = ("_file", "_index")  # a row's file, by name, and its number in there
+
+
+def with_scan_order(df: DataFrame) -> DataFrame:
+    """Add the place of every row in the files of a Parquet scan, as two columns that sort.
+
+    `df` is the scan itself. The place is the file's own: no partitioning changes it.
+    """
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+
+
+def last_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of rows with equal keys, the last in scan order; rows with a null key all stay.
+
+    `df` has the columns of `with_scan_order`, which are dropped. Keys are counted over narrow
+    rows first, and only those that repeat are looked up, so wide rows are never aggregated.
+    """
+    place, on = F.struct(*SCAN_ORDER), F.struct(*keys).alias("_on")
+    told = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(place).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    joined = lookup(df.withColumn("_on", on), told.where("_n > 1").select(on, "_last"), "_on")
+    latest = F.col("_last").isNull() | (place == F.col("_last"))
+    return joined.where(latest).drop("_on", "_last", *SCAN_ORDER)
+
+
+def scan_last(
+    spark: SparkSession, path: str, keys: Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Scan where a later row replaces an earlier one of the same keys."""
+    rows = with_scan_order(scan(spark, path))
+    return last_rows(rows.select(*columns, *SCAN_ORDER) if columns else rows, keys)
+
+
 def read_split(
-    spark: SparkSession, root: str, split: str, name: str, columns: Sequence[str] | None = None
+    spark: SparkSession, root: str, split: str, name: str, columns: Sequence[str] | None = None,
+    last_of: Sequence[str] = (),
 ) -> DataFrame | None:
-    """`<root>/<split folder>/<name>.parquet`, or None when the split has no such file."""
+    """`<root>/<split folder>/<name>.parquet`, or None when the split has no such file.
+
+    With `last_of`, a later row replaces an earlier one of the same values there.
+    """
     for folder in SPLIT_FOLDERS.get(split, (split,)):
         path = f"{root}/{folder}/{name}.parquet"
         if path_exists(spark, path):
-            return scan(spark, path, columns)
+            return scan_last(spark, path, last_of, columns) if last_of else scan(spark, path, columns)
     return None
 
 

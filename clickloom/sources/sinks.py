@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.sources.readers import path_exists
+from clickloom.sources.readers import SCAN_ORDER, path_exists
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -27,6 +27,19 @@ def fingerprint(*tables: DataFrame, **parameters) -> str:
     return " | ".join(parts)
 
 
+def file_fingerprint(*scans: DataFrame, **parameters) -> str:
+    """A text that changes with the files of Parquet scans (name, size, time) or with the
+    parameters. Only the files' footers are read."""
+    parts = [repr(sorted(parameters.items()))]
+    for df in scans:
+        files = df.select(*[F.col(f"_metadata.file_{c}") for c in ("path", "size", "modification_time")])
+        n, total = files.distinct().agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))
+        ).first()
+        parts.append(f"{df.schema.simpleString()} {n} files {total}")
+    return " | ".join(parts)
+
+
 def materialize(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (),
     stamp: str | None = None,
@@ -67,10 +80,21 @@ def submission_lines(ranked: DataFrame) -> DataFrame:
     )
 
 
-def write_submission(ranked: DataFrame, path: str, compression: str = "none") -> None:
-    """Text files of submission lines, written by the executors."""
-    lines = submission_lines(ranked).select(F.col("line").alias("value"))
-    lines.write.mode("overwrite").option("compression", compression).text(path)
+def write_submission(
+    ranked: DataFrame, path: str, compression: str = "none", order: DataFrame | None = None
+) -> None:
+    """Text files of submission lines, written by the executors.
+
+    `order` has `impression_id` and the columns of `readers.with_scan_order`: the files, by name
+    one after the other, then hold the lines in that order, an impression that occurs
+    several times as often as it does there. Without it the order is not defined.
+    """
+    lines = submission_lines(ranked)
+    if order is not None:  # a range sort: file k holds what comes before file k + 1
+        placed = lines.join(order.select("impression_id", *SCAN_ORDER), "impression_id")
+        lines = placed.orderBy(*SCAN_ORDER)
+    value = lines.select(F.col("line").alias("value"))
+    value.write.mode("overwrite").option("compression", compression).text(path)
 
 
 def embedding_table(embedded: DataFrame, index: DataFrame, width: int) -> DataFrame:

@@ -1,12 +1,15 @@
 """A raw folder end to end: preprocess, embed, sample, score, evaluate, submit."""
 
 import datetime as dt
+import os
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom import workflows
 from clickloom.operators import candidates, history, metrics, profiles, scoring
-from clickloom.sources import readers
+from clickloom.sources import readers, sinks
 
 T = dt.datetime(2024, 1, 2, 6)
 ARTICLES = [(30 + i, 100 + i % 2, None if i == 3 else f"c{i % 2}", f"title {i}", None, f"body {i} " * 400, T, 5 * i, i, 1.0 * i, 0.1)
@@ -86,3 +89,77 @@ def test_unchanged_inputs_are_read_back(spark, tmp_path):
     raw_folder(spark, raw)
     first = workflows.article_map(spark, raw, out).inputFiles()
     assert sorted(workflows.article_map(spark, raw, out).inputFiles()) == sorted(first)
+
+
+def test_fit_save_score_and_submit_in_input_order(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    raw_folder(spark, raw)
+    workflows.preprocess(spark, raw, out)
+    model = workflows.fit(spark, raw, out, dim=32)
+    assert model.gradient_norm < 1e-8
+    saved = (tmp_path / "out" / "ranker" / "_SUCCESS").stat().st_mtime_ns
+    assert workflows.fit(spark, raw, out, dim=32) == model
+    assert (tmp_path / "out" / "ranker" / "_SUCCESS").stat().st_mtime_ns == saved
+    scored = workflows.rank(spark, raw, out, "validation", dim=32)
+    assert scored.count() == 5 and scored.where("score is null or isnan(score)").count() == 0
+    assert metrics.evaluate(scored).first().n_impressions == 2
+    workflows.rank(spark, raw, out, "test", dim=32)
+    parts = sorted((tmp_path / "raw" / "test" / "behaviors.parquet").glob("part-*"))
+    order = [k for part in parts for k in pq.read_table(part).column("impression_id").to_pylist()]
+    assert [int(x.split(" ")[0]) for x in lines_in_order(f"{out}/test/submission")] == order
+
+
+def lines_in_order(folder):
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    return [x for f in parts for x in open(f"{folder}/{f}").read().splitlines()]
+
+
+@pytest.mark.parametrize("partitions", [1, 64])
+def test_submission_keeps_the_order_of_the_files(spark, tmp_path, settings, partitions):
+    settings({"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.enabled": "false"})
+    ids = [k * 7919 % 4001 for k in range(3000)]
+    for lo in range(0, 3000, 1000):
+        part = spark.createDataFrame([(k,) for k in ids[lo : lo + 1000]], "impression_id int").coalesce(1)
+        part.write.mode("append").parquet(f"{tmp_path}/in-{lo}")
+    found = spark.read.parquet(*[f"{tmp_path}/in-{lo}" for lo in range(0, 3000, 1000)])
+    order = readers.with_scan_order(found)
+    ranked = spark.createDataFrame([(k, p, 2 - p) for k in ids for p in range(2)], "impression_id int, pos int, rank int")
+    sinks.write_submission(ranked, f"{tmp_path}/out", order=order)
+    assert lines_in_order(f"{tmp_path}/out") == [f"{k} [2,1]" for k in ids]
+
+
+def test_the_last_row_of_an_id_wins_on_read(spark, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    rows = [(k % 40, None if k % 40 == 7 else k % 3, [k]) for k in range(900)]
+    spark.createDataFrame(rows, "a int, b int, x array<int>").coalesce(1).write.parquet(path)
+    want = {}
+    for a, b, x in rows:
+        want[(a, b) if b is not None else (a, tuple(x))] = (a, b, tuple(x))
+    got = readers.scan_last(spark, path, ["a", "b"]).collect()
+    assert sorted(map(repr, ((r.a, r.b, tuple(r.x)) for r in got))) == sorted(map(repr, want.values()))
+    narrow = readers.scan_last(spark, path, ["a"], ["a", "b"])
+    assert narrow.columns == ["a", "b"] and narrow.count() == 40
+
+
+def test_history_cut_is_built_once_per_state_of_the_files(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    raw_folder(spark, raw)
+    first = workflows.history_cut(spark, raw, out, "train")
+    files = sorted(first.inputFiles())
+    assert {r.user_id: [x.article_id for x in r.hist] for r in first.collect()}[1] == [30, 31, 99]
+    assert sorted(workflows.history_cut(spark, raw, out, "train").inputFiles()) == files
+    more = spark.createDataFrame([(50, [33, 34], [1.0, 2.0], [1.0, 2.0], [T, T])], HISTORY_SCHEMA)
+    more.write.mode("append").parquet(f"{raw}/train/history.parquet")
+    again = workflows.history_cut(spark, raw, out, "train")
+    assert again.where("user_id = 50").count() == 1 and sorted(again.inputFiles()) != files
+
+
+def test_uneven_lists_are_aligned_by_ids_and_counted(spark):
+    t = dt.datetime(2024, 1, 2, 6)
+    wide = spark.createDataFrame(
+        [(1, [5, 6], [1.0], [1.0, 2.0, 3.0], [t, t]), (2, None, [1.0], None, None), (3, [7], [1.0], [2.0], [t]), (4, [], [], [], [])],
+        HISTORY_SCHEMA,
+    )
+    got = sorted((r.user_id, -1 if r.pos is None else r.pos, r.article_id, r.scroll_percentage) for r in history.explode_history(wide).collect())
+    assert got == [(1, 0, 5, 1.0), (1, 1, 6, None), (2, -1, None, None), (3, 0, 7, 1.0), (4, -1, None, None)]
+    assert tuple(history.misaligned_histories(wide).first()) == (4, 2)
