@@ -1,7 +1,8 @@
 """Token ids of whole texts by a byte-level BPE file of the `tokenizers` library.
 
-The ids are those that `tokenizers` gives. Where a text has no very long run without (or
-of) white space, they are computed by `tiktoken` from the ranks of the same file, which
+The ids are those that `tokenizers` gives by the file's defaults: a text that spells a control
+token has that token's id there. Where a text spells none and has no very long run without
+(or of) white space, they are computed by `tiktoken` from the ranks of the same file, which
 merges in the same order several times faster; tests hold both to the same ids.
 """
 
@@ -34,11 +35,10 @@ class Tokenizer:
         import tokenizers
 
         self.full = tokenizers.Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True  # a text that spells a control token is text
         octets = _octets()
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        control = {t["content"] for t in content["added_tokens"]}
+        self.control = control = [t["content"] for t in content["added_tokens"]]
         ranks = {
             bytes(octets[c] for c in token): rank
             for token, rank in content["model"]["vocab"].items() if token not in control
@@ -49,7 +49,8 @@ class Tokenizer:
 
     def ids(self, text: str) -> np.ndarray:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
-        if _LONG.search(text):  # merging by rank takes time in the square of a run
+        spelled = any(token in text for token in self.control)  # they have ids of their own
+        if spelled or _LONG.search(text):  # merging by rank takes time in the square of a run
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
         return self.quick.encode_to_numpy(text).astype("<u4", copy=False)
 

@@ -14,15 +14,16 @@ from .helpers import awkward, prose, table
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", "a", " a", "a ", "a  b", "\n", "a\n b", "a \nb", "it's we'll 's 'll don't", "x　y", "a\tb", "   x",
-    "<|endoftext|> x <|endoftext|>", "1 2 3.5 a1b2", "é ü 漢字 𝔘", "a" * 5000 + " " * 900 + "b", "\x85  x",
+    "<|endoftext|> x <|endoftext|>", "hello<|endoftext|>world", " <|endoftext|>  y", "<|endoftext| >", "a" * 900 + "<|endoftext|>", "1 2 3.5 a1b2", "é ü 漢字 𝔘", "a" * 5000 + " " * 900 + "b", "\x85  x",
     "a\x1cb", "!!!??--==", " \n\n  \t", "a\r\n\r\nb", "'S 'LL", "  a",
 ]
 
 
+FULL = tokenizers.Tokenizer.from_file(PATH)
+
+
 def reference(text):
-    full = tokenizers.Tokenizer.from_file(PATH)
-    full.encode_special_tokens = True
-    return full.encode(text, add_special_tokens=False).ids
+    return FULL.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_are_those_of_the_tokenizers_library():
