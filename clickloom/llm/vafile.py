@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickloom.session import stage
+from clickloom.session import stage, with_row_id
 
 SCALE = 256
 CELL = 8  # width of a cell, in whole units of the vectors; a power of two
@@ -84,7 +84,7 @@ class QueryBlock:
         for dim in {len(r["exact"]) for r in rows}:
             mine = [r for r in rows if len(r["exact"]) == dim]
             self.sides[dim] = (
-                np.array([r["query_id"] for r in mine], np.int64),
+                np.array([r["_query"] for r in mine], np.int64),
                 np.array([r["exact"] for r in mine], np.float64),
             )
 
@@ -107,9 +107,9 @@ class QueryBlock:
 
 
 def floors(cells: DataFrame, block: QueryBlock, k: int) -> DataFrame:
-    """`query_id`, `floor`: the (k+1)-th best lower bound over all entries, if so many.
+    """`_query`, `floor`: the (k+1)-th best lower bound over all entries, if so many.
 
-    One more than k, since the query itself is among the rows.
+    One more than k, since the query's own row is among the rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,18 +128,18 @@ def floors(cells: DataFrame, block: QueryBlock, k: int) -> DataFrame:
         for dim, held in best.items():
             ids = np.tile(block.sides[dim][0], len(held))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(held.ravel())], names=["query_id", "low"]
+                [pa.array(ids), pa.array(held.ravel())], names=["_query", "low"]
             )
 
-    lows = cells.mapInArrow(run, "query_id bigint, low double")
+    lows = cells.mapInArrow(run, "_query bigint, low double")
     ranked = lows.withColumn("_rank", F.row_number().over(
-        W.partitionBy("query_id").orderBy(F.col("low").desc())
+        W.partitionBy("_query").orderBy(F.col("low").desc())
     ))
-    return ranked.where(F.col("_rank") == k + 1).select("query_id", F.col("low").alias("floor"))
+    return ranked.where(F.col("_rank") == k + 1).select("_query", F.col("low").alias("floor"))
 
 
 def near(cells: DataFrame, block: QueryBlock, floor: dict[int, float]) -> DataFrame:
-    """`query_id`, `_entry`, `upper` of the entries whose upper bound reaches the floor."""
+    """`_query`, `_entry`, `upper` of the entries whose upper bound reaches the floor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,9 +155,9 @@ def near(cells: DataFrame, block: QueryBlock, floor: dict[int, float]) -> DataFr
                     yield pa.RecordBatch.from_arrays([
                         pa.array(ids[query]), part.column("_entry").take(pa.array(row)),
                         pa.array(high[row, query]),
-                    ], names=["query_id", "_entry", "upper"])
+                    ], names=["_query", "_entry", "upper"])
 
-    return cells.mapInArrow(run, "query_id bigint, _entry bigint, upper double")
+    return cells.mapInArrow(run, "_query bigint, _entry bigint, upper double")
 
 
 def products(rows: np.ndarray, query: np.ndarray) -> list[int]:
@@ -172,7 +172,7 @@ def _refine(k: int):
     """Read candidates in the order of their upper bounds until the k-th is certain."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        query = key[0].as_py()
+        query = table.column("query_id")[0].as_py()
         upper = table.column("upper").to_numpy()
         order = np.argsort(-upper, kind="stable")
         mine = np.array(table.column("query")[0].as_py(), np.int64)
@@ -182,9 +182,12 @@ def _refine(k: int):
             if kth is not None and -kth > upper[order[lo]]:
                 break
             part = table.take(pa.array(order[lo : lo + 64]))
-            scores = products(_rows(part.column("exact").combine_chunks(), np.int64), mine)
-            for score, ids in zip(scores, part.column("ids").to_pylist(), strict=True):
-                found += [(-score, i) for i in ids if i != query]
+            exact = _rows(part.column("exact").combine_chunks(), np.int64)
+            own = (exact == mine).all(axis=1)
+            for score, ids, same in zip(products(exact, mine), part.column("ids").to_pylist(), own, strict=True):
+                if same and query in ids:
+                    ids.remove(query)  # one row: its own
+                found += [(-score, i) for i in ids]
             found = sorted(found)[:k]
         return pa.table({
             "query_id": pa.array([query] * len(found), pa.int64()),
@@ -201,22 +204,22 @@ def top_k(
 ) -> DataFrame:
     """The k rows of largest inner product for every query: `query_id`, `rank`, `vec_id`, `score`.
 
-    Both tables have `vec_id` and `exact` (whole numbers); a query's own id is no result.
-    Ties go to the smaller id. A query meets the rows of its own dimension; it gets all of
-    them where they are fewer than k. Repeated rows of one id and vector count once. Rows
-    without id take no part. Empty tables give an empty result. A result whose score no
-    BIGINT holds is an error.
+    Both tables have `vec_id` and `exact` (whole numbers). A row of `queries` is a query of its
+    own, also where an id repeats; its own row (one row of its id and vector) is no result, every
+    other row is. Ties go to the smaller id. A query meets the rows of its own dimension; it
+    gets all of them where they are fewer than k. Rows without id take no part, other columns
+    are not read. Empty tables give an empty result. A result whose score no BIGINT holds is
+    an error.
     """
     spark = vectors.sparkSession
-    given = vectors.where(F.col("vec_id").isNotNull()).select("vec_id", "exact").distinct()
+    given = vectors.where(F.col("vec_id").isNotNull()).select("vec_id", "exact")
     file = stage(entries(given, k), "cells")
     cells = file.select("_entry", "dim", "cells")
-    asked = stage(
-        queries.where(F.col("vec_id").isNotNull())
-        .select(F.col("vec_id").alias("query_id"), "exact").distinct(), "queries"
-    )
+    asked = with_row_id(stage(
+        queries.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").alias("query_id"), "exact"), "queries"
+    ), "_query")
     blocks = max(1, -(-asked.count() // block))
-    dealt = asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    dealt = asked.withColumn("_block", F.pmod(F.xxhash64("_query"), F.lit(blocks)))
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     results = []
     for number in range(blocks):  # a bounded set of queries against all rows
@@ -225,9 +228,9 @@ def top_k(
         floor = {r[0]: r[1] for r in floors(cells, held, k).collect()}  # a number per query
         close = near(cells, held, floor)
         read = close.join(file.select("_entry", "exact", "ids"), "_entry")
-        paired = read.join(mine.withColumnRenamed("exact", "query"), "query_id")
+        paired = read.join(mine.withColumnRenamed("exact", "query"), "_query")
         results.append(stage(
-            paired.groupBy("query_id").applyInArrow(_refine(k), schema), "found"
+            paired.groupBy("_query").applyInArrow(_refine(k), schema), "found"
         ))
     if not results:
         return spark.createDataFrame([], schema)

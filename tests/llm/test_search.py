@@ -9,21 +9,31 @@ def run(spark, rows, every=7, k=5, block=4096):
     usable = given.where(vafile.usable(F.col("embedding")))
     vectors = usable.select("vec_id", vafile.whole_numbers(F.col("embedding")).alias("exact"))
     found = vafile.top_k(vectors, vectors.where(F.col("vec_id") % every == 0), k, block)
-    return [tuple(r) for r in found.orderBy("query_id", "rank").collect()]
+    return sorted(tuple(r) for r in found.collect())
 
 
 def brute(rows, every=7, k=5):
-    clean = {}
-    for i, e, _ in rows:
-        if i is not None and e and all(x is not None and np.isfinite(x) for x in e):
-            clean[i] = np.floor(256 * np.array(e, np.float32).astype(float)).astype(int)
+    """Every query row against every other row, repeats included."""
+    clean = [
+        (i, np.floor(256 * np.array(e, np.float32).astype(float)).astype(int)) for i, e, _ in rows
+        if i is not None and e and all(x is not None and np.isfinite(x) for x in e)
+    ]
     out = []
-    for q in sorted(i for i in clean if i % every == 0):
-        scored = sorted(
-            (-int(clean[q] @ clean[c]), c) for c in clean if c != q and len(clean[c]) == len(clean[q])
-        )[:k]
-        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scored)]
-    return out
+    for n, (q, mine) in enumerate(clean):
+        if q % every == 0:
+            scored = sorted(
+                (-int(mine @ e), c) for m, (c, e) in enumerate(clean) if m != n and len(e) == len(mine)
+            )[:k]
+            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
+    return sorted(out)
+
+
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    rows = [(0, [10.0, 0.0], 0), (0, [0.0, 10.0], 0), (1, [5.0, 1.0], 0), (2, [1.0, 7.0], 0), (3, [3.0, 3.0], 0)]
+    assert run(spark, rows) == brute(rows)
+    again = rows + rows[:2] + [(7, [5.0, 1.0], 0)] * 9 + [(14, [5.0, 1.0], 0)] * 2
+    assert run(spark, again) == brute(again)
+    assert run(spark, again, block=2) == brute(again)
 
 
 def test_exact_on_random_vectors_in_blocks(spark):
