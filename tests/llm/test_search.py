@@ -70,7 +70,7 @@ def test_bounds_hold_where_doubles_round():
     rng = np.random.default_rng(6)
     exact = rng.integers(-(2**58), 2**58, (200, 4))
     asked = rng.integers(-(2**58), 2**58, (5, 4))
-    block = vafile.QueryBlock([{"query_id": n, "exact": e.tolist()} for n, e in enumerate(asked)])
+    block = vafile.QueryBlock([{"_query": n, "exact": e.tolist()} for n, e in enumerate(asked)])
     low, high = block.bounds(4, (exact >> 3).astype(np.float64))
     for n, query in enumerate(asked):
         scores = vafile.products(exact, query)
