@@ -7,10 +7,12 @@ whole text are folded into a few features, and their thresholds and the final sc
 calibrated by a logistic fit.
 
 Most of a toxic text is ordinary text. The toxic dictionary therefore continues the
-ordinary one by the passages of toxic samples that ordinary samples do not explain.
+ordinary one, which zstandard trains, by the passages of toxic samples that ordinary
+samples do not explain.
 
 The fit uses a bounded sample of the labelled rows: `SAMPLE` documents of each class, the
-ones with the smallest hash of their id. Scoring covers every text in full.
+ones with the smallest hash of their id, and of a document of more than `SAMPLE_BYTES`
+evenly spaced parts of `PART` bytes. Scoring covers every text in full.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -31,15 +34,23 @@ from clickloom.llm.names import fresh
 from clickloom.session import with_row_id
 
 SAMPLE = 3000  # documents of each class that the fit may read
-SAMPLE_BYTES = 64 << 10  # longer documents are not used for the fit
+SAMPLE_BYTES = 64 << 10  # and so many bytes of each, in evenly spaced parts
+PART = 4 << 10
+GROUND = 20000  # pieces of 256 bytes that the ordinary dictionary is trained on, about
 ORDINARY = 16 << 10  # bytes of the ordinary dictionary; the toxic one continues it
 OWN = 4 << 10  # and at most so many of its own
 WINDOW = 64  # bytes
 STEP = 52
-LEVEL = 3
-GRAM = 5
-RARE = 100  # and one toxic document in so many has it, at least
-ODDS = 20  # a tell-tale gram is so many times as frequent in toxic text
+LEVEL = 9
+GRAM = 6
+PER_TEXT = 16  # one text counts a gram at most so often
+RARE = 50  # one toxic document in so many has a tell-tale gram, at least
+LEAST = 4  # and at least so many documents
+ODDS = 20  # it is so many times as frequent in toxic bytes
+MORE = 8  # bytes by which a passage grows while most of its occurrences agree on the next
+AGREE = 0.6
+EDGES = (0.97, 0.99, 0.995, 0.998, 0.999, 0.9995, 0.9999)  # quantiles of ordinary windows
+_TAIL = b" " * 16  # zstandard does not index the last bytes of a dictionary
 _BLOCK = 4 << 20
 
 
@@ -65,10 +76,10 @@ class _Scales:
         plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.sides = [
             zstandard.ZstdCompressor(
-                dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                dict_data=zstandard.ZstdCompressionDict(d + _TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
                 compression_params=zstandard.ZstdCompressionParameters.from_level(LEVEL, **plain),
             )
-            for d in (toxic or b" ", ordinary or b" ")
+            for d in (toxic, ordinary)
         ]
 
     def advantage(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -99,16 +110,14 @@ def advantages(texts: list[bytes], scales: _Scales) -> tuple[np.ndarray, np.ndar
     return scales.advantage(b"".join(texts), starts, ends), owner
 
 
-FEATURES = 7
+FEATURES = 4 + 2 * len(EDGES)
 
 
 def features(texts: list[bytes], scales: _Scales, edges: np.ndarray) -> np.ndarray:
-    """Per text: the three largest window advantages, how many windows pass each
-    calibrated threshold, and the mean; zeros for an empty text."""
+    """Per text: the three largest window advantages, the mean, and for each calibrated
+    threshold how many windows, and which share of them, pass; an empty text has no window."""
     gain, owner = advantages(texts, scales)
     out = np.zeros((len(texts), FEATURES))
-    if not len(gain):
-        return out
     order = np.lexsort((-gain, owner))
     ranked, whose = gain[order], owner[order]
     count = np.bincount(owner, minlength=len(texts))
@@ -117,35 +126,62 @@ def features(texts: list[bytes], scales: _Scales, edges: np.ndarray) -> np.ndarr
     for k in range(3):
         at = place == k
         out[whose[at], k] = np.maximum(ranked[at], 0)
+    out[:, 3] = np.bincount(owner, gain, len(texts)) / np.maximum(count, 1)
     for k, edge in enumerate(edges):
         hits = np.bincount(owner, gain >= edge, len(texts))
-        out[:, 3 + k] = np.log1p(hits)
-    out[:, 6] = np.bincount(owner, gain, len(texts)) / np.maximum(count, 1)
+        out[:, 4 + 2 * k] = np.log1p(hits)
+        out[:, 5 + 2 * k] = np.log((hits + 0.3) / (count + 10))
     return out
 
 
-def _grams(text: bytes) -> set[bytes]:
-    return {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
+def _grams(text: bytes) -> Iterator[bytes]:
+    return (text[i : i + GRAM] for i in range(len(text) - GRAM + 1))
 
 
-def _tell_tale(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Passages of the toxic samples that ordinary samples do not explain.
-
-    A byte gram within a word (with the blank before or after it) that is far more frequent
-    among toxic documents than among ordinary ones belongs to such a passage; the passages,
-    without what surrounds them, are the samples for the toxic dictionary's own part.
+@dataclass
+class _Evidence:
+    """Of some texts: their bytes and number, and of each gram within a word (with the blank
+    before or after it) its occurrences, at most `PER_TEXT` of a text, and documents."""
+
+    size: int
+    texts: int
+    grams: Counter
+    documents: Counter
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> _Evidence:
+        grams, documents = Counter(), Counter()
+        for text in texts:
+            mine = Counter(g for g in _grams(text) if b" " not in g[1:-1] and b"\n" not in g[1:-1])
+            documents.update(mine.keys())
+            for gram, n in mine.items():
+                grams[gram] += min(n, PER_TEXT)
+        return cls(sum(map(len, texts)), len(texts), grams, documents)
+
+    def __add__(self, other: _Evidence) -> _Evidence:
+        return _Evidence(
+            self.size + other.size, self.texts + other.texts,
+            self.grams + other.grams, self.documents + other.documents,
+        )
+
+
+def _tell_tale(texts: list[bytes], toxic: _Evidence, ordinary: _Evidence) -> Counter:
+    """Passages of the toxic texts that ordinary samples do not explain, with how often they occur.
+
+    A gram that occurs far more often in toxic bytes than in ordinary ones belongs to such
+    a passage. Occurrences count, not documents alone: what ordinary texts hold once by
+    chance, toxic ones repeat. A passage then grows while most of its occurrences go on alike.
     """
-    seen = [Counter(g for t in side for g in _grams(t)) for side in (toxic, ordinary)]
-    least = max(4, len(toxic) // RARE)
-    ratio = len(toxic) / max(len(ordinary), 1)
+    ratio = toxic.size / max(ordinary.size, 1)
+    least = max(LEAST, toxic.texts / RARE)
     odd = {
-        g for g, n in seen[0].items()
-        if n >= least and n > ODDS * ratio * (seen[1].get(g, 0) + 1)
-        and b" " not in g[1:-1] and b"\n" not in g[1:-1]
+        g for g, n in toxic.grams.items()
+        if toxic.documents[g] >= least and n > ODDS * ratio * (ordinary.grams.get(g, 0) + 1)
     }
-    out = []
-    for text in toxic:
-        at = 0
+    following: dict[bytes, Counter] = {}
+    documents: Counter = Counter()
+    for text in texts:
+        at, mine = 0, Counter()
         while at < len(text):
             if text[at : at + GRAM] not in odd:
                 at += 1
@@ -153,11 +189,35 @@ def _tell_tale(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
             end = at + 1
             while text[end : end + GRAM] in odd:
                 end += 1
-            out.append(text[at : end + GRAM - 1])
+            end += GRAM - 1
+            passage = text[at:end]
+            mine[passage] += 1
+            if mine[passage] <= PER_TEXT:
+                following.setdefault(passage, Counter())[text[end : end + MORE]] += 1
             at = end
+        documents.update(mine.keys())
+    out: Counter = Counter()
+    for passage, rests in following.items():
+        if documents[passage] >= least:
+            out[passage + _agreed(passage, rests)] += rests.total()
     return out
 
 
+def _agreed(passage: bytes, rests: Counter) -> bytes:
+    """The bytes, to the end of the word, on which at least `AGREE` of the occurrences agree."""
+    grown, total = b"", rests.total()
+    while len(grown) < MORE and not (passage + grown).endswith(b" "):
+        following: Counter = Counter()
+        for rest, n in rests.items():
+            if rest.startswith(grown) and len(rest) > len(grown):
+                following[rest[len(grown) : len(grown) + 1]] += n
+        byte, n = max(following.items(), key=lambda kv: (kv[1], kv[0]), default=(b"", 0))
+        if n < AGREE * total:
+            break
+        grown += byte
+    return grown
+
+
 def _trained(samples: list[bytes], size: int) -> bytes:
     """Content of a zstandard dictionary trained on the samples, most useful parts last.
 
@@ -170,12 +230,12 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(s for s, _ in reversed(common))[-size:]
 
 
-def _covering(passages: list[bytes], size: int) -> bytes:
+def _covering(passages: Counter, size: int) -> bytes:
     """Passages, frequent ones first, that add byte grams; the first one comes last."""
     chosen, seen, left = [], set(), size
-    for passage, _ in Counter(passages).most_common():
-        grams = _grams(passage)
-        if grams <= seen or len(passage) > left:
+    for passage, _ in sorted(passages.items(), key=lambda kv: (-kv[1], kv[0])):
+        grams = set(_grams(passage))
+        if (grams and grams <= seen) or len(passage) > left:
             continue
         seen |= grams
         chosen.append(passage)
@@ -183,39 +243,60 @@ def _covering(passages: list[bytes], size: int) -> bytes:
     return b"".join(reversed(chosen))
 
 
+def _dictionaries(
+    toxic: list[bytes], ordinary: list[bytes], seen: tuple[_Evidence, _Evidence]
+) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary, of one length."""
+    marks = _tell_tale(toxic, *seen)
+    if not marks:  # too few samples to tell: their words
+        marks = Counter(b" " + w + b" " for t in toxic for w in t.split())
+    pieces = [s for t in ordinary for s in _pieces(t)]
+    ground = _trained(pieces[:: max(1, len(pieces) // GROUND)], ORDINARY)
+    own = _covering(marks, OWN)
+    return ground + own, ground + bytes(len(own))
+
+
+def _rising(quantiles: np.ndarray) -> np.ndarray:
+    """Thresholds above the quantiles; where few windows gain anything, at least a byte apart."""
+    steps = np.arange(len(quantiles))
+    return np.maximum.accumulate(np.maximum(np.floor(quantiles) + 1, 1) - steps) + steps
+
+
 def fit(toxic: list[bytes], ordinary: list[bytes], share: float | None = None) -> ToxicityModel:
     """Train both dictionaries and calibrate thresholds and score.
 
-    Half of each class trains the dictionaries, the other half calibrates, so that the
-    thresholds are not fitted to texts that a dictionary has seen. `share` is the share of
-    toxic documents that the score assumes, by default that of the samples.
+    Thresholds and weights are fitted crosswise: each half of the samples is measured with
+    the dictionaries of the other half, so none is fitted to texts that its dictionary has
+    seen. The final dictionaries come from all samples. `share` is the share of toxic
+    documents that the score assumes, by default that of the samples.
     """
-    blank = ToxicityModel(b"", b"", np.array([1e9] * 3), np.zeros(FEATURES), np.ones(FEATURES),
+    blank = ToxicityModel(b"", b"", np.full(len(EDGES), 1e9), np.zeros(FEATURES), np.ones(FEATURES),
                           np.append(np.zeros(FEATURES), -4.0))
     if len(toxic) < 4 or len(ordinary) < 4:
         return blank
-    train, tune = (toxic[::2], ordinary[::2]), (toxic[1::2], ordinary[1::2])
-    marks = _tell_tale(*train)
-    if not marks:
-        marks = [b" " + w + b" " for t in train[0] for w in t.split()]
-    ground = _trained([s for t in train[1] for s in _pieces(t)], ORDINARY)
-    own = _covering(marks, OWN)
-    model = ToxicityModel(
-        ground + own, ground + bytes(len(own)), blank.edges, blank.mean, blank.scale, blank.weights
-    )
-    scales = _Scales(model.toxic, model.ordinary)
-    gain, _ = advantages(tune[1], scales)
-    model.edges = np.quantile(gain, [0.99, 0.9995, 0.99999]) + 1 if len(gain) else blank.edges
-    x = features(tune[0] + tune[1], scales, model.edges)
-    y = np.append(np.ones(len(tune[0])), np.zeros(len(tune[1])))
-    model.mean = x.mean(0)
+    halves = [(toxic[k::2], ordinary[k::2]) for k in range(2)]
+    seen = [(_Evidence.of(t), _Evidence.of(o)) for t, o in halves]
+    crossed = [_Scales(*_dictionaries(*halves[1 - k], seen[1 - k])) for k in range(2)]
+    gain = np.concatenate([advantages(o, scales)[0] for (_, o), scales in zip(halves, crossed, strict=True)])
+    edges = _rising(np.quantile(gain, EDGES)) if len(gain) else blank.edges
+    x = np.vstack([features(t + o, scales, edges) for (t, o), scales in zip(halves, crossed, strict=True)])
+    y = np.concatenate([np.repeat([1.0, 0.0], [len(t), len(o)]) for t, o in halves])
     spread = x.std(0)
-    model.scale = np.where(spread > 1e-9, spread, 1.0)
+    mean, scale = x.mean(0), np.where(spread > 1e-9, spread, 1.0)
     rate = y.mean() if share is None else share
     weight = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
-    z = np.clip((x - model.mean) / model.scale, -8, 8)
-    model.weights = learning.logistic(z, y, 1e-3, weight=weight)
-    return model
+    weights = learning.logistic(np.clip((x - mean) / scale, -8, 8), y, 1e-3, weight=weight)
+    both = seen[0][0] + seen[1][0], seen[0][1] + seen[1][1]
+    return ToxicityModel(*_dictionaries(toxic, ordinary, both), edges, mean, scale, weights)
+
+
+def sampled(text: bytes) -> bytes:
+    """A text of up to `SAMPLE_BYTES`; of a longer one evenly spaced parts."""
+    parts = SAMPLE_BYTES // PART
+    if len(text) <= SAMPLE_BYTES:
+        return text
+    starts = np.linspace(0, len(text) - PART, parts).astype(int).tolist()
+    return b"\n".join(text[a : a + PART] for a in starts)
 
 
 def _pieces(text: bytes, size: int = 256) -> list[bytes]:
@@ -223,7 +304,7 @@ def _pieces(text: bytes, size: int = 256) -> list[bytes]:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, folds: int, held: int, sample: int) -> DataFrame:
-    """`y`, `text` of at most `sample` documents of each class.
+    """`y`, lower-cased bytes `text` (see `sampled`) of at most `sample` documents of each class.
 
     The ids are chosen from the labels alone, by hash; at most 2 * `sample` ids are
     broadcast, and one text per id is taken.
@@ -233,11 +314,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, folds: int, held: int, s
     chosen = known.where("y = 1").orderBy(ranked).limit(sample).unionByName(
         known.where("y = 0").orderBy(ranked).limit(sample)
     )
-    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where(
-        F.octet_length("text").between(1, SAMPLE_BYTES)
-    )
+    @F.pandas_udf("binary")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sampled(t.lower().encode()))
+
+    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text <> ''")
     return (
         texts.join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", "y", cut("text").alias("text"))
         .groupBy("doc_id", "y").agg(F.min("text").alias("text"))
         .orderBy(F.xxhash64("doc_id"))
         .select("y", "text")
@@ -250,7 +334,7 @@ def fit_toxicity(
     rows = training_sample(docs, labels, folds, held, sample).toLocalIterator()
     sides: tuple[list, list] = ([], [])
     for y, text in rows:  # at most 2 * sample texts of SAMPLE_BYTES
-        sides[y].append(text.encode().lower())
+        sides[y].append(bytes(text))
     known = learning.learning_labels(labels, "toxic", folds, held)
     return fit(sides[1], sides[0], known.agg(F.avg("y")).first()[0])
 
@@ -269,7 +353,7 @@ def with_toxicity(
             while at < batch.num_rows:
                 to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + _BLOCK)))
                 part = batch.slice(at, to - at)
-                texts = [(t or "").encode().lower() for t in part.column(part.num_columns - 1).to_pylist()]
+                texts = [(t or "").lower().encode() for t in part.column(part.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(model.scores(texts))],
                     names=[*keep, name],
