@@ -171,7 +171,7 @@ def mix_plan(
     )
     open_rows = counted.where((F.col("_part") > 0) & (F.col("size") > 0)).select(
         "_row", "_source",
-        F.pmod(F.col("_order"), F.ceil(F.col("n") / LEAF)).alias("_leaf"), "_order", "size",
+        F.pmod(F.xxhash64("_order", "_row"), F.ceil(F.col("n") / LEAF)).alias("_leaf"), "_order", "size",
         (F.col("_part") * F.col("size")).alias("mass"),
     )
     most_rows = targets.agg(F.max("n")).first()[0] or 0

@@ -72,6 +72,25 @@ def test_mixed_rows(spark, tmp_path):
     assert counts == {k: c for k, c in plan.items() if c}
 
 
+def test_equal_rows_share_no_leaf(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAF", 50)
+    largest = []
+    tree = mixing.round_tree
+
+    def watched(rows, leaves):
+        largest.append(rows.groupBy("_source", "_leaf").count().agg({"count": "max"}).first()[0])
+        return tree(rows, leaves)
+
+    monkeypatch.setattr(mixing, "round_tree", watched)
+    rows = [(7 if k % 3 else None, "one and the same text", "en", "a", 0) for k in range(1500)]
+    rows += [(k, prose(k, 20), "en", "b", 0) for k in range(1500, 1600)]
+    got = mixing.mix_plan(table(spark, str(tmp_path / "d"), rows)).collect()
+    assert len(got) == 1600 and max(largest) <= 150
+    target = {r["source_size"]: r["target"] for r in got}
+    for size, want in target.items():
+        assert abs(sum(r["taken"] for r in got if r["source_size"] == size) - want) <= 1
+
+
 def test_awkward_rows(spark, tmp_path):
     docs = awkward(spark, str(tmp_path / "d"))
     got = mixing.mix_plan(docs).collect()
