@@ -1,8 +1,9 @@
 """Secret scans with corpus-wide ownership, in DataFrame and SQL functions only.
 
 Candidates are found by pattern in whole texts. Their values are hashed and counted over
-the corpus by distinct repositories and distinct owners: a value that several owners have
-is a copied example, a value of one owner that looks random is live-looking. Patterns of
+the corpus by distinct repositories and distinct owners: a value that several owners have,
+or one owner in many repositories, is a copied example; another value of one owner that
+looks random is live-looking. Patterns of
 well-known shapes always count; a plain long token counts only if it is live-looking.
 """
 
@@ -26,6 +27,7 @@ ASSIGN_LEAST = 12
 #: A run of token characters that is no part of a longer one.
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+"
 EXAMPLE_OWNERS = 2  # a value of so many owners is an example
+EXAMPLE_REPOSITORIES = 20  # and one of so many repositories, even of one owner
 DISTINCT_CHARS = 8  # a live-looking value has at least so many different characters
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -130,8 +132,9 @@ def scan_secrets(
         "_row",
         F.struct(
             "start", "kind", "end", "owners", "repositories",
-            F.when(F.col("owners") >= EXAMPLE_OWNERS, "example")
-            .when(F.col("_distinct") >= DISTINCT_CHARS, "live").otherwise("plain").alias("verdict"),
+            F.when(
+                (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES), "example"
+            ).when(F.col("_distinct") >= DISTINCT_CHARS, "live").otherwise("plain").alias("verdict"),
         ).alias("f"),
     )
     listed = judged.groupBy("_row").agg(F.array_sort(F.collect_list("f")).alias("findings"))

@@ -54,6 +54,17 @@ def test_owners_tell_examples_from_live_values(spark, tmp_path):
     assert found[11] is None
 
 
+def test_many_repositories_of_one_owner_are_copies(spark, tmp_path):
+    often, seldom, rare = "Zq7Rz_Kp3Wv9Ty5Lm1Xc8Nb2H", "Yx6Qw_Jn2Vb8Rt4Mk0Lp7Gf1S", "Ab3Cd_Ef5Gh7Ij9Kl1Mn3Op5Q"
+    least = secrets.EXAMPLE_REPOSITORIES
+    docs = [(k, f"copy of {often}", "en", "one", 0) for k in range(1000)]
+    docs += [(1000 + k, f"key {seldom}", "en", "one", 0) for k in range(least - 1)]
+    docs += [(3000, f"mine {rare}", "en", "two", 0)] * 50  # one repository, however often its row occurs
+    got = secrets.scan_secrets(table(spark, str(tmp_path / "d"), docs)).collect()
+    seen = {(f["owners"], f["repositories"], f["verdict"]) for r in got for f in r["findings"]}
+    assert seen == {(1, 1000, "example"), (1, least - 1, "live"), (1, 1, "live")}
+
+
 def test_awkward_rows_and_plan(spark, tmp_path):
     docs = awkward(spark, str(tmp_path / "d"))
     out = secrets.scan_secrets(docs)
