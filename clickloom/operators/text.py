@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
@@ -11,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.functions.arrays import map_with
 from clickloom.functions.scalar import with_prefix
 from clickloom.operators.encode import UNKNOWN_CATEGORY
 from clickloom.operators.joins import lookup
@@ -20,6 +25,34 @@ from clickloom.operators.joins import lookup
 UNKNOWN_DESCRIPTION = "General news content with no specific category."
 PASSAGE = "passage: "
 NOT_A_WORD = "[^\\p{L}\\p{N}]+"
+_PIECE = 1024  # words of a text that go to Python in one row, so that a batch stays small
+_KNOWN = 1 << 20  # words whose bucket a task remembers
+
+
+def _bucket_counts(dim: int) -> Callable:
+    """UDF: the buckets of a list of words, and how many of the words each holds.
+
+    A batch's words are told apart first, so md5 runs once per different word.
+    """
+    known: dict[str, int] = {}
+
+    def counts(words: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+        coded = words.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if len(known) > _KNOWN:
+            known.clear()
+        for name in names:
+            if name not in known:
+                known[name] = int(hashlib.md5(name.encode()).hexdigest()[:8], 16) % dim
+        table = np.fromiter((known[name] for name in names), np.int64, len(names))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        cells, n = np.unique(row * dim + table[coded.indices.to_numpy()], return_counts=True)
+        ends = np.searchsorted(cells, np.arange(len(sizes) + 1) * dim)
+        entries = pa.StructArray.from_arrays([pa.array(cells % dim), pa.array(n.astype(np.int64))], names=["bucket", "n"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+
+    return F.arrow_udf(counts, "array<struct<bucket:bigint,n:bigint>>")
 
 
 def term_weights(df: DataFrame, ids: Sequence[str], column: str, dim: int = 256) -> DataFrame:
@@ -29,17 +62,24 @@ def term_weights(df: DataFrame, ids: Sequence[str], column: str, dim: int = 256)
     md5 modulo `dim`. A value is the bucket's count times log((rows + 1) / (rows with it + 1)),
     divided by the row's length. Only buckets that occur have a row; a text without terms, or
     null, has none. `ids` must name each row, nulls allowed.
+
+    Texts are split once: the document frequencies and the weights read the same exchange of
+    counts, which the frequencies only share as long as they use the count column too.
     """
     named = df.select(F.struct(*ids).alias("_id"), F.lower(F.coalesce(column, F.lit(""))).alias("_text"))
-    word = F.explode(F.array_remove(F.split("_text", NOT_A_WORD), "")).alias("_word")
-    bucket = F.pmod(F.conv(F.substring(F.md5("_word"), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+    words = named.select("_id", F.array_remove(F.split("_text", NOT_A_WORD), "").alias("_words"))
+    firsts = F.sequence(F.lit(0), F.greatest(F.size("_words") - 1, F.lit(0)), F.lit(_PIECE))
+    # the outer forms: the plain ones make Spark add a size check that splits every text again
+    pieces = words.select("_id", F.explode_outer(
+        map_with(firsts, F.col("_words"), lambda i, w: F.slice(w, i + 1, F.lit(_PIECE)))
+    ).alias("_piece"))
     counts = (
-        named.select("_id", word).select("_id", bucket.alias("bucket"))
-        .groupBy("_id", "bucket").agg(F.count(F.lit(1)).alias("_n"))
+        pieces.select("_id", F.inline_outer(_bucket_counts(dim)("_piece"))).where(F.col("n").isNotNull())
+        .groupBy("_id", "bucket").agg(F.sum("n").alias("_n"))
     )
     one = F.lit(1).alias("_one")
     rows = named.agg(F.count(F.lit(1)).alias("_rows")).select("*", one)
-    having = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("_having")).select("*", one)
+    having = counts.groupBy("bucket").agg(F.count("_n").alias("_having")).select("*", one)
     rarity = having.join(rows, "_one").select(
         "bucket", F.log((F.col("_rows") + 1) / (F.col("_having") + 1)).alias("_idf")
     )

@@ -45,6 +45,32 @@ def test_weights_match_plain_python(spark):
         assert all(got[key] == pytest.approx(want[key], abs=1e-12) for key in want)
 
 
+def test_texts_are_split_once(spark, settings, tmp_path):
+    settings({"spark.sql.adaptive.enabled": "false"})
+    spark.createDataFrame(ROWS, "k bigint, t string").write.parquet(f"{tmp_path}/texts")
+    weights = text.term_weights(spark.read.parquet(f"{tmp_path}/texts"), ["k"], "t")
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and "ReusedExchange" in plan
+
+
+def test_long_texts_and_repeated_ids_are_counted_whole(spark):
+    rows = [(1, "a b c " * 1500), (1, "b d"), (2, "a x"), (None, "y"), (None, "y z")]
+    got = {(r.k, r.bucket): r.value for r in text.term_weights(spark.createDataFrame(rows, "k bigint, t string"), ["k"], "t").collect()}
+    merged = [(1, rows[0][1] + rows[1][1]), (2, "a x"), (None, "y y z")]
+    own = plain(merged, 256)
+    assert got.keys() == own.keys()
+    having = {b: sum(k[1] == b for k in got) for _, b in got}
+    counts = {1: {"a": 1500, "b": 1501, "c": 1500, "d": 1}, 2: {"a": 1, "x": 1}, None: {"y": 2, "z": 1}}
+    for key, words in counts.items():
+        w = {}
+        for word, n in words.items():
+            b = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 256
+            w[b] = w.get(b, 0) + n
+        w = {b: n * math.log((len(rows) + 1) / (having[b] + 1)) for b, n in w.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        assert all(got[key, b] == pytest.approx(x / norm, abs=1e-12) for b, x in w.items())
+
+
 def test_dense_vectors_hold_the_same_values(spark):
     df = spark.createDataFrame(ROWS, "k bigint, t string").selectExpr("k", "t", "t as u")
     rows = text.embed_texts(df, {"t": "a", "u": "b"}, 64).collect()
