@@ -83,3 +83,28 @@ def test_joint_profiles_equal_the_single_ones(spark):
         assert set(single) == {u for u, r in got.items() if r[name] is not None}
         for user, profile in single.items():
             assert got[user][name] == pytest.approx(profile)
+
+
+def test_joint_profiles_send_the_vectors_by_user_once(spark):
+    cut, vecs = tables(spark)
+    normed = vecs.withColumn("norm", F.lit(2.0))
+    head = history.cut_history(cut, "head", 2, ("ts",), "ts")
+    plan = profiles.joint_profiles(cut, head, normed, "norm")._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "aggregate_metrics" not in plan
+
+
+def test_joint_profiles_keep_null_users_widths_and_odd_numbers_apart(spark):
+    items = [
+        (None, 1, 9.0, 1.0), (None, 2, 0.0, 0.0), (1, 1, 9.0, 1.0), (1, 3, 0.0, 0.0), (2, 4, 9.0, 1.0), (3, 77, 9.0, 1.0),
+    ]
+    recent = spark.createDataFrame(items, "user_id bigint, article_id bigint, log_time double, scroll double")
+    vectors = [(1, [1.0, 2.0]), (2, [3.0, 5.0]), (2, [3.0, 5.0]), (3, [float("inf"), 1.0]), (4, [1.0, 2.0, 4.0])]
+    vecs = spark.createDataFrame(vectors, "article_id bigint, vector array<float>").withColumn("norm", F.lit(1.0))
+    got = {r.user_id: r for r in profiles.joint_profiles(recent, recent.limit(0), vecs, "norm").collect()}
+    assert set(got) == {None, 1, 2} and all(r.uniform is None for r in got.values())
+    assert got[None].similarity == pytest.approx([7 / 3, 4.0])
+    assert got[2].similarity == [1.0, 2.0, 4.0]
+    assert got[1].similarity == [float("inf"), 1.5]
+    with pytest.raises(Exception, match="null"):
+        broken = spark.createDataFrame([(1, [1.0, None])], "article_id bigint, vector array<float>").withColumn("norm", F.lit(1.0))
+        profiles.joint_profiles(recent, recent.limit(0), broken, "norm").collect()
