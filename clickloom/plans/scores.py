@@ -12,6 +12,7 @@ from clickloom.operators import candidates, encode, features, history, listwise,
 from clickloom.operators.joins import lookup
 from clickloom.plans.histories import cut, lists
 from clickloom.plans.registry import big, query, r6
+from clickloom.session import stage
 from clickloom.sources import readers, sinks
 
 
@@ -204,9 +205,13 @@ def embedding_table(log):
     )
 
 
-def feature_rows(log, split, rows, keep):
-    raw = log.raw_articles
-    feats = features.article_features(raw, encode.category_codes(log.article_documents))
+def article_numbers(log):
+    return features.article_features(log.raw_articles, encode.category_codes(log.article_documents))
+
+
+def feature_rows(log, split, rows, keep, feats=None):
+    """`feats`: the `article_numbers`, stored, where several splits need them."""
+    feats = article_numbers(log) if feats is None else feats
     vecs = unit_vectors(log)
     per_user = lists(log, split)
     mean = profiles.mean_profiles(history.list_items(per_user), vecs)
@@ -284,10 +289,11 @@ def external_model_scores(log):
 @query("learned_ranker")
 def learned_ranker(log):
     """Fit on sampled training candidates, score full validation lists."""
+    feats = stage(article_numbers(log), "articles")
     samples = sampling.sample_candidates(log.behaviors("train"), "cycled")
-    train = feature_rows(log, "train", samples, ["impression_id"])
+    train = feature_rows(log, "train", samples, ["impression_id"], feats)
     model = ranker.fit_ranker(train)
-    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
+    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"], feats)
     return ranker.score_ranker(model, rows).select(
         "impression_id", big("pos", "pos"), "article_id", big("label", "label"), r6("score", "score")
     )
@@ -327,10 +333,11 @@ def listwise_totals(log):
 def listwise_ranker(log):
     """Fit on sampled training lists, score full validation lists: is every score a number, and
     did the gradient of the training loss vanish?"""
+    feats = stage(article_numbers(log), "articles")
     samples = sampling.sample_candidates(log.behaviors("train"), "per_click")
-    train = feature_rows(log, "train", samples, ["impression_id", "positive"])
+    train = feature_rows(log, "train", samples, ["impression_id", "positive"], feats)
     model = listwise.fit_listwise(train, keys=["impression_id", "positive"])
-    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"])
+    rows = feature_rows(log, "validation", impressions(log, "validation"), ["impression_id"], feats)
     finite = ~F.isnan("score") & (F.abs("score") < float("inf"))
     return listwise.score_listwise(model, rows).select(
         "impression_id", big("pos", "pos"), "article_id", big("label", "label"),
