@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.arrays import map_with
 from clickloom.functions.scalar import with_prefix
 from clickloom.operators.encode import UNKNOWN_CATEGORY
 from clickloom.operators.joins import lookup
@@ -25,71 +24,111 @@ from clickloom.operators.joins import lookup
 UNKNOWN_DESCRIPTION = "General news content with no specific category."
 PASSAGE = "passage: "
 NOT_A_WORD = "[^\\p{L}\\p{N}]+"
-_PIECE = 1024  # words of a text that go to Python in one row, so that a batch stays small
 _KNOWN = 1 << 20  # words whose bucket a task remembers
+# texts are counted so many bytes and so many (text, bucket) cells at a time, however large the batch
+_BYTES = 1 << 23
+_CELLS = 1 << 22
 
 
 def _bucket_counts(dim: int) -> Callable:
-    """UDF: the buckets of a list of words, and how many of the words each holds.
+    """UDF: the buckets of a text's words in order, and how many of the words each holds.
 
-    A batch's words are told apart first, so md5 runs once per different word.
+    Words are told apart first, so md5 runs once per different word a task remembers.
     """
-    known: dict[str, int] = {}
+    known: dict[str, int] = {"": -1}
 
-    def counts(words: pa.Array) -> pa.Array:
-        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+    def cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = pc.split_pattern_regex(texts, NOT_A_WORD)
         coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False)
         if len(known) > _KNOWN:
             known.clear()
+            known[""] = -1
         for name in names:
             if name not in known:
-                known[name] = int(hashlib.md5(name.encode()).hexdigest()[:8], 16) % dim
-        table = np.fromiter((known[name] for name in names), np.int64, len(names))
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        cells, n = np.unique(row * dim + table[coded.indices.to_numpy()], return_counts=True)
-        ends = np.searchsorted(cells, np.arange(len(sizes) + 1) * dim)
-        entries = pa.StructArray.from_arrays([pa.array(cells % dim), pa.array(n.astype(np.int64))], names=["bucket", "n"])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+                known[name] = int.from_bytes(hashlib.md5(name.encode()).digest()[:4], "big") % dim
+        table = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        bucket = table[coded.indices.to_numpy()]
+        row = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
+        n = np.bincount((row * dim + bucket)[bucket >= 0], minlength=len(texts) * dim)
+        held = np.flatnonzero(n)
+        return held, n[held]
+
+    def hashed_split(texts: pa.Array) -> pa.Array:
+        before = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // _BYTES
+        slices = before + np.arange(len(texts)) * dim // _CELLS  # neither part falls, so equal sums are neighbours
+        starts = [*np.flatnonzero(np.diff(slices, prepend=-1)).tolist(), len(texts)]
+        parts = [cells(texts.slice(i, j - i)) for i, j in pairwise(starts)]
+        nothing = np.zeros(0, np.int64)
+        cell = np.concatenate([nothing, *(held + i * dim for i, (held, _) in zip(starts, parts, strict=False))])
+        ends = pa.array(np.searchsorted(cell, np.arange(len(texts) + 1) * dim), pa.int32())
+        buckets, ns = (cell % dim).astype(np.int32), np.concatenate([nothing, *(n for _, n in parts)])
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (buckets, ns)]
+        return pa.StructArray.from_arrays(lists, names=["buckets", "ns"])
+
+    return F.arrow_udf(hashed_split, "struct<buckets:array<int>,ns:array<bigint>>")
+
+
+def _text_counts(named: DataFrame, dim: int) -> DataFrame:
+    """`_id`, `_counts`: the counts of an id's texts, a list of buckets and one of numbers.
+
+    An id's counts stay in one row. Only ids that name several rows, found from the ids alone,
+    are added up bucket by bucket; the join splits a hot one at run time, see `lookup`, and
+    its exchange holds the counts for every reader.
+    """
+    key = F.struct("_id").alias("_key")  # the only id kept: a reader without ids still shares the exchange
+    counted = named.select(key, _bucket_counts(dim)("_text").alias("_counts"))
+    twice = (
+        named.groupBy("_id").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
+        .select(key, F.lit(True).alias("_again"))
+    )
+    marked = counted.join(twice.hint("merge"), "_key", "left")
+    again = (
+        marked.where(F.col("_again")).select("_key", _entries("bucket", "n"))
+        .groupBy("_key", "bucket").agg(F.sum("n").alias("n"))
+        .groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("_list"))
+        .select("_key", F.struct(F.col("_list.bucket").alias("buckets"), F.col("_list.n").alias("ns")).alias("_counts"))
+    )
+    once = marked.where(F.col("_again").isNull()).select("_key", "_counts")
+    return once.unionByName(again).select("_key._id", "_counts")
 
-    return F.arrow_udf(counts, "array<struct<bucket:bigint,n:bigint>>")
+
+def _entries(bucket: str, n: str) -> Column:
+    return F.inline(F.arrays_zip("_counts.buckets", "_counts.ns")).alias(bucket, n)
 
 
 def term_weights(df: DataFrame, ids: Sequence[str], column: str, dim: int = 256) -> DataFrame:
     """`*ids`, `bucket`, `value`: hashed terms of whole texts as unit vectors, in long form.
 
-    A term is a run of letters and digits in lower case, its bucket the first 32 bits of its
-    md5 modulo `dim`. A value is the bucket's count times log((rows + 1) / (rows with it + 1)),
+    A term is a run of letters and digits (as Arrow's RE2 tells them) in lower case, its bucket
+    the first 32 bits of its md5 modulo `dim`. A value is the bucket's count times log((rows + 1) / (rows with it + 1)),
     divided by the row's length. Only buckets that occur have a row; a text without terms, or
     null, has none. `ids` must name each row, nulls allowed.
 
     Texts are split once: the document frequencies and the weights read the same exchange of
-    counts, which the frequencies only share as long as they use the count column too.
+    counts, one row per text, and a length is taken within that row.
     """
     named = df.select(F.struct(*ids).alias("_id"), F.lower(F.coalesce(column, F.lit(""))).alias("_text"))
-    words = named.select("_id", F.array_remove(F.split("_text", NOT_A_WORD), "").alias("_words"))
-    firsts = F.sequence(F.lit(0), F.greatest(F.size("_words") - 1, F.lit(0)), F.lit(_PIECE))
-    # the outer forms: the plain ones make Spark add a size check that splits every text again
-    pieces = words.select("_id", F.explode_outer(
-        map_with(firsts, F.col("_words"), lambda i, w: F.slice(w, i + 1, F.lit(_PIECE)))
-    ).alias("_piece"))
-    counts = (
-        pieces.select("_id", F.inline_outer(_bucket_counts(dim)("_piece"))).where(F.col("n").isNotNull())
-        .groupBy("_id", "bucket").agg(F.sum("n").alias("_n"))
-    )
-    one = F.lit(1).alias("_one")
-    rows = named.agg(F.count(F.lit(1)).alias("_rows")).select("*", one)
-    having = counts.groupBy("bucket").agg(F.count("_n").alias("_having")).select("*", one)
-    rarity = having.join(rows, "_one").select(
-        "bucket", F.log((F.col("_rows") + 1) / (F.col("_having") + 1)).alias("_idf")
-    )
-    # at most `dim` rows, whatever the data
-    weighted = counts.join(F.broadcast(rarity), "bucket").select(
-        "_id", "bucket", (F.col("_n") * F.col("_idf")).alias("_w")
+    counts = _text_counts(named, dim)
+    rows = named.agg(F.count(F.lit(1)).alias("_rows"))
+    having = (
+        counts.select(F.explode("_counts.buckets").alias("bucket"), F.size("_counts.ns").alias("_of"))
+        .groupBy("bucket").agg(F.count("_of").alias("_having"))
     )
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy("_id")))
-    return weighted.select(
-        "_id.*", "bucket", F.coalesce(F.try_divide(F.col("_w"), norm), F.lit(0.0)).alias("value")
+    # one row of at most `dim` values, whatever the data
+    rarity = having.crossJoin(F.broadcast(rows)).agg(F.map_from_entries(F.collect_list(F.struct(
+        "bucket", F.log((F.col("_rows") + 1) / (F.col("_having") + 1))
+    ))).alias("_map")).select(F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.coalesce(F.try_element_at("_map", b), F.lit(0.0))
+    ).alias("_idf"))
+    weighed = counts.crossJoin(F.broadcast(rarity))
+    weights = F.zip_with("_counts.buckets", "_counts.ns", lambda b, n: n * F.get("_idf", b))
+    norm = F.sqrt(F.aggregate(weights, F.lit(0.0), lambda total, w: total + w * w))
+    entries = weighed.select("_id", "_idf", "_counts", norm.alias("_norm")).select("*", _entries("_bucket", "_n"))
+    weight = F.col("_n") * F.get("_idf", F.col("_bucket"))
+    return entries.select(
+        "_id.*", F.col("_bucket").cast("bigint").alias("bucket"),
+        F.coalesce(F.try_divide(weight, F.col("_norm")), F.lit(0.0)).alias("value"),
     )
 
 

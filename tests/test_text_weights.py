@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 
+import pyarrow as pa
 import pytest
 
 from clickloom.operators import text
@@ -84,3 +85,21 @@ def test_empty_table(spark):
     df = spark.createDataFrame(ROWS, "k bigint, t string").limit(0)
     assert text.term_weights(df, ["k"], "t").count() == 0
     assert text.embed_texts(df, {"t": "a"}).count() == 0
+
+
+def test_a_text_keeps_one_row_until_its_weights_are_known(spark, settings):
+    settings({"spark.sql.adaptive.enabled": "false"})
+    weights = text.term_weights(spark.createDataFrame(ROWS, "k bigint, t string"), ["k"], "t")
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count(_n" not in plan
+
+
+def test_small_slices_give_the_same_counts(spark, monkeypatch):
+    texts = pa.array(["a b a", "", "c", "b " * 50, "é 漢 _ x1", "a"])
+    whole = text._bucket_counts(7).func(texts).to_pylist()
+    assert [sum(r["ns"]) for r in whole] == [3, 0, 1, 50, 3, 1]
+    for size in (1, 8, 64):
+        monkeypatch.setattr(text, "_BYTES", size)
+        monkeypatch.setattr(text, "_CELLS", size)
+        assert text._bucket_counts(7).func(texts).to_pylist() == whole
+    assert text._bucket_counts(7).func(texts.slice(0, 0)).to_pylist() == []
